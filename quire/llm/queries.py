@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import mixing
+import public_tokenizers
+
+from . import bpe, mixing
 from .common import table
 
 
@@ -10,7 +12,13 @@ def op3_mixing(spark, sf_dir):
     return mixing.op(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.op(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
 }
 ORACLES = {
