@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, mixing
+from . import bpe, media, mixing, token_files
 from .common import table
 
 
@@ -17,9 +17,19 @@ def op2_byte_bpe(spark, sf_dir):
     return bpe.op(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op6_media(spark, sf_dir):
+    return media.op(table(spark, sf_dir, "documents"))
+
+
+def op8_token_files(spark, sf_dir):
+    return token_files.op(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
+    "op6_media": op6_media,
+    "op8_token_files": op8_token_files,
 }
 ORACLES = {
     "op3_mixing": mixing.ORACLE,
