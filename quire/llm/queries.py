@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, media, mixing, token_files
+from . import bpe, line_dedup, media, mixing, quality, token_files
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op3_mixing(spark, sf_dir):
     return mixing.op(table(spark, sf_dir, "documents"))
 
 
+def op1_quality(spark, sf_dir):
+    return quality.op(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_byte_bpe(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.op(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -25,12 +29,19 @@ def op8_token_files(spark, sf_dir):
     return token_files.op(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_line_dedup(spark, sf_dir):
+    return line_dedup.op(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
     "op6_media": op6_media,
     "op8_token_files": op8_token_files,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {
     "op3_mixing": mixing.ORACLE,
+    "op10_line_dedup": line_dedup.ORACLE,
 }
