@@ -6,6 +6,11 @@ with additive smoothing. A document's score is the mean over its n-grams of
 log(p_target / p_corpus): the log-likelihood ratio, normalised by length. It is kept if it passes
 the base rules and its score reaches the threshold; nothing is drawn at random.
 
+The threshold comes from trusted texts that the counts did not see: a quarter of the trusted ids
+(crc32 of the id) is held out of the target, and the threshold lies ``DEVIATIONS`` standard
+deviations below the mean score of those that pass the base rules. Scores are summed as whole
+millionths, so reruns give the same threshold.
+
 The counts are sums per bucket, partly summed before the shuffle; the ratios are one array of
 ``BUCKETS`` doubles, a size that no amount of data changes, and are joined as a single row. The
 trusted texts are found by a join on the id; the scoring reads every document once.
@@ -16,7 +21,7 @@ windows' words themselves.
 Defined cases: a null or empty text has no words, fails the base rules and scores 0; white space
 around words does not matter; rows that repeat an id are counted and scored one by one, and are
 trusted together; an id is trusted if all its labels are 1; an empty table gives an empty result;
-without any trusted text the ratio is the same for all buckets, and the base rules alone decide.
+without any trusted text all scores are 0, and without held-out ones the base rules alone decide.
 """
 
 from __future__ import annotations
@@ -24,11 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, let, words
+from .common import WHITE, let, stored, words
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 SMOOTHING = 1.0
-THRESHOLD = -0.15
+DEVIATIONS = 6.0
+HELD_OUT = 4
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
@@ -98,25 +104,37 @@ def ratios(target: DataFrame, corpus: DataFrame, text_col: str, buckets: int, sm
     return row.select(F.transform("s", lambda x: F.when(F.col("nt") > 0, log_of(x["t"], F.col("nt")) - log_of(x["c"], F.col("nc"))).otherwise(0.0)).alias("__r"))
 
 
-def score(
-    docs: DataFrame, target: DataFrame, text_col: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING, threshold: float = THRESHOLD
-) -> DataFrame:
-    """All columns plus the base rules' columns, ``score`` and ``kept``. ``target``: the trusted texts."""
+def score(docs: DataFrame, target: DataFrame, text_col: str = "text", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
+    """All columns plus the base rules' columns and ``score``. ``target``: the trusted texts."""
     r = ratios(target, docs, text_col, buckets, smoothing)
     d = base(docs, text_col).join(F.broadcast(r))
     g = grams(F.col("__h"), buckets)
     total = F.aggregate(g, F.lit(0.0), lambda a, b: a + F.get(F.col("__r"), b))
     mean = F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(0.0)
-    return d.withColumn("score", mean).withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).drop("__h", "__r")
+    return d.withColumn("score", mean).drop("__h", "__r")
+
+
+def decide(scored: DataFrame, held_out: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
+    """Adds ``kept``. ``held_out``: the trusted ids (doc_id) that the target did not count."""
+    sample = scored.where(~F.col("base_failed")).join(held_out, "doc_id", "left_semi")
+    whole = F.round(F.col("score") * 1e6).cast("decimal(20,0)")
+    m = sample.agg(F.count("*").alias("n"), F.sum(whole).cast("double").alias("s"), F.sum(whole * whole).cast("double").alias("q"))
+    mean = F.col("s") / F.col("n")
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.col("q") / F.col("n") - mean * mean))
+    limit = F.when(F.col("n") > 0, F.round(mean - deviations * spread) / 1e6).otherwise(F.lit(-1e300))
+    d = scored.join(F.broadcast(m.select(limit.alias("__limit"))))
+    return d.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.col("__limit"))).drop("__limit")
 
 
-def trusted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts of the ids all of whose quality labels are 1."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """doc_id and ``held`` of the ids all of whose quality labels are 1."""
     good = labels.groupBy("doc_id").agg(F.min(F.coalesce("quality", F.lit(0))).alias("q")).where("q = 1")
-    return docs.join(good.select("doc_id"), "doc_id", "left_semi")
+    return good.select("doc_id", (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(HELD_OUT)) == 0).alias("held"))
 
 
 def op(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    d = docs.select("doc_id", "text")
-    out = score(d, trusted(d, labels))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    d, ids = docs.select("doc_id", "text"), trusted_ids(labels)
+    target = d.join(ids.where("not held"), "doc_id", "left_semi")
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score"]
+    scored = stored(score(d, target).select(*names))  # a few numbers a document; the texts are done with
+    return decide(scored, ids.where("held").select("doc_id")).select(*names[:-1], "kept", "score")
