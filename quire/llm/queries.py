@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, line_dedup, media, mixing, quality, token_files
+from . import bpe, language_id, line_dedup, media, mixing, quality, token_files, toxicity
 from .common import table
 
 
@@ -21,10 +21,18 @@ def op2_byte_bpe(spark, sf_dir):
     return bpe.op(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op4_language_id(spark, sf_dir):
+    return language_id.op(table(spark, sf_dir, "documents"))
+
+
 def op6_media(spark, sf_dir):
     return media.op(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark, sf_dir):
+    return toxicity.op(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_token_files(spark, sf_dir):
     return token_files.op(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -37,7 +45,9 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
+    "op4_language_id": op4_language_id,
     "op6_media": op6_media,
+    "op7_toxicity": op7_toxicity,
     "op8_token_files": op8_token_files,
     "op10_line_dedup": op10_line_dedup,
 }
