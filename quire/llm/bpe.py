@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrow import slices
+from .arrow import arrow_map, slices
 
 #: White space as the tokenizer library's regex engine has it (Unicode White_Space).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -183,7 +183,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
             ids = pa.array([e.encode(t) for t in b.column(where).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, ids], [*names, ids_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids_col, T.BinaryType())]))
+    return arrow_map(docs, run, T.StructType([*docs.schema.fields, T.StructField(ids_col, T.BinaryType())]))
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -197,7 +197,7 @@ def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes
             out = pa.array([None if i is None else e.decode(i) for i in b.column(where).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, out], [*names, bytes_col])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(bytes_col, T.BinaryType())]))
+    return arrow_map(rows, run, T.StructType([*rows.schema.fields, T.StructField(bytes_col, T.BinaryType())]))
 
 
 def op(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -217,4 +217,4 @@ def op(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import arrow_map, slices
 
 DIMENSIONS = 2048
 LETTERS = 96
@@ -176,5 +176,5 @@ def op(docs: DataFrame) -> DataFrame:
             names, scores = model.predict(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    rows = arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, lang_pred string, score double")
     return rows.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")

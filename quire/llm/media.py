@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import arrow_map, slices
 from .common import stored
 
 ROW = 192  # bytes in a row of 64 RGB pixels
@@ -163,7 +163,7 @@ def store_texts(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
-    return stored(rows.mapInArrow(run, "doc_id long, n_bytes long, media binary"))
+    return stored(arrow_map(rows, run, "doc_id long, n_bytes long, media binary"))
 
 
 def features(media: DataFrame, with_tiles: bool = False) -> DataFrame:
@@ -187,7 +187,7 @@ def features(media: DataFrame, with_tiles: bool = False) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names)
 
     kinds = ["long", "long", "long", "string", "long", "long", "string", "string", "binary" if with_tiles else "string"]
-    return media.mapInArrow(run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+    return arrow_map(media, run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
 
 
 def op(docs: DataFrame) -> DataFrame:

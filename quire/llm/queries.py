@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, language_id, line_dedup, media, mixing, quality, token_files, toxicity
+from . import bpe, language_id, line_dedup, media, mixing, near_dedup, quality, secrets, token_files, toxicity
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op4_language_id(spark, sf_dir):
     return language_id.op(table(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark, sf_dir):
+    return secrets.op(table(spark, sf_dir, "documents"))
+
+
 def op6_media(spark, sf_dir):
     return media.op(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,10 @@ def op8_token_files(spark, sf_dir):
     return token_files.op(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_near_dedup(spark, sf_dir):
+    return near_dedup.op(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark, sf_dir):
     return line_dedup.op(table(spark, sf_dir, "documents"))
 
@@ -46,9 +54,11 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_mixing": op3_mixing,
     "op4_language_id": op4_language_id,
+    "op5_secrets": op5_secrets,
     "op6_media": op6_media,
     "op7_toxicity": op7_toxicity,
     "op8_token_files": op8_token_files,
+    "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES = {

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrow import slices
+from .arrow import arrow_map, slices
 from .common import stored
 
 SHARD_IDS = 1 << 18
@@ -213,7 +213,7 @@ def write(docs: DataFrame, tokenizer_path: str, end_id: int, shard_ids: int = SH
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return stored(rows.mapInArrow(run, "part int, base long, n_ids long, blob binary"))
+    return stored(arrow_map(rows, run, "part int, base long, n_ids long, blob binary"))
 
 
 def read(shards: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def read(shards: DataFrame) -> DataFrame:
                 ["doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
-    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return arrow_map(placed, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op(docs: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:

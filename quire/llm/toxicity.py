@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import trees
-from .arrow import slices
+from .arrow import arrow_map, slices
 
 SAMPLE = 8000
 REJECT = 0.7
@@ -202,7 +202,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
             s = pa.array(model.scores(b.column(where).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, s], [*names, score_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return arrow_map(docs, run, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
 
 
 def op(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -213,6 +213,6 @@ def op(docs: DataFrame, labels: DataFrame) -> DataFrame:
             s = model.scores(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, pa.float64())], ["doc_id", "score"])
 
-    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    scored = arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double")
     held = F.coalesce(remainder(F.col("doc_id")) == 1, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"))
