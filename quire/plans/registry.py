@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import text_queries
+from . import item_queries, sheet_queries, text_queries
 
-_MODULES = (text_queries,)
+_MODULES = (text_queries, sheet_queries, item_queries)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
