@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.strings import extension, leaf
 from ..limits import LIMITS, QueryError
@@ -30,7 +31,7 @@ def is_text(path: Column) -> Column:
     return name.isin(*TEXT_NAMES) | F.regexp_extract(name, r"(\.[^.]*)\z", 1).isin(*TEXT_EXTENSIONS)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     import unicodedata
 

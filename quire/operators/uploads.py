@@ -37,7 +37,8 @@ def replay(chunks: DataFrame, chunk_bytes: int = LIMITS.chunk_bytes) -> DataFram
 def idle_expiry(events: DataFrame, idle_seconds: int = LIMITS.idle_seconds) -> DataFrame:
     """Activity runs per key (key, ts): a pause of the idle limit or more expires the upload and starts another."""
     by = Window.partitionBy("key").orderBy("ts", "seq")
-    gap = F.unix_micros("ts") - F.unix_micros(F.lag("ts").over(by))
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    gap = at - F.lag(at).over(by)
     d = events.withColumn("new", F.when(gap >= idle_seconds * 1_000_000, 1).otherwise(0))
     d = d.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return d.groupBy("key", "run").agg(F.count("*").alias("events"), F.min("ts").alias("opened"), F.max("ts").alias("last_activity"))
