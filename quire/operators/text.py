@@ -149,12 +149,12 @@ def primary_read(docs: DataFrame, query: str | None = None, start: int | None =
 
 def admission(files: DataFrame, most: int = LIMITS.file_bytes) -> DataFrame:
     """Text of each file (``content``) or the reason against it: size, emptiness, NUL, encoding. A BOM is dropped."""
-    bare = F.when(F.startswith("content", F.unhex(F.lit("EFBBBF"))), F.expr("substring(content, 4)")).otherwise(F.col("content"))
+    bare = F.when(F.expr("startswith(content, X'EFBBBF')"), F.expr("substring(content, 4)")).otherwise(F.col("content"))
     valid = F.expr("is_valid_utf8(cast(content as string))")
     reason = (
         F.when(F.octet_length("content") > most, "FILE_TOO_LARGE")
         .when(F.octet_length("content") == 0, "BAD_REQUEST")
-        .when(F.locate("00", F.hex("content")).cast("boolean") & (F.expr("position(X'00' in content)") > 0), "TEXT_ENCODING_UNSUPPORTED")
+        .when(F.expr("contains(content, X'00')"), "TEXT_ENCODING_UNSUPPORTED")
         .when(~valid, "TEXT_ENCODING_UNSUPPORTED")
     )
-    return files.withColumn("reason", reason).withColumn("text", F.when(F.col("reason").isNull(), F.decode(bare, F.lit("UTF-8"))))
+    return files.withColumn("reason", reason).withColumn("text", F.when(F.col("reason").isNull(), F.decode(bare, "UTF-8")))
