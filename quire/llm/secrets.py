@@ -139,7 +139,7 @@ def examples(n: int = EXAMPLES, seed: int = 5) -> list[tuple[str, str, str, str,
         if kind == 0:
             row = (a, b, r.choice(["AKIA", "ASIA"]) + some(upper, 16) + r.choice(["", ".", ","]), c, 1)
         elif kind == 1:
-            row = (a, b, f"{r.choice(names)}{r.choice('=:')}{q}{secret()}{q}", c, 1)
+            row = (a, b, f"{r.choice(names)}{r.choice('=:')}{q}{secret()}{q}" + r.choice(["", ".", ","]), c, 1)
         elif kind == 2:
             row = (r.choice(names), r.choice(["=", ":", "is"]), f"{q}{secret()}{q}", c, 1)
         elif kind == 3:

@@ -86,12 +86,12 @@ def margin(model: tuple[float, list[Tree]], x: np.ndarray) -> np.ndarray:
     return start + sum((predict(t, x) for t in trees), np.zeros(len(x)))
 
 
-def forest(x: np.ndarray, y: np.ndarray, n_trees: int = 24, depth: int = 5, seed: int = 7) -> list[Tree]:
-    """Random forest of probability leaves: bootstrap rows, sqrt(features) tried at each node."""
+def forest(x: np.ndarray, y: np.ndarray, n_trees: int = 24, depth: int = 8, tried: float = 0.5, seed: int = 7) -> list[Tree]:
+    """Random forest of probability leaves: bootstrap rows, a share of the features tried at each node."""
     rng = np.random.default_rng(seed)
     cuts = cuts_of(x)
     binned = bin_rows(x, cuts)
-    some = max(1, round(x.shape[1] ** 0.5))
+    some = max(1, round(x.shape[1] * tried))
     out = []
     for _ in range(n_trees):
         w = np.bincount(rng.integers(0, len(y), len(y)), minlength=len(y)).astype(float)
