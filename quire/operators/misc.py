@@ -24,7 +24,7 @@ FORBIDDEN = {
 FILE_TOOLS = r"(?i)^(?:bash|shell|read|read_file|glob|grep|find|fd|locate|mdfind|search_files)$"
 DISCOVERY = r"(?i)(?:^|[;&|]\s*|\s)(?:find|fd|locate|mdfind|rg|grep)\s"
 BROAD_ROOT = r"(?:^|\s)(?:/(?:\s|$)|/Users(?:/|\s|$)|/tmp(?:/|\s|$)|/private/var/folders(?:/|\s|$)|~(?:/|\s|$))"
-STORE_WORD = r"(?i)(?:attachments?|附件|dragndrop)"
+STORE_WORDS = ("attachments?", "附件")
 
 
 def patch_budget(width: Column, height: Column, side: int = LIMITS.image_side, patches: int = LIMITS.image_patches, patch: int = LIMITS.patch) -> tuple[Column, Column]:
@@ -47,13 +47,16 @@ def resize_to_fit(width: Column, height: Column, side: int = 2048) -> tuple[Colu
     return F.greatest(F.lit(1), F.floor(width * scale + 0.5)).cast("int"), F.greatest(F.lit(1), F.floor(height * scale + 0.5)).cast("int")
 
 
-def discovery_denied(tool: Column, text: Column, ids: Sequence[str]) -> Column:
-    """Whether a file tool's call looks for attachments: by an id, from a broad root, or in the store."""
+def discovery_denied(tool: Column, text: Column, ids: Sequence[str], store_words: Sequence[str] = STORE_WORDS) -> Column:
+    """Whether a file tool's call looks for attachments: by an id, from a broad root, or in the store.
+
+    ``store_words``: patterns that name the store; a deployment adds what its own is called.
+    """
     if not ids:
         return F.lit(False)
     named = F.exists(F.array(*[F.lit(i.lower()) for i in ids]), lambda i: F.contains(F.lower(text), i))
     search = text.rlike(DISCOVERY)
-    return tool.rlike(FILE_TOOLS) & (named | (search & text.rlike(BROAD_ROOT)) | (search & text.rlike(STORE_WORD)))
+    return tool.rlike(FILE_TOOLS) & (named | (search & text.rlike(BROAD_ROOT)) | (search & text.rlike(f"(?i)(?:{'|'.join(store_words)})")))
 
 
 def rule_scan(docs: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
