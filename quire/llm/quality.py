@@ -15,9 +15,6 @@ The counts are sums per bucket, partly summed before the shuffle; the ratios are
 ``BUCKETS`` doubles, a size that no amount of data changes, and are joined as a single row. The
 trusted texts are found by a join on the id; the scoring reads every document once.
 
-Repeated windows: a text whose window hashes are all different has none. The others compare the
-windows' words themselves.
-
 Defined cases: a null or empty text has no words, fails the base rules and scores 0; white space
 around words does not matter; rows that repeat an id are counted and scored one by one, and are
 trusted together; an id is trusted if all its labels are 1; an empty table gives an empty result;
@@ -45,14 +42,18 @@ def _count(c: Column) -> Column:
     return c.cast("long")
 
 
-def grams(hashes: Column, buckets: int) -> Column:
-    """Buckets of the words and of the pairs of neighbouring words, from the words' hashes."""
-    pairs = F.zip_with(F.slice(hashes, 1, F.greatest(F.size(hashes) - 1, F.lit(0))), F.slice(hashes, 2, F.greatest(F.size(hashes) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    return F.transform(F.concat(hashes, pairs), lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def neighbours(values: Column, apart: int) -> Column:
+    """Hashes of each value with the one ``apart`` places on."""
+    n = F.greatest(F.size(values) - apart, F.lit(0))
+    return F.zip_with(F.slice(values, 1, n), F.slice(values, 1 + apart, n), lambda a, b: F.xxhash64(a, b))
+
 
+def repeated_words(ws: Column, pairs: Column) -> Column:
+    """Number of words in windows that the text has at least twice.
 
-def repeated_words(ws: Column, hashes: Column) -> Column:
-    """Number of words in windows that the text has at least twice."""
+    A repeated window of 8 words repeats 5 runs of 4 words (each two neighbouring pairs' hashes in
+    one), so a text that does not is done with; the others compare the windows' words themselves.
+    """
     starts = F.sequence(F.lit(1), F.size(ws) - (WINDOW - 1))
 
     def exact(w: Column) -> Column:
@@ -65,31 +66,36 @@ def repeated_words(ws: Column, hashes: Column) -> Column:
         at = F.sort_array(F.transform(flagged, lambda x: x["i"]))
         return let(at, lambda p: F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x))
 
-    distinct = let(hashes, lambda h: F.size(F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.slice(h, i, WINDOW))))))
-    few = F.size(ws) < 2  # with one window more than words there is nothing to repeat
-    return F.when(few | (F.size(ws) <= WINDOW), F.lit(0)).when(distinct == F.size(ws) - (WINDOW - 1), F.lit(0)).otherwise(let(ws, exact))
+    repeats = let(neighbours(pairs, 2), lambda q: F.size(q) - F.size(F.array_distinct(q)))
+    return F.when(F.size(ws) <= WINDOW, F.lit(0)).when(repeats < WINDOW - 3, F.lit(0)).otherwise(let(ws, exact))
 
 
 def base(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and ``__h`` (hashes of the words)."""
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the hashes of the words (``__h``) and of neighbouring pairs (``__p``)."""
     t = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.translate(x, WHITE, "") != "")
     d = docs.withColumn("__w", words(F.col(text_col)))
     d = d.withColumn("__h", F.transform("__w", lambda w: F.xxhash64(w)))
+    d = d.withColumn("__p", neighbours(F.col("__h"), 1))
     d = d.withColumns({
         "n_words": _count(F.size("__w")),
         "word_chars": _count(F.length(F.translate(t, WHITE, ""))),
         "n_symbols": _count(F.length(t) - F.length(F.translate(t, SYMBOLS, ""))),
         "n_dup_lines": _count(let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))),
-        "n_repeat_words": _count(repeated_words(F.col("__w"), F.col("__h"))),
+        "n_repeat_words": _count(repeated_words(F.col("__w"), F.col("__p"))),
     })
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return d.withColumn("base_failed", failed).drop("__w")
 
 
+def bucket(gram: Column, buckets: int) -> Column:
+    return F.pmod(gram, F.lit(buckets)).cast("int")
+
+
 def bucket_counts(texts: DataFrame, text_col: str, buckets: int) -> DataFrame:
     hashed = texts.select(F.transform(words(F.col(text_col)), lambda w: F.xxhash64(w)).alias("h"))
-    return hashed.select(F.explode(grams(F.col("h"), buckets)).alias("b")).groupBy("b").agg(F.count("*").alias("n"))
+    grams = hashed.select(F.explode(let(F.col("h"), lambda h: F.concat(h, neighbours(h, 1)))).alias("g"))
+    return grams.groupBy(bucket(F.col("g"), buckets).alias("b")).agg(F.count("*").alias("n"))
 
 
 def ratios(target: DataFrame, corpus: DataFrame, text_col: str, buckets: int, smoothing: float) -> DataFrame:
@@ -108,10 +114,10 @@ def score(docs: DataFrame, target: DataFrame, text_col: str = "text", buckets: i
     """All columns plus the base rules' columns and ``score``. ``target``: the trusted texts."""
     r = ratios(target, docs, text_col, buckets, smoothing)
     d = base(docs, text_col).join(F.broadcast(r))
-    g = grams(F.col("__h"), buckets)
-    total = F.aggregate(g, F.lit(0.0), lambda a, b: a + F.get(F.col("__r"), b))
+    add = lambda a, g: a + F.get(F.col("__r"), bucket(g, buckets))
+    total = F.aggregate("__p", F.aggregate("__h", F.lit(0.0), add), add)
     mean = F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(0.0)
-    return d.withColumn("score", mean).drop("__h", "__r")
+    return d.withColumn("score", mean).drop("__h", "__p", "__r")
 
 
 def decide(scored: DataFrame, held_out: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
@@ -134,7 +140,8 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 def op(docs: DataFrame, labels: DataFrame) -> DataFrame:
     d, ids = docs.select("doc_id", "text"), trusted_ids(labels)
-    target = d.join(ids.where("not held"), "doc_id", "left_semi")
+    # sorted on both sides at any size: no size of the labels makes the plan another
+    target = d.join(ids.where("not held").select("doc_id").hint("merge"), "doc_id", "left_semi")
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score"]
     scored = stored(score(d, target).select(*names))  # a few numbers a document; the texts are done with
     return decide(scored, ids.where("held").select("doc_id")).select(*names[:-1], "kept", "score")
