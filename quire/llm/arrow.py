@@ -2,32 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give this package to the executors, once per application, so that they need not have it installed."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp()) / "quire_package.zip"  # the driver serves it to the executors
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, p.relative_to(root.parent))
-    context.addPyFile(str(target))
-    _SHIPPED.add(context.applicationId)
+from ..functions.shipping import ship
 
 
 def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with this package at hand on every executor."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 

@@ -79,25 +79,25 @@ class Alphabet:
 class Model:
     def __init__(self, languages: list[str], alphabet: Alphabet | None, prototypes: np.ndarray | None):
         self.languages, self.alphabet, self.prototypes = languages, alphabet, prototypes
-        self.seen: np.ndarray | None = None
+        self.place: np.ndarray | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"seen": None, "products": None}
+        return self.__dict__ | {"place": None, "products": None}
 
     def vectors(self, grams: np.ndarray) -> np.ndarray:
         return gram_vectors(grams, self.alphabet.size)
 
     def similar(self, grams: np.ndarray) -> np.ndarray:
         """Inner products of grams with the prototypes, kept once computed."""
-        if self.seen is None:
-            self.seen = np.zeros(self.alphabet.size**3, bool)
-            self.products = np.zeros((self.alphabet.size**3, len(self.languages)), np.float32)
-        new = np.unique(grams[~self.seen[grams]])
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            self.products[part] = self.vectors(part) @ self.prototypes.T
-            self.seen[part] = True
-        return self.products[grams]
+        if self.place is None:
+            self.place = np.full(self.alphabet.size**3, -1, np.int32)
+            self.products = np.zeros((0, len(self.languages)), np.float32)
+        new = np.unique(grams[self.place[grams] < 0])
+        if len(new):
+            self.place[new] = len(self.products) + np.arange(len(new))
+            parts = [self.vectors(new[i : i + 4096]) @ self.prototypes.T for i in range(0, len(new), 4096)]
+            self.products = np.concatenate([self.products, *parts])
+        return self.products[self.place[grams]]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [], []
