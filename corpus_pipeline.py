@@ -41,10 +41,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), ranks, pattern)
-    whole = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    n_tokens = (F.octet_length("ids") / 4).cast("long")
-    return bpe.decode(ids, ranks, pattern).select("doc_id", "source", n_tokens.alias("n_tokens"), "ids", whole.alias("round_trip"))
+    ids = bpe.encode(docs.select("doc_id", "source", "text"), ranks, pattern, whole_col="round_trip")
+    return ids.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [

@@ -36,8 +36,8 @@ from .arrow import arrow_map, slices
 
 #: White space as the tokenizer library's regex engine has it (Unicode White_Space).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Entries of each memo in a worker, and the longest text that is kept: about 250 MB at most.
-MEMO = 700_000
+#: Entries of each memo in a worker, and the longest text that is kept: about 220 MB at most.
+MEMO = 450_000
 MEMO_CHARS = 48
 
 
@@ -170,20 +170,29 @@ def encoder(path: str, pattern: str) -> Encoder:
         return Encoder({base64.b64decode(a): int(b) for a, b in rows}, pattern)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """All columns plus ``ids_col``: the ids as binary (little-endian unsigned 32-bit)."""
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", whole_col: str | None = None) -> DataFrame:
+    """All columns plus ``ids_col``: the ids as binary (little-endian unsigned 32-bit).
+
+    ``whole_col`` names one more column: whether decoding the ids gives the text back.
+    """
     names = docs.columns
     where = names.index(text_col)
-    if ids_col in names:
-        raise ValueError(f"the column {ids_col} exists already")
+    new = [ids_col, *([whole_col] if whole_col else [])]
+    if set(new) & set(names):
+        raise ValueError(f"a column of {new} exists already")
 
     def run(batches):
         e = encoder(path, pattern)
         for b in slices(batches):
-            ids = pa.array([e.encode(t) for t in b.column(where).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns, ids], [*names, ids_col])
-
-    return arrow_map(docs, run, T.StructType([*docs.schema.fields, T.StructField(ids_col, T.BinaryType())]))
+            texts = b.column(where).to_pylist()
+            ids = [e.encode(t) for t in texts]
+            more = [pa.array(ids, pa.binary())]
+            if whole_col:
+                more.append(pa.array([e.decode(i) == (t or "").encode() for t, i in zip(texts, ids, strict=True)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*names, *new])
+
+    added = [T.StructField(ids_col, T.BinaryType()), *([T.StructField(whole_col, T.BooleanType())] if whole_col else [])]
+    return arrow_map(docs, run, T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:

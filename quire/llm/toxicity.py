@@ -37,7 +37,7 @@ REJECT = 0.7
 NEAR = 5
 PREFIXES = (4, 5, 6, 7, 8)
 LEVELS = (1.5, 2.5, 3.5)
-MEMO = 500_000
+MEMO = 250_000
 
 # Insults and second-person words to start from.
 INSULTS = frozenset(
