@@ -17,10 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spaced(text: Column, by: str = " ") -> Column:
+    """A text with each white character replaced. Six byte searches cost a tenth of one ``translate``, which looks up every character."""
+    for c in WHITE if by != " " else WHITE[1:]:
+        text = F.replace(text, F.lit(c), F.lit(by))
+    return text
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null gives an empty array."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), WHITE, " " * len(WHITE))
-    return F.filter(F.split(spaced, " "), lambda w: w != F.lit(""))
+    return F.array_remove(F.split(spaced(F.coalesce(text, F.lit(""))), " "), "")
 
 
 def n_words(text: Column) -> Column:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, let, stored
+from .common import let, spaced, stored
 
 RATIO = 0.1
 MIN_PAGES = 5
@@ -38,7 +38,7 @@ def host_of(url: Column) -> Column:
 
 def _digest(line: Column) -> Column:
     """Digest of a line, null for a blank one."""
-    bare = F.trim(F.translate(line, WHITE, " " * len(WHITE)))
+    bare = F.trim(spaced(line))
     return F.when(bare != "", F.md5(bare))
 
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, let, stored, words
+from .common import let, spaced, stored, words
 
 BUCKETS = 1 << 18
 SMOOTHING = 1.0
@@ -35,17 +35,17 @@ HELD_OUT = 4
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 
 
 def _count(c: Column) -> Column:
     return c.cast("long")
 
 
-def neighbours(values: Column, apart: int) -> Column:
-    """Hashes of each value with the one ``apart`` places on."""
+def neighbours(values: Column, apart: int, join=lambda a, b: F.xxhash64(a, b)) -> Column:
+    """Each value joined with the one ``apart`` places on."""
     n = F.greatest(F.size(values) - apart, F.lit(0))
-    return F.zip_with(F.slice(values, 1, n), F.slice(values, 1 + apart, n), lambda a, b: F.xxhash64(a, b))
+    return F.zip_with(F.slice(values, 1, n), F.slice(values, 1 + apart, n), join)
 
 
 def repeated_words(ws: Column, pairs: Column) -> Column:
@@ -66,21 +66,21 @@ def repeated_words(ws: Column, pairs: Column) -> Column:
         at = F.sort_array(F.transform(flagged, lambda x: x["i"]))
         return let(at, lambda p: F.aggregate(F.transform(p, lambda x, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x))
 
-    repeats = let(neighbours(pairs, 2), lambda q: F.size(q) - F.size(F.array_distinct(q)))
+    repeats = let(neighbours(pairs, 2, lambda a, b: F.shiftleft(a, 1).bitwiseXOR(b)), lambda q: F.size(q) - F.size(F.array_distinct(q)))
     return F.when(F.size(ws) <= WINDOW, F.lit(0)).when(repeats < WINDOW - 3, F.lit(0)).otherwise(let(ws, exact))
 
 
 def base(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed and the hashes of the words (``__h``) and of neighbouring pairs (``__p``)."""
     t = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(t, "\n", -1), lambda x: F.translate(x, WHITE, "") != "")
+    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     d = docs.withColumn("__w", words(F.col(text_col)))
     d = d.withColumn("__h", F.transform("__w", lambda w: F.xxhash64(w)))
     d = d.withColumn("__p", neighbours(F.col("__h"), 1))
     d = d.withColumns({
         "n_words": _count(F.size("__w")),
-        "word_chars": _count(F.length(F.translate(t, WHITE, ""))),
-        "n_symbols": _count(F.length(t) - F.length(F.translate(t, SYMBOLS, ""))),
+        "word_chars": _count(F.length(spaced(t, ""))),
+        "n_symbols": _count(F.regexp_count(t, F.lit(SYMBOLS))),
         "n_dup_lines": _count(let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))),
         "n_repeat_words": _count(repeated_words(F.col("__w"), F.col("__p"))),
     })
@@ -89,7 +89,8 @@ def base(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def bucket(gram: Column, buckets: int) -> Column:
-    return F.pmod(gram, F.lit(buckets)).cast("int")
+    """The low bits of a gram's hash; ``buckets`` is a power of two."""
+    return gram.bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int")
 
 
 def bucket_counts(texts: DataFrame, text_col: str, buckets: int) -> DataFrame:
