@@ -35,6 +35,7 @@ from .arrow import arrow_map, slices
 DIMENSIONS = 2048
 LETTERS = 96
 PER_LANGUAGE = 1500
+SALTS = 64
 UNKNOWN = "und"
 
 
@@ -160,8 +161,10 @@ def remainder(id_col):
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Fit on at most ``per_language`` texts of each language whose id's crc32 remainder by 3 is not 1."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 1))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = usable.select("doc_id", "lang").withColumn("r", rank).where(F.col("r") <= per_language)
+    ids = usable.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    for by in (["lang", "salt"], ["lang"]):  # the second ranking sees at most SALTS * per_language ids of a language
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        ids = ids.withColumn("r", rank).where(F.col("r") <= per_language)
     rows = usable.select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
     rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     rows = sorted(rows, key=lambda r: (r.doc_id, r.lang))
