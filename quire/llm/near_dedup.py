@@ -9,13 +9,12 @@
    Jaccard similarity). ``ROWS`` samples make a band key. At a similarity of 0.8 one pair in about
    10^5 shares no band.
 3. Equal texts are one text from here on, found by digest. Texts that share a band key are
-   candidates. Buckets of up to ``SMALL`` texts give their pairs; in a larger one each text is
-   paired with the bucket's most central text only (the one that shares most buckets with others,
-   as the original of a group of edited copies does), so pairs grow as the rows do.
-4. Candidates are verified on whole texts: linked if the weighted Jaccard similarity, or that of
-   the plain sets of shingles, is 0.8 or more. A text that its large buckets' centres did not
-   confirm goes into ``FURTHER`` more rounds, in buckets keyed by two neighbouring band keys of its
-   sorted list: true partners share several, passers-by that met in one common passage do not.
+   candidates, all of them: buckets of up to ``SMALL`` texts give their pairs, a larger one is dealt
+   into salted blocks of about ``BLOCK`` texts and each two blocks meet in a group of their own. The
+   work grows with the square of a bucket; no task holds more than two blocks.
+4. Every candidate pair is verified on whole texts: linked if the weighted Jaccard similarity, or
+   that of the plain sets of shingles, is 0.8 or more. A pair that shares several large buckets is
+   verified in the one of least key.
 5. Classes are the connected components of the links; a class is named by its least doc_id.
 
 Verification streams over pairs sorted by their first text, of which one vector is held. A first
@@ -47,7 +46,7 @@ ROWS = 3
 BINS = 1 << 18
 LEAST_IDF = 0.5
 SMALL = 16
-FURTHER = 1
+BLOCK = 64
 FAN = 256
 TABLE = 1 << 16
 
@@ -178,14 +177,40 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
 
 
 def pairs_of(keyed: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) from rows (key, node, degree): all of small buckets, stars of large ones."""
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("degree", (-F.col("node")).alias("o"), "node"))["node"].alias("centre")).where("size > 1")
-    rows = keyed.join(sizes, "key")
-    star = rows.where((F.col("size") > SMALL) & (F.col("node") != F.col("centre"))).select(F.col("centre").alias("a"), F.col("node").alias("b"))
-    groups = rows.where(F.col("size") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("g"))  # at most SMALL each
+    """All pairs (a, b) of the buckets of at most SMALL texts, from rows (key, node, size)."""
+    groups = keyed.where(F.col("size") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("g"))  # at most SMALL each
     first = groups.select(F.posexplode("g").alias("i", "a"), "g")
-    close = first.select("a", F.explode(F.slice("g", F.col("i") + 2, F.greatest(F.size("g") - F.col("i") - 1, F.lit(0)))).alias("b"))
-    return close.union(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+    return first.select("a", F.explode(F.slice("g", F.col("i") + 2, F.greatest(F.size("g") - F.col("i") - 1, F.lit(0)))).alias("b")).distinct()
+
+
+def verified_blocks(keyed: DataFrame, vectors: DataFrame, idf: np.ndarray) -> DataFrame:
+    """The pairs (a, b) of the buckets of more than SMALL texts that are similar enough: each two blocks of a bucket meet once."""
+    big = keyed.where(F.col("size") > SMALL)
+    own = big.groupBy("node").agg(F.collect_list("key").alias("ks"))  # at most BANDS keys
+    n = F.ceil(F.col("size") / BLOCK)
+    cells = big.select("key", "node", F.pmod(F.xxhash64("node"), n).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))).alias("j"))
+    cells = cells.select("node", "key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), (F.col("i") > F.col("j")).cast("int").alias("role"))
+    rows = cells.hint("merge").join(own.join(vectors, "node"), "node").select("key", "lo", "hi", "role", "node", "ks", "h")
+    rows = rows.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "role")
+
+    def run(batches):
+        group, held = None, []
+        for b in batches:
+            hit = ([], [])
+            for key, lo, hi, role, node, ks, h in zip(*(b.column(i).to_pylist() for i in range(6)), lists(b.column(6)), strict=True):
+                if group != (key, lo, hi):
+                    group, held = (key, lo, hi), []
+                v, ks = vector(h, idf), frozenset(ks)
+                if role == 1 or lo == hi:
+                    for other, others, w in held:
+                        if min(ks & others) == key and similarity(v, w) >= SIMILAR:
+                            hit[0].append(min(node, other))
+                            hit[1].append(max(node, other))
+                if role == 0:
+                    held.append((node, ks, v))
+            yield pa.RecordBatch.from_arrays([pa.array(hit[0], pa.int64()), pa.array(hit[1], pa.int64())], ["a", "b"])
+
+    return arrow_map(rows, run, "a long, b long")
 
 
 def verified(pairs: DataFrame, vectors: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -223,31 +248,14 @@ def classes(docs: DataFrame) -> DataFrame:
     bands = texts.select("node", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     met = bands.join(shared, "key")
-    degree = met.groupBy("node").agg(F.sum("size").alias("degree"))
-    keyed = stored(met.select("key", "node", "size").join(degree, "node"))
-    pairs = stored(pairs_of(keyed.select("key", "node", "degree")))
+    keyed = stored(met.select("key", "node", "size"))
+    pairs = stored(pairs_of(keyed))
     wanted = keyed.select("node").distinct()
     named = texts.select("node", "digest").join(wanted, "node")
     # sorted on both sides at any size, here and in ``verified``: no size of the groups makes the plan another
     firsts = docs.join(named.hint("merge"), (docs["doc_id"] == named["node"]) & (F.md5("text") == named["digest"]))
     vectors = stored(word_hashes(firsts, "node").dropDuplicates(["node"]))
-    links = stored(verified(pairs, vectors, idf))
-    for _ in range(FURTHER):
-        done = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-        big = keyed.where(F.col("size") > SMALL)
-        left = big.select("node").distinct().join(done, "node", "left_anti").select("node", F.lit(1).alias("left"))
-        open_keys = big.join(left, "node").select("key").distinct()
-        per = big.join(open_keys, "key").groupBy("node", "degree").agg(F.sort_array(F.collect_list("key")).alias("ks"))  # at most BANDS keys
-        two = per.select("node", "degree", F.posexplode("ks").alias("i", "k1"), "ks")
-        two = two.select("node", "degree", "k1", F.explode(F.slice("ks", F.col("i") + 2, 2)).alias("k2"))
-        finer = two.select("node", "degree", F.xxhash64("k1", "k2").alias("key")).join(left, "node", "left")
-        live = finer.groupBy("key").agg(F.max("left").alias("l"), F.count("*").alias("n")).where("l = 1 and n > 1").select("key")
-        more = pairs_of(finer.join(live, "key").select("key", "node", "degree"))
-        more = stored(more.join(pairs, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            break
-        links = stored(links.union(verified(more, vectors, idf)))
-        pairs = pairs.union(more)
+    links = stored(verified(pairs, vectors, idf).union(verified_blocks(keyed, vectors, idf)).distinct())
     labels = components(links)
     n_links = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n_links"))
     named = texts.select("node", "digest").join(labels, "node", "left").join(n_links, "node", "left")

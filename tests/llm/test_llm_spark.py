@@ -273,6 +273,24 @@ def test_near_dedup_groups(spark):
     assert got[0] == 0 and {got[i] for i in [*range(1, 60), 100, 101]} == {1}
 
 
+def test_near_dedup_chain_in_large_buckets(spark, monkeypatch):
+    """Hundreds of texts, each an edit of the one before: no centre is near all of a bucket, yet every link of brute force is verified."""
+    import random
+
+    r = random.Random(4)
+    text = [f"w{r.randrange(9000)}" for _ in range(600)]
+    rows = []
+    for i in range(300):
+        text[r.randrange(600)] = f"e{i}"
+        rows.append((i, " ".join(text)))
+    links, components = set(), near_dedup.components
+    monkeypatch.setattr(near_dedup, "components", lambda edges: links.update((x.a, x.b) for x in edges.collect()) or components(edges))
+    got = {x.doc_id: x.class_id for x in near_dedup.op(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    near = {(a, b) for a in range(300) for b in range(a + 1, 300) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(near) > 1000 and near <= links and set(got.values()) == {0}
+
+
 def test_near_dedup_odd(odd):
     got = near_dedup.op(odd).collect()
     by = {r.doc_id: r.class_id for r in got}
