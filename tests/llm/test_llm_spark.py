@@ -291,6 +291,14 @@ def test_near_dedup_chain_in_large_buckets(spark, monkeypatch):
     assert len(near) > 1000 and near <= links and set(got.values()) == {0}
 
 
+def test_near_dedup_n_links_of_a_large_group(spark):
+    """A hundred different texts that are all alike: each is linked with the 99 others."""
+    base = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join([*base[: 3 * i], f"e{i}", *base[3 * i + 1 :]])) for i in range(100)]
+    got = near_dedup.op(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 100 and {(x.class_id, x.n_links) for x in got} == {(0, 99)}
+
+
 def test_near_dedup_odd(odd):
     got = near_dedup.op(odd).collect()
     by = {r.doc_id: r.class_id for r in got}
