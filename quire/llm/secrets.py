@@ -1,7 +1,8 @@
 """Secret scans with a random forest against false positives.
 
-Candidates are words of a text that hold a run of at least 12 token characters with letters and
-digits, or a known key format. Each is described by numbers, all in SQL expressions: length,
+Candidates are the runs of at least 12 token characters of a text's words, any number in a word,
+that have letters and digits or a known key format. Each is seen with its own part of the word: the
+name and signs before it and what follows. It is described by numbers, all in SQL expressions: length,
 transitions between character classes, shares of classes, distinct characters, dictionary coverage
 (characters in letter runs that are frequent corpus words), path signs, and the two words before
 and the one after (key-naming words, placeholder and digest words).
@@ -15,7 +16,8 @@ The dictionary is the ``DICTIONARY`` most frequent letter words of the whole cor
 all texts, partly summed before the shuffle, and broadcast at that fixed size.
 
 Defined cases: null and empty texts have no candidates; equal words at several places are several
-findings; very long words are read whole; repeated rows give repeated findings; an empty table or
+findings, and so are several secrets of one word, under one word number; very long words are read
+whole; repeated rows give repeated findings; an empty table or
 one without candidates gives an empty result. Other columns are ignored.
 """
 
@@ -42,7 +44,8 @@ FORMATS = {
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
     "private": r"sk[-_](?:live|test|proj)?[-_]?[A-Za-z0-9]{16,}",
 }
-TOKEN = r"[A-Za-z0-9+/_=\-]{12,}"
+MIXED = r"(?=[A-Za-z+/_=\-]*[0-9])(?=[0-9+/_=\-]*[A-Za-z])[A-Za-z0-9+/_=\-]{12,}"
+TILE = r"(.*?)([A-Za-z0-9+/_=.\-]{12,})"
 NAMES = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)"
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|xxxx|your[_-]|test123|redacted|\*\*\*"
 DIGEST = r"(?i)\b(?:sha(?:1|256|512)?|md5|commit|checksum|digest|hash|revision|etag|uuid|guid|build|version)\b"
@@ -53,24 +56,40 @@ FEATURES = (
 )
 
 
-def candidate_of(word: Column) -> Column:
-    """Whether a word can hold a secret; short words are out at once."""
-    run = F.regexp_extract(word, TOKEN, 0)
-    mixed = (run != "") & run.rlike("[0-9]") & run.rlike("[A-Za-z]")
-    return F.when(F.length(word) < 12, False).otherwise(mixed)
+def pieces(word: Column) -> Column:
+    """The candidates of a word: array of (run, part), where part is the word if it has one run only."""
+    runs, gaps = (F.regexp_extract_all(word, F.lit(TILE), F.lit(k)) for k in (2, 1))
+
+    def cut(tiles: Column) -> Column:
+        def piece(t: Column, i: Column) -> Column:
+            last = F.get(tiles, i - 1)["run"]
+            named = F.coalesce(t["gap"].rlike("^[\"']?[=:][\"']?$"), F.lit(False)) & last.isNotNull()
+            after = F.coalesce(F.get(tiles, i + 1)["gap"], F.regexp_replace(word, TILE, ""))
+            part = F.concat(F.when(named, last).otherwise(""), t["gap"], t["run"], F.substring(after, 1, 1))
+            return F.struct(t["run"].alias("run"), F.when(F.size(tiles) == 1, word).otherwise(part).alias("part"))
+
+        return F.transform(tiles, piece)
+
+    known = "|".join(f"(?:{f})" for f in FORMATS.values())
+    tiles = F.transform(F.arrays_zip(gaps.alias("gap"), runs.alias("run")), lambda t: F.struct(t["gap"].alias("gap"), t["run"].alias("run")))
+    kept = lambda x: x["run"].rlike(MIXED) | x["run"].rlike(known)
+    return F.when(F.length(word) >= 12, F.filter(let(tiles, cut), kept))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, word_no (from 1), before2, before, word, after."""
+    """doc_id, word_no (from 1), before2, before, word (its part that is the run's own), run, after."""
 
     def pick(ws: Column) -> Column:
-        row = lambda x, i: F.struct(
-            (i + 1).alias("word_no"), *[F.coalesce(F.get(ws, i + k), F.lit("")).alias(n) for k, n in ((-2, "before2"), (-1, "before"))], x.alias("word"),
-            F.coalesce(F.get(ws, i + 1), F.lit("")).alias("after"),
+        near = lambda i, k: F.coalesce(F.get(ws, i + k), F.lit(""))
+        row = lambda x, i: F.transform(
+            pieces(x),
+            lambda p: F.struct(
+                (i + 1).alias("word_no"), near(i, -2).alias("before2"), near(i, -1).alias("before"), p["part"].alias("word"), p["run"].alias("run"), near(i, 1).alias("after"),
+            ),
         )
-        return F.filter(F.transform(ws, lambda x, i: F.when(candidate_of(x), row(x, i))), lambda r: r.isNotNull())
+        return F.flatten(F.filter(F.transform(ws, row), lambda r: r.isNotNull()))
 
-    likely = F.col("text").rlike(r"[0-9]")
+    likely = F.col("text").rlike(r"[0-9]") | F.col("text").rlike("|".join(f"(?:{f})" for f in FORMATS.values()))
     return docs.where(likely).select("doc_id", F.inline(let(words(F.col("text")), pick)))
 
 
@@ -85,8 +104,8 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> DataFrame:
 def described(found: DataFrame, dict_row: DataFrame) -> DataFrame:
     """Candidates with the columns of FEATURES, ``rule`` and ``secret`` (the token itself)."""
     w = F.col("word")
-    after_sign = F.regexp_extract(w, r"[=:]\s*[\"']?([A-Za-z0-9+/_=.\-]{8,})", 1)
-    token = F.when(after_sign != "", after_sign).otherwise(F.regexp_extract(w, r"[A-Za-z0-9+/_=.\-]{12,}", 0))
+    after_sign = F.regexp_extract("run", r"=([A-Za-z0-9+/_=.\-]{8,})", 1)
+    token = F.when(after_sign != "", after_sign).otherwise(F.col("run"))
     d = found.join(F.broadcast(dict_row)).withColumn("secret", token)
     t, n = F.col("secret"), F.greatest(F.length("secret"), F.lit(1)).cast("double")
     share = lambda pattern: F.length(F.regexp_replace(t, f"[^{pattern}]", "")) / n
@@ -96,7 +115,7 @@ def described(found: DataFrame, dict_row: DataFrame) -> DataFrame:
     known = F.aggregate(F.array_intersect(runs, F.col("dict")), F.lit(0), lambda a, x: a + F.length(x))
     rule = F.lit("generic")
     for name, pattern in reversed(FORMATS.items()):
-        rule = F.when(w.rlike(pattern), F.lit(name)).otherwise(rule)
+        rule = F.when(F.col("run").rlike(pattern), F.lit(name)).otherwise(rule)
     near = F.concat_ws(" ", "before2", "before")
     values = {
         "length": n,
@@ -126,7 +145,7 @@ def examples(n: int = EXAMPLES, seed: int = 5) -> list[tuple[str, str, str, str,
     some = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
     hexes, upper, both = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
     plain = ("the", "with", "value", "set", "of", "und", "de", "run", "see", "file", "from", "report", "la", "in")
-    names = ("password", "passwd", "secret", "token", "api_key", "apiKey", "access_key", "auth_token", "SECRET_KEY", "credential")
+    names = ("password", "passwd", "secret", "token", "api_key", "apiKey", "access_key", "auth_token", "SECRET_KEY", "credential", "client_secret", "secret_access_key", "aws_secret_access_key")
     digests = ("sha256", "md5", "commit", "checksum", "revision", "hash", "etag", "build")
     secret = lambda: r.choice([
         some(hexes, r.randrange(16, 48)), some(both, r.randrange(16, 44)), some(both + "+/", r.randrange(24, 60)), some(both, r.randrange(12, 20)),
@@ -139,7 +158,7 @@ def examples(n: int = EXAMPLES, seed: int = 5) -> list[tuple[str, str, str, str,
         if kind == 0:
             row = (a, b, r.choice(["AKIA", "ASIA"]) + some(upper, 16) + r.choice(["", ".", ","]), c, 1)
         elif kind == 1:
-            row = (a, b, f"{r.choice(names)}{r.choice('=:')}{q}{secret()}{q}" + r.choice(["", ".", ","]), c, 1)
+            row = (a, b, r.choice(["", "", "{"]) + r.choice(["", q]) + r.choice(names) + q + r.choice("=:") + f"{q}{secret()}{q}" + r.choice(["", ".", ","]), c, 1)
         elif kind == 2:
             row = (r.choice(names), r.choice(["=", ":", "is"]), f"{q}{secret()}{q}", c, 1)
         elif kind == 3:
@@ -167,6 +186,9 @@ def examples(n: int = EXAMPLES, seed: int = 5) -> list[tuple[str, str, str, str,
 
 def fit(spark: SparkSession, labelled: list[tuple[str, str, str, str, int]], dict_row: DataFrame) -> list[trees.Tree]:
     rows = spark.createDataFrame(labelled[:EXAMPLES], "before2 string, before string, word string, after string, label int")
+    # one finding a row: its last candidate, or the whole word where a counterexample has none
+    last = F.coalesce(F.element_at(F.when(F.size(pieces(F.col("word"))) > 0, pieces(F.col("word"))), -1), F.struct(F.col("word").alias("run"), F.col("word").alias("part")))
+    rows = rows.select("before2", "before", last.alias("p"), "after", "label").select("before2", "before", F.col("p.part").alias("word"), F.col("p.run").alias("run"), "after", "label")
     got = described(rows, dict_row).select("label", *[f"f_{f}" for f in FEATURES]).collect()
     x = np.array([[*r][1:] for r in got], float).reshape(-1, len(FEATURES))
     return trees.forest(x, np.array([r[0] for r in got], float))

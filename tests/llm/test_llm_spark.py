@@ -208,6 +208,19 @@ def test_secrets(spark):
     assert secrets.op(empty(d)).count() == 0
 
 
+def test_secrets_every_run(spark):
+    """Secrets after long names, and several in one word: each is a finding of its own."""
+    hexes, mixed = "9f8a7b6c5d4e3f2a1b0c9d8e7f6a5b4c", "AbC1dEf2GhI3jKl4MnO5pQr6StU7vWx8"
+    rows = [
+        (1, f'set client_secret="{hexes}" now'), (2, f"the aws_secret_access_key:{mixed} of"), (3, f'with "secret_access_key":"{mixed}" set'),
+        (4, f'see {{"client_secret":"{hexes}","secret_access_key":"{mixed}"}} now'), (5, "an ghp_" + "abcdefghijklmnopqrst" * 2 + " here"),
+    ]
+    got = {(r.doc_id, r.secret): r for r in secrets.op(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(got) == {(1, hexes), (2, mixed), (3, mixed), (4, hexes), (4, mixed), (5, "ghp_" + "abcdefghijklmnopqrst" * 2)}
+    assert got[5, rows[4][1].split()[1]].rule == "github"
+    assert all(r.flagged for k, r in got.items() if k[0] < 5)
+
+
 def test_forest_as_sql(spark):
     import pandas as pd  # noqa: F401
 
