@@ -58,7 +58,10 @@ def heading_parent(spark, sf_dir):
 
 
 def slide_outline(spark, sf_dir):
-    return items.slide_outline(items.as_items(_blocks(spark, sf_dir).where("doc_id % 2 = 0"), "blocks"))
+    b = _blocks(spark, sf_dir).where("doc_id is not null")
+    deck = b.where("doc_id % 2 <> 0").groupBy("doc_id").agg(F.min("ord").alias("ord"))
+    titles = deck.select("doc_id", "ord", F.concat(F.lit("Deck "), F.col("doc_id").cast("string")).alias("title"), F.lit(1).alias("level"))
+    return items.slide_outline(items.as_items(titles, "outline").unionByName(items.as_items(b, "blocks")))
 
 
 _B = """SELECT conv_id AS doc_id, CAST(turn AS INTEGER) AS ord, 'block-' || turn AS id,
