@@ -38,6 +38,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        n = f"__{n}"
+        while n in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
+def below_share(key: Column, share: Column) -> Column:
+    """Whether a row's hash by ``key`` lies in the first ``share`` (0 to 1) of all hashes: a sample that any task can take alone."""
+    return F.xxhash64(key).cast("double") <= (share - 0.5) * 2.0**64
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A folder that the driver and all executors share.
 
@@ -54,12 +71,23 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
-def stored(df: DataFrame, compression: str = "zstd") -> DataFrame:
-    """Write to a new folder of the shared storage and read back: cuts lineage and survives lost executors.
+_ROOTS: dict[str, str] = {}
 
-    The folder belongs to the job's scratch space and is removed with it.
-    """
+
+def scratch(spark: SparkSession) -> str:
+    """The application's own folder in the shared storage; the driver's JVM removes it when it ends."""
+    context = spark.sparkContext
+    root = f"{shared_dir(spark)}/quire-{context.applicationId}"
+    if _ROOTS.get(context.applicationId) != root:
+        path = context._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _ROOTS[context.applicationId] = root
+    return root
+
+
+def stored(df: DataFrame, compression: str = "zstd") -> DataFrame:
+    """Write to a new folder of the shared storage and read back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quire-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
