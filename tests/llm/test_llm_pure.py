@@ -1,6 +1,7 @@
 """The parts that need no Spark: merges, Elias-Fano, images, trees, hypervectors, sampling."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -139,7 +140,7 @@ def test_shingles_and_samples():
     for _ in range(runs):  # sets with a Jaccard similarity of 0.6 share a sample in about 60 % of cases
         s = np.sort(rng.integers(0, 1 << 62, 400).astype(np.uint64))
         a, b = s[:320], s[80:]
-        ka, kb = (near_dedup.band_keys(x, np.ones(len(x), np.float32)) for x in (a, b))
+        ka, kb = (near_dedup.band_keys(near_dedup.samples(x, np.ones(len(x), np.float32))) for x in (a, b))
         hits += (ka == kb).mean()
     assert abs(hits / runs - 0.6**near_dedup.ROWS) < 0.05
     v = near_dedup.vector(np.arange(50), idf)
@@ -150,3 +151,44 @@ def test_media_payload():
     raw = "héllo".encode()
     px = media.decode(media.encode_netpbm(np.frombuffer(raw.ljust(192, b" "), np.uint8).reshape(-1, 64, 3)))
     assert hashlib.sha256(px.tobytes()).digest() == hashlib.sha256(raw.ljust(192, b" ")).digest()
+
+
+def test_language_by_hand():
+    """Predictions and scores equal those from the vectors themselves, bound and bundled gram by gram."""
+    texts = ["the cat and the dog", "a bird in the tree, the sun", "der hund und die katze", "ein vogel im baum, die sonne", "el gato y el perro", "un ave en el árbol"]
+    langs = ["en", "en", "de", "de", "es", "es"]
+    m = language_id.fit_texts(texts, langs)
+    v = language_id.letter_vectors(m.alphabet.size).astype(float)
+
+    def bundle(text):
+        numbers = [0]
+        for c in text.lower():
+            n = m.alphabet.frequent.index(c) + 1 if c in m.alphabet.frequent else 0
+            if n or numbers[-1]:
+                numbers.append(n)
+        if numbers[-1]:
+            numbers.append(0)
+        out = np.zeros(language_id.DIMENSIONS)
+        for a, b, c in zip(numbers, numbers[1:], numbers[2:]):
+            out += np.roll(v[a], 2) * np.roll(v[b], 1) * v[c]
+        return out
+
+    unit = lambda x: x / np.linalg.norm(x)
+    own = [unit(sum(bundle(t) for t, k in zip(texts, langs, strict=True) if k == name)) for name in sorted({*langs})]
+    own = [unit(p - np.mean(own, axis=0)) for p in own]
+    asked = [*texts, "the katze", "x", "hund el"]
+    names, scores = m.predict(asked)
+    for t, name, score in zip(asked, names, scores, strict=True):
+        cosines = sorted(((float(unit(bundle(t)) @ p), k) for p, k in zip(own, sorted({*langs}), strict=True)), key=lambda x: -x[0]) if any(c in m.alphabet.frequent for c in t) else []
+        if cosines and cosines[0][0] - cosines[1][0] > 1e-5:
+            (best, k), (second, _) = cosines[:2]
+            assert name == k and score == pytest.approx((1 + (best - second) / (abs(best) + abs(second))) / 2, abs=1e-4)
+    assert names[:6] == langs and m.predict([None, "", "123 !"]) == (["und"] * 3, [0.0] * 3)
+
+
+def test_toxicity_features_by_hand():
+    lexicon = {"vile": 4.0, "mean": 2.6, "rude": 1.6}
+    row = dict(zip("n strong medium weak hits top top3 second near caps loud odd listed".split(), toxicity.Features(lexicon).row("You are VILE! so mean and rude, v1le idiot?"), strict=True))
+    want = {"n": math.log1p(9), "strong": 2 / 9, "medium": 3 / 9, "weak": 4 / 9, "hits": math.log1p(4), "top": 4.0, "second": 1 / 9, "near": 2 / 9, "caps": 1 / 9, "loud": 2 / 9, "odd": 1 / 9, "listed": 1 / 9}
+    assert {k: row[k] for k in want} == pytest.approx(want) and row["top3"] == pytest.approx(4 + 4 + 2.5625)
+    assert toxicity.Features(lexicon).row(None) == toxicity.Features(lexicon).row("  ") == [0.0] * 13
