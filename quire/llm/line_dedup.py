@@ -7,15 +7,16 @@ before the shuffle, so a line that a third of all pages carry costs one row per
 
 A line is boilerplate only if it is on more than ``ratio`` of its host's pages, so a host has at
 most (lines per page) / ratio of them. The boilerplate table is materialised and counted: within
-``BROADCAST_ROWS`` (a few MB) it is broadcast as one array per host; beyond that it is joined by
-(host, digest) over distinct digests, with the table side copied to ``SALTS`` buckets against hot
-lines. Both ways give the same rows.
+``BROADCAST_ROWS`` (a few MB) it is broadcast as one array per host; beyond that the distinct digests
+of each host's texts are joined with it by (host, digest), the table side copied to ``SALTS`` buckets
+against hot lines, and a text gets the digests it has to lose. Both ways give the same rows.
 
 Defined cases: a null text stays null and has no lines; a null host is a host of its own; blank
 lines are never boilerplate and stay; lines are compared without the white space around them; a
-line counts once per page however often it stands there; rows that repeat an id are pages of their
-own; a page whose lines all go keeps an empty text; an empty table gives an empty result. Other
-columns pass through.
+line counts once per page however often it stands there; very long texts are read whole; a null id
+is passed on; rows that repeat an id, or a text, are pages of their own; a page whose lines all go
+keeps an empty text; an empty table gives an empty result. Other columns pass through, whatever their
+names, but for those of the two new ones, which raise ValueError.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, spaced, stored
+from .common import fresh, let, spaced, stored
 
 RATIO = 0.1
 MIN_PAGES = 5
@@ -64,34 +65,35 @@ def clean(
     pages: DataFrame,
     text_col: str = "text",
     host_col: str | Column = "source",
-    id_col: str = "doc_id",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """All columns with the text cleaned, plus ``n_lines`` and ``n_dropped``."""
+    if clash := {"n_lines", "n_dropped"} & {*pages.columns}:
+        raise ValueError(f"columns {sorted(clash)} exist already")
     raw = F.col(host_col) if isinstance(host_col, str) else host_col
     host = F.when(raw.isNull(), F.lit("n")).otherwise(F.concat(F.lit("k"), raw))
     drop = stored(boilerplate(pages, text_col, host, ratio, min_pages))
-    keyed = pages.withColumn("__h", host)
+    h, name, gone, kept = fresh(pages, "h", "name", "gone", "kept")
+    keyed = pages.withColumn(h, host)
     if drop.count() <= broadcast_rows:
-        per_host = drop.groupBy(F.col("h").alias("__h")).agg(F.sort_array(F.collect_set("d")).alias("__drop"))
-        joined = keyed.join(F.broadcast(per_host), "__h", "left")
+        per_host = drop.groupBy(F.col("h").alias(h)).agg(F.sort_array(F.collect_set("d")).alias(gone))
+        joined = keyed.join(F.broadcast(per_host), h, "left")
     else:
-        salt = F.pmod(F.xxhash64("__i", "d"), F.lit(SALTS))
-        hits = keyed.select("__h", F.col(id_col).alias("__i"), F.explode(_digests(F.col(text_col))).alias("d")).distinct()
+        keyed = keyed.withColumn(name, F.md5(text_col))
+        salt = F.pmod(F.xxhash64(name, "d"), F.lit(SALTS))
+        lines = keyed.select(h, name, F.explode(_digests(F.col(text_col))).alias("d")).distinct().withColumn("salt", salt)
         copies = drop.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-        hits = hits.withColumn("salt", salt).join(copies.withColumnRenamed("h", "__h"), ["__h", "d", "salt"])
-        hits = hits.groupBy("__h", "__i").agg(F.sort_array(F.collect_set("d")).alias("__drop")).withColumnRenamed("__h", "__g")
-        joined = keyed.join(hits, (keyed["__h"] == hits["__g"]) & keyed[id_col].eqNullSafe(hits["__i"]), "left")
+        hits = lines.join(copies.withColumnRenamed("h", h), [h, "d", "salt"]).groupBy(h, name).agg(F.sort_array(F.collect_set("d")).alias(gone))
+        joined = keyed.join(hits, [h, name], "left")
     lines = _lines(F.col(text_col))
-    found = F.array_intersect(_digests(F.col(text_col)), F.coalesce("__drop", F.array().cast("array<string>")))
-    kept = let(found, lambda gone: F.filter(lines, lambda x: ~F.coalesce(F.array_contains(gone, _digest(x)), F.lit(False))))
-    out = joined.withColumn("__kept", F.when(F.col("__drop").isNull() | F.col(text_col).isNull(), lines).otherwise(kept))
-    others = [F.col(f"`{c}`") for c in pages.columns if c != text_col]
-    n, k = F.coalesce(F.size(lines), F.lit(0)).cast("long"), F.coalesce(F.size("__kept"), F.lit(0)).cast("long")
-    n, k = F.greatest(n, F.lit(0)), F.greatest(k, F.lit(0))
-    return out.select(*others, F.array_join("__kept", "\n").alias(text_col), n.alias("n_lines"), (n - k).alias("n_dropped"))
+    found = F.array_intersect(_digests(F.col(text_col)), F.coalesce(gone, F.array().cast("array<string>")))
+    rest = let(found, lambda g: F.filter(lines, lambda x: ~F.coalesce(F.array_contains(g, _digest(x)), F.lit(False))))
+    out = joined.withColumn(kept, F.when(F.col(gone).isNull() | F.col(text_col).isNull(), lines).otherwise(rest))
+    n, k = (F.greatest(F.coalesce(F.size(c), F.lit(0)).cast("long"), F.lit(0)) for c in (lines, F.col(kept)))
+    columns = [F.array_join(kept, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in pages.columns]
+    return out.select(*columns, n.alias("n_lines"), (n - k).alias("n_dropped"))
 
 
 def op(docs: DataFrame) -> DataFrame:
