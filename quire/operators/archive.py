@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.shipping import ship
 from ..functions.strings import extension, leaf
 from ..limits import LIMITS, QueryError
 from .text import clamp, lines_of, needle_of, positive
@@ -31,6 +32,12 @@ def is_text(path: Column) -> Column:
     return name.isin(*TEXT_NAMES) | F.regexp_extract(name, r"(\.[^.]*)\z", 1).isin(*TEXT_EXTENSIONS)
 
 
+def names_text(path: str) -> bool:
+    """``is_text`` of one path, for parsers."""
+    name = path.rpartition("/")[2].lower()
+    return name in TEXT_NAMES or ("." in name and "." + name.rpartition(".")[2] in TEXT_EXTENSIONS)
+
+
 @F.pandas_udf(T.StringType())
 def nfc(s: pd.Series) -> pd.Series:
     import unicodedata
@@ -54,6 +61,7 @@ def safe_paths(entries: DataFrame, unicode: bool = True) -> DataFrame:
     """Adds ``safe_path`` (null if unsafe) and ``duplicate`` (another entry of the archive has it too)."""
     d = entries.withColumn("safe_path", normalized_path(F.col("path")))
     if unicode:
+        ship(entries.sparkSession)
         d = d.withColumn("safe_path", F.when(F.octet_length("safe_path") > F.length("safe_path"), nfc("safe_path")).otherwise(F.col("safe_path")))
     n = F.count("*").over(Window.partitionBy("archive_id", "safe_path"))
     return d.withColumn("duplicate", F.col("safe_path").isNotNull() & (n > 1))
@@ -118,10 +126,11 @@ def search(entries: DataFrame, query: str, limit: int | None = None, **budget: i
     )
 
 
-def read_entry(entries: DataFrame, path: str, start: int | None = None, end: int | None = None) -> DataFrame:
+def read_entry(entries: DataFrame, path: str, start: int | None = None, end: int | None = None, archives: DataFrame | None = None) -> DataFrame:
     """Lines of one text entry: 400 by default, 2000 at most, 200 000 characters; past the end the text is empty.
 
-    ``truncated`` means that lines or characters that were asked for are missing.
+    ``truncated`` means that lines or characters that were asked for are missing. ``archives``
+    (archive_id): those among them that lack the entry are rows with that error.
     """
     if path.endswith("/"):
         raise QueryError("ARCHIVE_ENTRY_UNSUPPORTED")
@@ -133,12 +142,17 @@ def read_entry(entries: DataFrame, path: str, start: int | None = None, end: int
     total = F.size(ls)
     last = F.least(total, F.lit(min(wanted, first + LIMITS.entry_lines - 1)))
     body = F.array_join(F.slice(ls, first, F.greatest(last - first + 1, F.lit(0))), "\n")
-    error = F.when(~is_text(F.col("path")), "ARCHIVE_ENTRY_UNSUPPORTED").when(F.col("bytes") > LIMITS.entry_text_bytes, "ARCHIVE_RESOURCE_LIMIT")
+    own = F.col("error") if "error" in entries.columns else F.lit(None)
+    error = F.when(~is_text(F.col("path")), "ARCHIVE_ENTRY_UNSUPPORTED").when(F.col("bytes") > LIMITS.entry_text_bytes, "ARCHIVE_RESOURCE_LIMIT").otherwise(own)
     d = entries.where((F.col("path") == path) & ~F.col("directory"))
-    return d.select(
+    found = d.select(
         "archive_id", "path", F.when(error.isNull(), F.substring(body, 1, LIMITS.entry_chars)).alias("text"), F.lit(first).alias("line_start"), last.alias("line_end"),
         total.alias("total_lines"), ((last < total) | (F.length(body) > LIMITS.entry_chars)).alias("truncated"), error.alias("error"),
     )
+    if archives is None:
+        return found
+    absent = archives.join(found, "archive_id", "left_anti").select("archive_id", F.lit(path).alias("path"), F.lit("ARCHIVE_ENTRY_NOT_FOUND").alias("error"))
+    return found.unionByName(absent, allowMissingColumns=True)
 
 
 def coverage(entries: DataFrame, shown: int = 30) -> DataFrame:
@@ -194,6 +208,24 @@ def group_by_root(files: DataFrame) -> DataFrame:
     return g.join(inner, "root", "left").withColumn("directories", F.coalesce("directories", F.lit(0).cast("long")))
 
 
+def folder_admission(folders: DataFrame, checked_manifests: DataFrame) -> DataFrame:
+    """Adds ``error``: why a folder snapshot is refused, null if it is taken.
+
+    ``folders``: archive_id, content, snapshot_bytes and source_bytes as declared;
+    ``checked_manifests``: what ``manifest_check`` says of them. The sizes are looked at first.
+    """
+    size = F.octet_length("content").cast("bigint")
+    too_large = (size > LIMITS.snapshot_bytes) | (F.col("source_bytes") > LIMITS.folder_bytes)
+    odd = (size != F.col("snapshot_bytes")) | (size == 0)
+    d = folders.join(checked_manifests.select("archive_id", F.col("error").alias("__e")), "archive_id", "left")
+    return d.withColumn("error", F.when(too_large, "FILE_TOO_LARGE").when(odd, "BAD_REQUEST").otherwise(F.col("__e"))).drop("__e")
+
+
+def root_name(raw: Column) -> Column:
+    """Name of a folder root: no separators or control characters, trimmed, 255 characters at most; null (an error) if nothing is left."""
+    return F.nullif(F.substring(F.trim(F.regexp_replace(raw, r"[/\\\x00-\x1f\x7f]", "")), 1, 255), F.lit(""))
+
+
 def manifest_check(entries: DataFrame, declared: DataFrame) -> DataFrame:
     """Whether the declared file, directory and byte counts of each archive hold."""
     g = entries.groupBy("archive_id").agg(

@@ -6,22 +6,29 @@ and answers the six document queries, text and archive queries as DataFrames.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable, Iterator
+
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.shipping import ship
 from ..functions.strings import extension, leaf
-from ..limits import QueryError
+from ..limits import LIMITS, QueryError
 from ..operators import archive, cells, items, text
 from . import parsers
 
 SCHEMA = (
     "doc_id string, family string, ord int, id string, type string, title string, level int, text string, parent_id string, headers array<string>, "
     "rows array<array<string>>, sheet string, cell string, row_no int, col_no int, value string, formula string, saved_value string, status string, "
-    "name string, alt_text string, path string, slide int"
+    "name string, alt_text string, path string, slide int, merged array<struct<row:int,col:int,row_span:int,col_span:int>>"
 )
-FIELDS = [f.split()[0] for f in SCHEMA.split(", ")]
+FIELDS = [
+    "doc_id", "family", "ord", "id", "type", "title", "level", "text", "parent_id", "headers", "rows", "sheet", "cell", "row_no", "col_no", "value", "formula", "saved_value",
+    "status", "name", "alt_text", "path", "slide", "merged",
+]
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -32,57 +39,184 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def parse_documents(files: DataFrame) -> DataFrame:
-    """Item rows of the document files (csv, xlsx, docx, pptx by name)."""
+def _frames(doc: str, rows: list[dict]) -> Iterator[pd.DataFrame]:
+    for i in range(0, len(rows), 5000):  # a large sheet leaves in parts
+        part = rows[i : i + 5000]
+        frame = pd.DataFrame({f: pd.Series([r.get(f) for r in part], dtype=object) for f in FIELDS})
+        for f in ("ord", "level", "row_no", "col_no", "slide"):
+            frame[f] = pd.array(frame[f], dtype="Int32")
+        frame["doc_id"] = doc
+        yield frame
+
+
+def _kinds(files: DataFrame, known: Iterable[str]) -> DataFrame:
+    kind = F.substring(extension(F.col("name")), 2, 10)
+    return files.select("doc_id", kind.alias("kind"), "content").where(F.col("kind").isin(*known))
+
+
+def parse_documents(files: DataFrame, index_from: int | None = None) -> DataFrame:
+    """Item rows of the document files (csv, xlsx, docx, pptx by name); a file that cannot be read is one row of family ``error``.
+
+    Spreadsheets from ``index_from`` bytes on give their sheets only; ``read_ranges`` answers for their cells.
+    """
     ship(files.sparkSession)
 
     def run(batches):
         for pdf in batches:
             for doc, kind, data in zip(pdf["doc_id"], pdf["kind"], pdf["content"], strict=True):
-                rows = parsers.parse(kind, bytes(data))
-                for i in range(0, len(rows), 5000):  # a large sheet leaves in parts
-                    part = rows[i : i + 5000]
-                    frame = pd.DataFrame({f: pd.Series([r.get(f) for r in part], dtype=object) for f in FIELDS})
-                    for f in ("ord", "level", "row_no", "col_no", "slide"):
-                        frame[f] = pd.array(frame[f], dtype="Int32")
-                    frame["doc_id"] = doc
-                    yield frame
+                yield from _frames(doc, parsers.parse(kind, bytes(data), index_from))
 
-    kind = F.substring(extension(F.col("name")), 2, 10)
-    return files.select("doc_id", kind.alias("kind"), "content").where(F.col("kind").isin(*parsers.PARSERS)).mapInPandas(run, SCHEMA)
+    return _kinds(files, parsers.PARSERS).mapInPandas(run, SCHEMA)
 
 
-def list_archives(files: DataFrame) -> DataFrame:
-    """Entries of the zip files: archive_id, ord, path, bytes, compressed_bytes, method, directory, text; or an error row."""
+def read_ranges(files: DataFrame, sheet: str, where: str) -> DataFrame:
+    """Items of a range of each spreadsheet file, read from the file itself: cells, each formula after its cell, 2000 at most."""
     ship(files.sparkSession)
-    names = ["archive_id", "ord", "path", "bytes", "compressed_bytes", "method", "directory", "text", "error"]
 
     def run(batches):
         for pdf in batches:
-            for doc, data in zip(pdf["doc_id"], pdf["content"], strict=True):
+            for doc, kind, data in zip(pdf["doc_id"], pdf["kind"], pdf["content"], strict=True):
+                yield from _frames(doc, parsers.read_range(kind, bytes(data), sheet, where))
+
+    return _kinds(files, parsers.RANGES).mapInPandas(run, SCHEMA)
+
+
+def fingerprint(index_from: int | None = None) -> str:
+    """Twelve hex digits that change with the parsers' version and their limits."""
+    return hashlib.sha256(repr((parsers.VERSION, LIMITS, index_from)).encode()).hexdigest()[:12]
+
+
+def parse_cached(files: DataFrame, folder: str, index_from: int | None = None) -> DataFrame:
+    """Items as ``parse_documents`` gives them, by way of a table in ``folder``: equal bytes of a kind are parsed once per fingerprint."""
+    spark, path = files.sparkSession, f"{folder.rstrip('/')}/parser={fingerprint(index_from)}"
+    key = F.concat("sha256", F.lit("."), F.substring(extension(F.col("name")), 2, 10))
+    keyed = files.withColumn("key", key)
+    try:
+        have = spark.read.schema(SCHEMA).parquet(path)
+        known = have.select(F.col("doc_id").alias("key")).distinct()
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = None
+    new = keyed if known is None else keyed.join(known, "key", "left_anti")
+    fresh = new.dropDuplicates(["key"]).select(F.col("key").alias("doc_id"), "name", "content")
+    parse_documents(fresh, index_from).write.mode("append").parquet(path)
+    stored = spark.read.schema(SCHEMA).parquet(path).withColumnRenamed("doc_id", "key")
+    return keyed.select("doc_id", "key").join(stored, "key").select(*FIELDS)
+
+
+ENTRY_SCHEMA = "archive_id string, ord int, path string, bytes long, compressed_bytes long, method int, directory boolean, text string, error string"
+
+
+def list_archives(files: DataFrame) -> DataFrame:
+    """Entries of the zip files: archive_id, ord, path, bytes, compressed_bytes, method, directory, text, error.
+
+    An archive is opened and checked once. Text entries within the limit are decoded; a damaged or
+    undecodable one has no text and says so in ``error``. An archive that cannot be read is one row
+    without a path.
+    """
+    ship(files.sparkSession)
+    names = [f.split()[0] for f in ENTRY_SCHEMA.split(", ")]
+
+    def entries(doc, data):
+        try:
+            pack = parsers.Archive(data)
+            rows = pack.entries()
+        except QueryError as bad:
+            yield [doc, 0, None, 0, 0, 0, False, None, bad.code]
+            return
+        except Exception:  # as in ``parsers.guarded``
+            yield [doc, 0, None, 0, 0, 0, False, None, "ARCHIVE_CORRUPT"]
+            return
+        for i, (info, r) in enumerate(zip(pack.infos, rows, strict=True)):
+            text = error = None
+            if not r["directory"] and r["bytes"] <= LIMITS.entry_text_bytes and archive.names_text(r["path"]):
                 try:
-                    rows = parsers.zip_manifest(bytes(data))
+                    text = parsers.decoded_text(pack.read(info))
+                    error = None if text is not None else "TEXT_ENCODING_UNSUPPORTED"
                 except QueryError as bad:
-                    yield pd.DataFrame([[doc, 0, None, 0, 0, 0, False, None, bad.code]], columns=names)
-                    continue
-                for i, r in enumerate(rows):
-                    ext_text = None if r["directory"] else parsers.zip_text(bytes(data), r["path"])
-                    yield pd.DataFrame([[doc, i, r["path"], r["bytes"], r["compressed_bytes"], r["method"], r["directory"], ext_text, None]], columns=names)
+                    error = bad.code
+            yield [doc, i, *r.values(), text, error]
 
-    schema = "archive_id string, ord int, path string, bytes long, compressed_bytes long, method int, directory boolean, text string, error string"
-    return files.select("doc_id", "content").mapInPandas(run, schema)
+    def run(batches):
+        for pdf in batches:
+            for doc, data in zip(pdf["doc_id"], pdf["content"], strict=True):
+                held, size = [], 0
+                for row in entries(doc, bytes(data)):
+                    held.append(row)
+                    size += len(row[7] or "")
+                    if len(held) >= 1000 or size >= LIMITS.entry_text_bytes:
+                        yield pd.DataFrame(held, columns=names)
+                        held, size = [], 0
+                if held:
+                    yield pd.DataFrame(held, columns=names)
+
+    return files.select("doc_id", "content").mapInPandas(run, ENTRY_SCHEMA)
+
+
+def entry_bytes(files: DataFrame, path: str) -> DataFrame:
+    """The entry of one path in each zip file: doc_id (the archive), path, content, or the error why there is none."""
+    wanted = parsers.archive_path(path)
+    if wanted.endswith("/"):
+        raise QueryError("ARCHIVE_ENTRY_UNSUPPORTED")
+    ship(files.sparkSession)
+
+    def one(data):
+        try:
+            pack = parsers.Archive(data)
+            return pack.read(pack.find(wanted)), None
+        except QueryError as bad:
+            return None, bad.code
+        except Exception:  # as in ``parsers.guarded``
+            return None, "ARCHIVE_CORRUPT"
+
+    def run(batches):
+        for pdf in batches:
+            for doc, data in zip(pdf["doc_id"], pdf["content"], strict=True):
+                yield pd.DataFrame([[doc, wanted, *one(bytes(data))]], columns=["doc_id", "path", "content", "error"])
+
+    return files.select("doc_id", "content").mapInPandas(run, "doc_id string, path string, content binary, error string")
+
+
+def entry_documents(files: DataFrame, path: str) -> DataFrame:
+    """Items of the document at one path in each zip file, or a row of family ``error``. ``locator`` puts each item's place under the path."""
+    raw = entry_bytes(files, path).withColumn("name", F.lit(path.replace("\\", "/").rpartition("/")[2]))
+    kind = archive.classify(raw.withColumnRenamed("error", "why"))
+    refused = F.when(F.col("why").isNotNull(), F.col("why")).when(F.coalesce(F.col("kind") != "document", F.lit(True)), F.coalesce("error", F.lit("ARCHIVE_ENTRY_UNSUPPORTED")))
+    kind = kind.select("doc_id", "name", "content", refused.alias("refused"))
+    items_of = parse_documents(kind.where("refused is null"))
+    errors = kind.where("refused is not null").select("doc_id", F.lit("error").alias("family"), F.lit(0).alias("ord"), F.col("refused").alias("status"))
+    out = items_of.unionByName(errors, allowMissingColumns=True)
+    place = F.struct(F.when(F.col("sheet").isNotNull(), "spreadsheet").otherwise("office").alias("kind"), F.col("path").alias("path"), F.col("slide").alias("slide"), F.col("sheet").alias("sheet"), F.col("cell").alias("cell"))
+    return archive.folderize(out.withColumn("locator", place), parsers.archive_path(path))
 
 
 class Corpus:
-    """Files below a path, queried as DataFrames."""
+    """Files below a path, queried as DataFrames.
+
+    ``cache``: a folder for parsed documents, so that equal files are parsed once. ``index_from``:
+    spreadsheets of so many bytes on are not unpacked into cells; ``range`` then reads them on demand.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, cache: str | None = None, index_from: int | None = None):
+        self._open(read_files(spark, path), cache, index_from)
+
+    @classmethod
+    def over(cls, files: DataFrame, cache: str | None = None, index_from: int | None = None) -> Corpus:
+        """A corpus of a table of files (doc_id, name, bytes, sha256, content)."""
+        corpus = cls.__new__(cls)
+        corpus._open(files, cache, index_from)
+        return corpus
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.files = read_files(spark, path)
-        kind = archive.classify(self.files)
-        self.classified = kind
-        self.items = parse_documents(kind.where("kind = 'document'"))
-        self.texts = text.admission(kind.where("kind = 'text'"))
-        self.entries = list_archives(kind.where("kind = 'archive'"))
+    def _open(self, files: DataFrame, cache: str | None, index_from: int | None) -> None:
+        self.files = files
+        self.classified = archive.classify(self.files)
+        self.index_from = index_from
+        documents = self.classified.where("kind = 'document'")
+        self.items = parse_documents(documents, index_from) if cache is None else parse_cached(documents, cache, index_from)
+        self.texts = text.admission(self.classified.where("kind = 'text'"))
+        self.archives = self.classified.where("kind = 'archive'")
+        self.entries = list_archives(self.archives)
 
     def views(self) -> None:
         """Registers the tables for SQL as corpus_items, corpus_texts and corpus_entries."""
@@ -100,7 +234,16 @@ class Corpus:
         return items.blocks(self.items, ids)
 
     def range(self, sheet: str, where: str) -> DataFrame:
-        return cells.spreadsheet_range(self.items.where("family = 'cells'"), self.items.where("family = 'formulas'"), sheet, where)
+        """Cells, then formulas. Files that were only indexed are read again up to the range's last row."""
+        whole = cells.spreadsheet_range(self.items.where("family = 'cells'"), self.items.where("family = 'formulas'"), sheet, where)
+        if self.index_from is None:
+            return whole
+        large = self.classified.where(F.col("kind") == "document").where(F.col("bytes") >= self.index_from)
+        read = read_ranges(large, sheet, where).where("family in ('cells', 'formulas')")
+        order = F.when(F.col("family") == "cells", 5).otherwise(6)
+        of_cell = F.when(F.col("family") == "cells", F.col("value"))
+        formula = F.when(F.col("family") == "formulas", F.col("formula"))
+        return whole.unionByName(read.select("doc_id", order.alias("family_ord"), "sheet", "row_no", "col_no", of_cell.alias("value"), formula.alias("formula"), (F.col("ord") + 1).alias("ord"), "cell"))
 
     def slide(self, number: int, include_notes: bool = True) -> DataFrame:
         return items.slide(self.items, number, include_notes)
@@ -109,11 +252,41 @@ class Corpus:
         return items.path(self.items, prefix)
 
     def coverage(self) -> DataFrame:
-        """One row per document: kind, coverage, warnings, or its error."""
+        """One row per document: kind, coverage, warnings, or its error; texts and archives likewise."""
         d = self.items.where("family in ('document', 'error')")
         failed = F.col("family") == "error"
         return d.select("doc_id", F.when(~failed, F.col("name")).alias("kind"), F.when(~failed, F.col("status")).alias("coverage"), F.when(~failed, F.col("text")).alias("warnings"), F.when(failed, F.col("status")).alias("error"))
 
+    def text_coverage(self) -> DataFrame:
+        """The same of text files, which are read whole or not at all."""
+        ok = F.col("reason").isNull()
+        return self.texts.select("doc_id", F.lit("text").alias("kind"), F.when(ok, "COMPLETE").alias("coverage"), F.when(ok, F.array(F.lit("utf-8 text"))).alias("included"), F.col("reason").alias("error"))
+
+    def preview(self) -> DataFrame:
+        """Preview text of each document."""
+        location = F.coalesce(F.concat_ws("!", "sheet", "cell"), "path")
+        heads = items.outline(self.items).where("family = 'outline'").withColumn("location", F.nullif(location, F.lit("")))
+        count = lambda f: F.count_if(F.col("family") == f)
+        is_doc = F.col("family") == "document"
+        counts = self.items.groupBy("doc_id").agg(
+            F.max(F.when(is_doc, F.col("name"))).alias("kind"), F.max(F.when(is_doc, F.col("status"))).alias("coverage"),
+            count("blocks").alias("n_blocks"), count("tables").alias("n_tables"), count("formulas").alias("n_formulas"),
+            F.split(F.max(F.when(is_doc & (F.col("status") == "PARTIAL"), F.col("text"))), "\n").alias("warnings"),
+        )
+        return items.preview(heads, counts.where("kind is not null"))
+
+    def first_cells(self) -> DataFrame:
+        """A1:H10 of each spreadsheet's first sheet, which an outline shows beside the sheets."""
+        first = self.items.where("family = 'sheets'").groupBy("doc_id").agg(F.min_by("name", "ord").alias("first"))
+        own = self.items.join(first, "doc_id").where(F.col("sheet") == F.col("first")).where("row_no <= 10 and col_no <= 8")
+        return items.first_per_doc(own.where("family in ('cells', 'formulas')").drop("first"), LIMITS.query_items)
+
+    def read(self, query: str | None = None, limit: int = 20, start: int | None = None, end: int | None = None) -> dict[str, DataFrame]:
+        """The default read of everything below the path, by kind of file: a search if there is a query, else lines of texts and outlines of the others."""
+        if query is not None and query.strip():
+            return {"document": self.search(query, limit), "text": self.text_search(query, limit), "archive": self.archive_search(query, limit)}
+        return {"document": self.outline(), "text": self.text_range(start, end), "archive": archive.outline(self.entries)}
+
     def text_range(self, start: int | None = None, end: int | None = None) -> DataFrame:
         return text.text_range(self.texts, start, end)
 
@@ -124,4 +297,12 @@ class Corpus:
         return archive.search(self.entries, query, limit)
 
     def read_entry(self, path: str, start: int | None = None, end: int | None = None) -> DataFrame:
-        return archive.read_entry(self.entries, path, start, end)
+        """Lines of the entry of each archive; an archive without it is a row with the error."""
+        return archive.read_entry(self.entries, parsers.archive_path(path), start, end, archives=self.archives.select(F.col("doc_id").alias("archive_id")))
+
+    def entry_bytes(self, path: str) -> DataFrame:
+        return entry_bytes(self.archives, path)
+
+    def entry_items(self, path: str) -> DataFrame:
+        """All items of the document at a path inside each archive, for the functions of ``operators.items`` and ``operators.cells``."""
+        return entry_documents(self.archives, path)

@@ -10,13 +10,14 @@ import hashlib
 import io
 import posixpath
 import re
+import unicodedata
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 from ..limits import LIMITS, QueryError
-from ..operators.cells import column_name, parse_a1
+from ..operators.cells import column_name, parse_a1, parse_range
 
 Row = dict
 
@@ -40,9 +41,8 @@ def csv_delimiter(data: bytes) -> str:
     return max(",\t;", key=lambda d: head.count(d.encode()))
 
 
-def csv_rows(text: str, delimiter: str = ",") -> list[list[str]]:
-    """RFC 4180 rows. A quote opens only in an empty field; CR, LF and CRLF end rows; a blank line is one empty field."""
-    rows: list[list[str]] = []
+def csv_stream(text: str, delimiter: str = ",") -> Iterator[list[str]]:
+    """RFC 4180 rows, one by one. A quote opens only in an empty field; CR, LF and CRLF end rows; a blank line is one empty field."""
     row: list[str] = []
     stop = re.compile(f'[{re.escape(delimiter)}\r\n"]')
     at, n, started = 0, len(text), False
@@ -78,16 +78,50 @@ def csv_rows(text: str, delimiter: str = ",") -> list[list[str]]:
             if c == "\r" and text[at : at + 1] == "\n":
                 at += 1
             row.append("".join(field))
-            rows.append(row)
+            yield row
             row, field, started = [], [], False
     if started or row or field:
         row.append("".join(field))
-        rows.append(row)
+        yield row
+
+
+def csv_rows(text: str, delimiter: str = ",") -> list[list[str]]:
+    """All rows; a text without any is corrupt."""
+    rows = list(csv_stream(text, delimiter))
     if not rows:
         raise QueryError("DOCUMENT_CORRUPT", "no rows")
     return rows
 
 
+def csv_index(data: bytes) -> Iterator[Row]:
+    """What a large CSV file has without its cells: number of rows and greatest width."""
+    text, encoding = csv_text(data)
+    n = width = 0
+    for row in csv_stream(text, csv_delimiter(data)):
+        n, width = n + 1, max(width, len(row))
+    if not n:
+        raise QueryError("DOCUMENT_CORRUPT", "no rows")
+    used = f"A1:{column_name(width)}{n}"
+    yield {"family": "document", "name": "spreadsheet", "status": "COMPLETE", "text": f"encoding:{encoding}"}
+    yield {"family": "outline", "id": "sheet-1", "title": "CSV", "level": 1, "sheet": "CSV", "cell": used}
+    yield {"family": "sheets", "name": "CSV", "status": "visible", "cell": used}
+
+
+def csv_range(data: bytes, sheet: str, where: str) -> Iterator[Row]:
+    """The non-empty cells of a range, row by row; nothing after its last row or the item limit is read."""
+    if sheet != "CSV":
+        raise QueryError("BAD_REQUEST", f"no sheet {sheet}")
+    r1, c1, r2, c2 = parse_range(where)
+    left = LIMITS.query_items
+    for i, row in enumerate(csv_stream(csv_text(data)[0], csv_delimiter(data)), 1):
+        if i > r2 or not left:
+            return
+        for j in range(c1, min(c2, len(row)) + 1) if i >= r1 else ():
+            if row[j - 1] and left:
+                left -= 1
+                yield {"family": "cells", "sheet": "CSV", "cell": f"{column_name(j)}{i}", "row_no": i, "col_no": j, "value": row[j - 1]}
+
+
 def parse_csv(data: bytes) -> Iterator[Row]:
     text, encoding = csv_text(data)
     rows = csv_rows(text, csv_delimiter(data))
@@ -138,31 +172,57 @@ def open_zip(data: bytes, corrupt: str, unsafe: str, limit: str, ratio_from: int
             raise QueryError(unsafe)
         if i.flag_bits & 1:
             raise QueryError("ENCRYPTED_DOCUMENT_UNSUPPORTED" if corrupt == "DOCUMENT_CORRUPT" else corrupt)
-        if i.compress_type not in (0, 8) or i.filename in seen:
+        name = unicodedata.normalize("NFC", i.filename.replace("\\", "/"))
+        if i.compress_type not in (0, 8) or name in seen:
             raise QueryError(corrupt)
-        seen.add(i.filename)
+        seen.add(name)
         if not i.is_dir() and i.file_size >= ratio_from and i.file_size > LIMITS.ratio * max(1, i.compress_size):
             raise QueryError(limit)
     return z
 
 
+class Archive:
+    """An archive within limits, opened once: its entries, and their bytes on request."""
+
+    def __init__(self, data: bytes):
+        self.zip = open_zip(data, "ARCHIVE_CORRUPT", "ARCHIVE_UNSAFE_PATH", "ARCHIVE_RESOURCE_LIMIT", LIMITS.ratio_from_bytes)
+        self.infos = self.zip.infolist()
+
+    def entries(self) -> list[Row]:
+        """path, bytes, compressed_bytes, method, directory of each entry."""
+        return [{"path": archive_path(i.filename), "bytes": i.file_size, "compressed_bytes": i.compress_size, "method": i.compress_type, "directory": i.is_dir()} for i in self.infos]
+
+    def find(self, path: str) -> zipfile.ZipInfo:
+        """The entry of a path, both normalised."""
+        wanted = archive_path(path)
+        if wanted.endswith("/"):
+            raise QueryError("ARCHIVE_ENTRY_UNSUPPORTED")
+        for i in self.infos:
+            if not i.is_dir() and archive_path(i.filename) == wanted:
+                return i
+        raise QueryError("ARCHIVE_ENTRY_NOT_FOUND", wanted)
+
+    def read(self, info: zipfile.ZipInfo) -> bytes:
+        """An entry's bytes; a damaged one is an error of its own."""
+        try:
+            return self.zip.read(info)
+        except Exception as bad:  # the library raises many kinds for damaged data
+            raise QueryError("ARCHIVE_CORRUPT", info.filename) from bad
+
+
+def archive_path(raw: str) -> str:
+    """Path of an entry with forward slashes in Unicode form C; an unsafe one is an error."""
+    if not safe_part(raw):
+        raise QueryError("ARCHIVE_UNSAFE_PATH", raw)
+    return unicodedata.normalize("NFC", raw.replace("\\", "/"))
+
+
 def zip_manifest(data: bytes) -> list[Row]:
-    """Entries of an archive: path, bytes, compressed_bytes, method, directory."""
-    z = open_zip(data, "ARCHIVE_CORRUPT", "ARCHIVE_UNSAFE_PATH", "ARCHIVE_RESOURCE_LIMIT", LIMITS.ratio_from_bytes)
-    return [
-        {"path": i.filename, "bytes": i.file_size, "compressed_bytes": i.compress_size, "method": i.compress_type, "directory": i.is_dir()} for i in z.infolist()
-    ]
+    return Archive(data).entries()
 
 
-def zip_text(data: bytes, path: str) -> str | None:
+def decoded_text(raw: bytes) -> str | None:
     """Text of an entry: UTF-16 by its BOM, else strict UTF-8; None if it is not text."""
-    z = open_zip(data, "ARCHIVE_CORRUPT", "ARCHIVE_UNSAFE_PATH", "ARCHIVE_RESOURCE_LIMIT", LIMITS.ratio_from_bytes)
-    try:
-        raw = z.read(path)
-    except KeyError as absent:
-        raise QueryError("ARCHIVE_ENTRY_NOT_FOUND") from absent
-    except (zipfile.BadZipFile, zlib.error) as bad:
-        raise QueryError("ARCHIVE_CORRUPT") from bad
     encoding = "utf-16" if raw[:2] in (b"\xff\xfe", b"\xfe\xff") else "utf-8-sig"
     try:
         return raw.decode(encoding)
@@ -201,6 +261,47 @@ class Package:
             raise QueryError("DOCUMENT_RESOURCE_LIMIT")
         return root
 
+    def elements(self, name: str, tag: str) -> Iterator[ElementTree.Element]:
+        """The elements of a kind in a part, one by one: what was read is let go, and what follows the last one asked for is never read."""
+        if name not in self.names:
+            raise QueryError("DOCUMENT_CORRUPT", name)
+        try:
+            with self.zip.open(name) as raw:
+                above = []
+                for event, e in ElementTree.iterparse(raw, ("start", "end")):
+                    if event == "start":
+                        self.nodes += 1
+                        if self.nodes > LIMITS.xml_nodes:
+                            raise QueryError("DOCUMENT_RESOURCE_LIMIT")
+                        e.tag = e.tag.rpartition("}")[2]
+                        above.append(e)
+                        continue
+                    above.pop()
+                    if e.tag == tag:
+                        yield e
+                    if tag not in {x.tag for x in above}:
+                        e.clear()
+                        if above:
+                            above[-1].remove(e)
+        except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, EOFError) as bad:
+            raise QueryError("DOCUMENT_CORRUPT", name) from bad
+
+    def dimension(self, name: str) -> str | None:
+        """The declared range of a sheet, which comes before its rows; no more than that is read."""
+        try:
+            with self.zip.open(name) as raw:
+                for _, e in ElementTree.iterparse(raw, ("start",)):
+                    tag = e.tag.rpartition("}")[2]
+                    if tag == "dimension":
+                        return e.get("ref")
+                    if tag == "sheetData":
+                        return None
+        except KeyError:
+            return None
+        except (ElementTree.ParseError, zipfile.BadZipFile, zlib.error, EOFError) as bad:
+            raise QueryError("DOCUMENT_CORRUPT", name) from bad
+        return None
+
     def rels(self, name: str) -> dict[str, tuple[str, str, bool]]:
         """Relationship id -> (target part, kind, external)."""
         folder, leaf = posixpath.split(name)
@@ -277,10 +378,8 @@ def parse_xlsx(data: bytes) -> Iterator[Row]:
             if f is not None:
                 style = c.get("s")
                 fid = xfs[int(style)] if style and style.isdigit() and int(style) < len(xfs) else None
-                bare = "SAVED_VALUE_ONLY" if saved is not None else "UNSUPPORTED_FORMULA"
-                status = bare if formula is None else "FORMULA_ONLY" if saved is None else "SAVED_CACHE"
                 formulas.append({
-                    "family": "formulas", "id": f"formula-{k}-{c.get('r')}", "status": status,
+                    "family": "formulas", "id": f"formula-{k}-{c.get('r')}", "status": formula_state(formula, saved),
                     "name": None if fid is None else codes.get(fid, f"builtin:{fid}"), **base,
                 })
         sheet_rels = p.rels(target)
@@ -309,6 +408,66 @@ def parse_xlsx(data: bytes) -> Iterator[Row]:
         yield from family
 
 
+def xlsx_index(data: bytes) -> Iterator[Row]:
+    """What a large workbook has without its cells: sheets with state and dimension, as far as the sheets' heads tell."""
+    p = Package(data, "xl/workbook.xml")
+    rels, sheets = p.rels("xl/workbook.xml"), []
+    for k, node in enumerate(p.part("xl/workbook.xml").iter("sheet"), 1):
+        name, state = node.get("name", ""), node.get("state", "visible")
+        used = p.dimension(rels.get(node.get("r:id", ""), ("", "", False))[0])
+        sheets.append(({"family": "outline", "id": f"sheet-{k}", "title": name, "level": 1, "sheet": name, "cell": used}, {"family": "sheets", "name": name, "status": state if state in ("hidden", "veryHidden") else "visible", "cell": used}))
+    yield {"family": "document", "name": "spreadsheet", "status": "COMPLETE"}
+    for i in (0, 1):
+        yield from (pair[i] for pair in sheets)
+
+
+def xlsx_range(data: bytes, sheet: str, where: str) -> Iterator[Row]:
+    """The cells of a range, each formula right after its cell; only the sheet's own part is read, and of the shared strings those wanted."""
+    r1, c1, r2, c2 = parse_range(where)
+    p = Package(data, "xl/workbook.xml")
+    rels = p.rels("xl/workbook.xml")
+    target = next((rels.get(n.get("r:id", ""), ("", "", False))[0] for n in p.part("xl/workbook.xml").iter("sheet") if n.get("name") == sheet), None)
+    if target is None:
+        raise QueryError("BAD_REQUEST", f"no sheet {sheet}")
+    picked, wanted = [], set()
+    for c in p.elements(target, "c"):
+        try:
+            row, col = parse_a1(c.get("r", ""))
+        except QueryError:
+            continue
+        if row > r2 or len(picked) >= LIMITS.query_items:
+            break
+        if r1 <= row and c1 <= col <= c2:
+            f = c.find("f")
+            kind, raw = c.get("t"), c.findtext("v")
+            if kind == "s" and raw and raw.isdigit():
+                wanted.add(int(raw))
+            picked.append((row, col, kind, raw, text_of(c.find("is")), None if f is None else f.text or ""))
+    strings = {}
+    if wanted and "xl/sharedStrings.xml" in p.names:
+        for i, si in enumerate(p.elements("xl/sharedStrings.xml", "si")):
+            if i in wanted:
+                strings[i] = text_of(si)
+            if i >= max(wanted):
+                break
+    left = LIMITS.query_items
+    for row, col, kind, raw, inline, f in picked:
+        value = {"s": lambda: strings.get(int(raw), "") if raw and raw.isdigit() else "", "inlineStr": lambda: inline, "b": lambda: "TRUE" if raw == "1" else "FALSE"}.get(kind, lambda: raw or "")()
+        base = {"sheet": sheet, "cell": f"{column_name(col)}{row}", "row_no": row, "col_no": col, "formula": f"={f}" if f else None, "saved_value": raw or None}
+        items = [{"family": "cells", "value": value, **base}]
+        if f is not None:
+            items.append({"family": "formulas", "id": f"formula-stream-{base['cell']}", "status": formula_state(base["formula"], base["saved_value"]), **base})
+        for item in items[:left]:
+            left -= 1
+            yield item
+
+
+def formula_state(formula: str | None, saved: str | None) -> str:
+    if formula is None:
+        return "UNSUPPORTED_FORMULA" if saved is None else "SAVED_VALUE_ONLY"
+    return "FORMULA_ONLY" if saved is None else "SAVED_CACHE"
+
+
 # DOCX and PPTX
 
 
@@ -317,20 +476,56 @@ def heading_level(style: str | None) -> int | None:
     return int(m[1]) if m else None
 
 
-def word_table(tbl: ElementTree.Element) -> list[list[str]]:
-    """Rows of a table; a cell over several columns fills them with empty ones, a continued merge is empty."""
-    rows = []
-    for tr in tbl.findall("tr"):
-        row: list[str] = []
-        for tc in tr.findall("tc"):
-            pr = tc.find("tcPr")
-            span = pr.find("gridSpan") if pr is not None else None
-            merge = pr.find("vMerge") if pr is not None else None
-            goes_on = merge is not None and merge.get("val", "continue") == "continue"
-            row.append("" if goes_on else "\n".join(text_of(x) for x in tc.findall("p")))
-            row += [""] * ((int(span.get("val", "1")) if span is not None else 1) - 1)
-        rows.append(row)
-    return rows
+def whole(text: str | None, least: int = 1) -> int:
+    """A number in an attribute, ``least`` where there is none."""
+    return max(least, int(text)) if text and text.isascii() and text.isdigit() and len(text) < 6 else least
+
+
+Cell = tuple[str, int, int, str]  # text, columns, rows, and whether it starts ("restart") or goes on with ("continue") a vertical merge
+
+
+def table_of(rows: list[list[Cell]]) -> dict:
+    """Headers, rows and merged cells of a document's table: a field per cell, spans by row and column from 1.
+
+    A cell that goes on with the merge above it adds a row to that merge and starts none.
+    """
+    merged, open_at = [], {}
+    for r, row in enumerate(rows, 1):
+        column = 1
+        for _, wide, high, mode in row:
+            places = range(column, column + wide)
+            column += wide
+            if mode == "continue":
+                if (above := open_at.get(places[0])) is not None:
+                    above["row_span"] += 1
+                continue
+            span = {"row": r, "col": places[0], "row_span": high, "col_span": wide}
+            starts = mode == "restart"
+            if starts or wide > 1 or high > 1:
+                merged.append(span)
+            open_at = {k: v for k, v in open_at.items() if k not in places} | (dict.fromkeys(places, span) if starts else {})
+    texts = [[c[0] for c in row] for row in rows]
+    return {"headers": texts[0] if texts else [], "rows": texts[1:], "merged": merged or None}
+
+
+def word_table(tbl: ElementTree.Element) -> list[list[Cell]]:
+    def cell(tc: ElementTree.Element) -> Cell:
+        span, merge = tc.find("tcPr/gridSpan"), tc.find("tcPr/vMerge")
+        mode = "" if merge is None else "restart" if merge.get("val") == "restart" else "continue"
+        return "" if mode == "continue" else "\n".join(text_of(x) for x in tc.findall("p")), whole(None if span is None else span.get("val")), 1, mode
+
+    return [[cell(tc) for tc in tr.findall("tc")] for tr in tbl.findall("tr")]
+
+
+def slide_table(tbl: ElementTree.Element) -> list[list[Cell]]:
+    """Cells that only fill a merge to the right are not cells of their own; those below one go on with it."""
+
+    def cell(tc: ElementTree.Element) -> Cell:
+        high = whole(tc.get("rowSpan"))
+        mode = "continue" if tc.get("vMerge") in ("1", "true") else "restart" if high > 1 else ""
+        return "\n".join(text_of(x) for x in tc.iter("p")), whole(tc.get("gridSpan")), 1, mode
+
+    return [[cell(tc) for tc in tr.findall("tc") if tc.get("hMerge") not in ("1", "true")] for tr in tbl.findall("tr")]
 
 
 class _Blocks:
@@ -354,9 +549,9 @@ class _Blocks:
             row["parent_id"] = self.parent
         self.rest.append(row)
 
-    def table(self, rows: list[list[str]], path: str, slide: int | None = None) -> None:
+    def table(self, rows: list[list[Cell]], path: str, slide: int | None = None) -> None:
         self.n += 1
-        self.rest.append({"family": "tables", "id": f"table-{self.n}", "headers": rows[0] if rows else [], "rows": rows[1:], "path": path, "slide": slide})
+        self.rest.append({"family": "tables", "id": f"table-{self.n}", "path": path, "slide": slide, **table_of(rows)})
 
     def image(self, alt: str | None, path: str, slide: int | None = None) -> None:
         self.n += 1
@@ -372,7 +567,7 @@ class _Blocks:
 def parse_docx(data: bytes) -> Iterator[Row]:
     p = Package(data, "word/document.xml")
     styles = p.part("word/styles.xml")
-    names = {s.get("styleId"): s.find("name").get("val") for s in styles.iter("style") if s.find("name") is not None} if styles is not None else {}
+    names = {s.get("styleId"): s.find("name").get("val", "") for s in styles.iter("style") if s.find("name") is not None} if styles is not None else {}
     out = _Blocks()
 
     def walk(parent: ElementTree.Element, prefix: str, kind: str = "paragraph") -> None:
@@ -392,7 +587,10 @@ def parse_docx(data: bytes) -> Iterator[Row]:
             elif e.tag in ("sdt", "sdtContent"):
                 walk(e, path, kind)
 
-    walk(p.part("word/document.xml").find("body"), "/body")
+    body = p.part("word/document.xml").find("body")
+    if body is None:
+        raise QueryError("DOCUMENT_CORRUPT", "no body")
+    walk(body, "/body")
     found = sorted(p.rels("word/document.xml").values())
     for kind in ("header", "footer"):
         for i, (target, _, _) in enumerate((t for t in found if t[1] == kind), 1):
@@ -434,7 +632,7 @@ def parse_pptx(data: bytes) -> Iterator[Row]:
                 body = e.find("txBody")
                 out.block("" if body is None else paragraphs(body), f"/slide[{n}]/shape[{key}]", "paragraph", 1 if title else None, n)
             elif (tbl := e.find(".//tbl")) is not None:
-                out.table([[paragraphs(tc) for tc in tr.findall("tc")] for tr in tbl.findall("tr")], f"/slide[{n}]/table[{key}]", n)
+                out.table(slide_table(tbl), f"/slide[{n}]/table[{key}]", n)
         texts = [r["text"] for r in out.rest[before:] if r["family"] == "blocks"]
         firsts.append((n, texts[0] if texts else f"Slide {n}"))
         for where, kind, outside in sorted(p.rels(target).values()):
@@ -453,20 +651,40 @@ def parse_pptx(data: bytes) -> Iterator[Row]:
 
 
 PARSERS = {"csv": parse_csv, "xlsx": parse_xlsx, "docx": parse_docx, "pptx": parse_pptx}
+INDEXERS = {"csv": csv_index, "xlsx": xlsx_index}
+RANGES = {"csv": csv_range, "xlsx": xlsx_range}
+#: Changes when parsers answer differently; part of the key of stored results.
+VERSION = "2"
 
 
-def parse(kind: str, data: bytes) -> list[Row]:
-    """All rows of a file, numbered by family; a failed one is a single row of family ``error``."""
+def guarded(kind: str, known: dict, read: Callable[[], Iterator[Row]], size: int) -> list[Row]:
+    """The rows of a file; whatever goes wrong in it is a single row of family ``error``."""
     try:
-        if len(data) > LIMITS.file_bytes:
+        if size > LIMITS.file_bytes:
             raise QueryError("FILE_TOO_LARGE")
-        if kind not in PARSERS:
+        if kind not in known:
             raise QueryError("UNSUPPORTED_FILE_TYPE")
-        rows = list(PARSERS[kind](data))
+        return list(read())
     except QueryError as bad:
-        return [{"family": "error", "ord": 0, "status": bad.code, "text": str(bad)}]
+        return [{"family": "error", "status": bad.code, "text": str(bad)}]
+    except Exception as bad:  # a damaged file must not end the job that reads a million others
+        return [{"family": "error", "status": "DOCUMENT_CORRUPT", "text": f"DOCUMENT_CORRUPT: {type(bad).__name__}"}]
+
+
+def parse(kind: str, data: bytes, index_from: int | None = None) -> list[Row]:
+    """All rows of a file, numbered by family. Spreadsheets from ``index_from`` bytes on give their sheets without cells."""
+    large = index_from is not None and len(data) >= index_from and kind in INDEXERS
+    rows = guarded(kind, PARSERS, lambda: (INDEXERS if large else PARSERS)[kind](data), len(data))
     counts: dict[str, int] = {}
     for r in rows:
         r["ord"] = counts.get(r["family"], 0)
         counts[r["family"]] = r["ord"] + 1
     return rows
+
+
+def read_range(kind: str, data: bytes, sheet: str, where: str) -> list[Row]:
+    """The items of a range of one spreadsheet, numbered in answer order; an unknown sheet is an error."""
+    rows = guarded(kind, RANGES, lambda: RANGES[kind](data, sheet, where), len(data))
+    for i, r in enumerate(rows):
+        r["ord"] = i
+    return rows
