@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,27 +61,60 @@ def is_pending() -> Column:
 def admit(files: DataFrame, most_files: int = LIMITS.session_files, most_bytes: int = LIMITS.session_bytes, each: int = LIMITS.file_bytes) -> DataFrame:
     """Adds ``admitted`` and ``error`` per file, in session order.
 
-    A rejected file leaves the session as it was and a later one may fit, so a session is one fold.
-    Only the number of its files is bound to a session, so the fold's state stays small.
+    A rejected file leaves the session as it was and a later one may fit, so a session is one fold
+    over the sizes of the files that can fit at all. Its state is the admitted files alone, at most
+    ``most_files``; what the others lacked follows from the files admitted before them.
     """
-    per = files.groupBy("session_id").agg(F.sort_array(F.collect_list(F.struct("ord", "bytes"))).alias("fs"))
-    kind = "struct<n:int,total:bigint,out:array<struct<ord:int,error:string>>>"
+    fit = files.where((F.col("bytes") > 0) & (F.col("bytes") <= each))
+    per = fit.groupBy("session_id").agg(F.sort_array(F.collect_list(F.struct(F.col("ord").cast("int").alias("ord"), F.col("bytes").cast("bigint").alias("bytes")))).alias("fs"))
+    kind = "struct<total:bigint,got:array<struct<ord:int,bytes:bigint>>>"
 
     def step(acc: Column, f: Column) -> Column:
-        error = (
-            F.when(f["bytes"] <= 0, "BAD_REQUEST")
-            .when(f["bytes"] > each, "FILE_TOO_LARGE")
-            .when(acc["n"] >= most_files, "TOO_MANY_ATTACHMENTS")
-            .when(acc["total"] + f["bytes"] > most_bytes, "ATTACHMENTS_TOO_LARGE")
-        )
-        fits = error.isNull()
-        row = F.struct(f["ord"].cast("int").alias("ord"), error.alias("error"))
-        n, total = acc["n"] + F.when(fits, 1).otherwise(0), acc["total"] + F.when(fits, f["bytes"]).otherwise(F.lit(0))
-        return F.struct(n.alias("n"), total.alias("total"), F.concat(acc["out"], F.array(row)).alias("out")).cast(kind)
-
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("total"), F.array().cast("array<struct<ord:int,error:string>>").alias("out")).cast(kind)
-    got = per.select("session_id", F.inline(F.aggregate("fs", start, step)["out"]))
-    return files.join(got, ["session_id", "ord"]).withColumn("admitted", F.col("error").isNull())
+        fits = (F.size(acc["got"]) < most_files) & (acc["total"] + f["bytes"] <= most_bytes)
+        return F.when(fits, F.struct((acc["total"] + f["bytes"]).alias("total"), F.concat(acc["got"], F.array(f)).alias("got")).cast(kind)).otherwise(acc)
+
+    start = F.struct(F.lit(0).cast("bigint").alias("total"), F.array().cast("array<struct<ord:int,bytes:bigint>>").alias("got")).cast(kind)
+    got = per.select("session_id", F.aggregate("fs", start, step)["got"].alias("__got"))
+    before = F.filter("__got", lambda x: x["ord"] < F.col("ord"))
+    error = (
+        F.when(F.col("bytes") <= 0, "BAD_REQUEST")
+        .when(F.col("bytes") > each, "FILE_TOO_LARGE")
+        .when(F.exists("__got", lambda x: x["ord"] == F.col("ord")), F.lit(None))
+        .when(F.size(before) >= most_files, "TOO_MANY_ATTACHMENTS")
+        .otherwise("ATTACHMENTS_TOO_LARGE")
+    )
+    return files.join(got, "session_id", "left").withColumn("error", error).withColumn("admitted", F.col("error").isNull()).drop("__got")
+
+
+def session_key(session: Column) -> Column:
+    """Name under which a session's records are stored."""
+    return F.sha2(session.cast("binary"), 256)
+
+
+def write_sessions(catalog: DataFrame, path: str) -> None:
+    """Replaces the stored records of the sessions in ``catalog``, one partition each; other sessions stay."""
+    d = catalog.withColumn("session_key", session_key(F.col("session_id")))
+    d.repartition("session_key").write.partitionBy("session_key").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+
+def read_sessions(like: DataFrame, path: str) -> DataFrame:
+    """Stored records, with the columns of ``like``; a store that is not there yet is empty."""
+    try:
+        return like.sparkSession.read.schema(like.schema).parquet(path).select(*like.columns)
+    except AnalysisException as absent:
+        if absent.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return like.limit(0)
+
+
+def active_turn(bindings: DataFrame) -> DataFrame:
+    """The attachments of each session's active turn, from events (session_id, seq, event, turn, attachment_id).
+
+    ``activate`` starts a turn with its attachments, ``clear`` ends it; the latest event counts.
+    """
+    last = bindings.groupBy("session_id").agg(F.max_by(F.struct("event", "turn"), "seq").alias("m"))
+    on = last.where("m.event = 'activate'").select("session_id", F.col("m.turn").alias("turn"))
+    return bindings.where("event = 'activate'").join(on, ["session_id", "turn"]).select("session_id", "turn", "attachment_id").distinct()
 
 
 def listed(catalog: DataFrame, session: str) -> DataFrame:

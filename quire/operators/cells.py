@@ -44,10 +44,14 @@ def column_name(n: int) -> str:
 
 
 def column_letters(n: Column) -> Column:
-    """Letters of a column number up to three letters (18278)."""
+    """Letters of a column number of any size; null for numbers below 1. (Addresses themselves have three letters at most.)"""
     digit = lambda x: F.chr(F.lit(65) + F.pmod(x, F.lit(26)))
-    last, mid, top = n - 1, F.floor((n - 27) / 26), F.floor((n - 703) / 676)
-    return F.concat(F.when(n > 702, digit(top)).otherwise(""), F.when(n > 26, digit(mid)).otherwise(""), digit(last))
+    letters, first, power = [], 1, 1  # numbers from ``first`` on have one letter more
+    for _ in range(7):
+        letters.insert(0, F.when(n >= first, digit(F.floor((n - first) / power))).otherwise(""))
+        power *= 26
+        first += power
+    return F.when(n >= 1, F.concat(*letters))
 
 
 def a1(row: Column, col: Column) -> Column:
@@ -59,7 +63,7 @@ def row_of(address: Column) -> Column:
 
 
 def column_of(address: Column) -> Column:
-    """Column number of an address column, null if it is none."""
+    """Column number of an address column, null if it is none (more than three letters are none)."""
     letters = F.regexp_extract(F.upper(address), "^([A-Z]{1,3})[1-9][0-9]*$", 1)
     at = lambda i: F.ascii(F.substring(letters, i, 1)) - 64
     n = F.length(letters)
@@ -93,9 +97,12 @@ def used_range(cells: DataFrame) -> DataFrame:
 
 
 def dense_rows(cells: DataFrame) -> DataFrame:
-    """One row per present sheet row: its fields up to the sheet's widest column, missing ones empty."""
+    """One row per present sheet row: its fields up to the sheet's widest column, missing ones empty. Of two values of one cell the greater counts."""
     width = cells.groupBy("doc_id", "sheet").agg(F.max("col_no").alias("w"))
-    rows = cells.groupBy("doc_id", "sheet", "row_no").agg(F.map_from_entries(F.collect_list(F.struct("col_no", "value"))).alias("m"))
+    row = F.sort_array(F.collect_list(F.struct("col_no", "value")))
+    rows = cells.groupBy("doc_id", "sheet", "row_no").agg(row.alias("s"))
+    last = F.filter("s", lambda x, i: F.coalesce(F.get(F.col("s"), i + 1)["col_no"] != x["col_no"], F.lit(True)))
+    rows = rows.select("doc_id", "sheet", "row_no", F.map_from_entries(last).alias("m"))
     fields = F.transform(F.sequence(F.lit(1), F.col("w")), lambda c: F.coalesce(F.element_at(F.col("m"), c), F.lit("")))
     return rows.join(width, ["doc_id", "sheet"]).select("doc_id", "sheet", "row_no", fields.alias("fields"))
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..limits import LIMITS
-from .text import needle_of
+from .text import clamp, needle_of
 
 # Order of the families in answers.
 FAMILIES = ("outline", "blocks", "tables", "formulas", "cells", "sheets", "images")
@@ -66,7 +66,7 @@ def outline(items: DataFrame) -> DataFrame:
 
 def search(items: DataFrame, query: str, limit: int = 20) -> DataFrame:
     hits = items.where(F.lower(item_text()).contains(needle_of(query)))
-    return first_per_doc(hits, max(0, min(limit, LIMITS.search_items)))
+    return first_per_doc(hits, clamp(limit))
 
 
 def blocks(items: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -17,7 +17,7 @@ FORBIDDEN = {
     "session id": r"(?i)session-[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
     "GitHub token": r"\b(?:ghp|github_pat)_[A-Za-z0-9_]{20,}\b",
     "private key": r"-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----",
-    "API secret": r"\bsk-[A-Za-z0-9_-]{20,}\b",
+    "OpenAI-style secret": r"\bsk-[A-Za-z0-9_-]{20,}\b",
     "AWS access key": r"\bAKIA[0-9A-Z]{16}\b",
 }
 # Tools, commands and roots that a discovery scan is known by.
@@ -47,6 +47,14 @@ def resize_to_fit(width: Column, height: Column, side: int = 2048) -> tuple[Colu
     return F.greatest(F.lit(1), F.floor(width * scale + 0.5)).cast("int"), F.greatest(F.lit(1), F.floor(height * scale + 0.5)).cast("int")
 
 
+def argument_text(value: object, depth: int = 0) -> str:
+    """The strings of a tool call's arguments, a line each, four levels deep."""
+    if isinstance(value, str):
+        return value
+    inner = value.values() if isinstance(value, dict) else value if isinstance(value, list | tuple) else ()
+    return "\n".join(argument_text(v, depth + 1) for v in inner) if depth < 4 else ""
+
+
 def discovery_denied(tool: Column, text: Column, ids: Sequence[str], store_words: Sequence[str] = STORE_WORDS) -> Column:
     """Whether a file tool's call looks for attachments: by an id, from a broad root, or in the store.
 

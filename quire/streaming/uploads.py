@@ -1,15 +1,19 @@
-"""Upload streams: ordered chunks, idle expiry, completion, one state per upload.
-
-Events: session_id, upload_id, event (begin, chunk, commit, cancel), seq, idx, bytes, declared.
-State is keyed by (session, upload). A chunk counts if it is the expected one, not too large and
-within the declared size; any other is answered BAD_REQUEST and changes nothing. Late chunks are
-never buffered, so there is no watermark; an upload idle for the limit expires by processing time.
-The cap on uploads that are open at once holds across all keys: ``admit_begins`` checks a
-micro-batch's begins in order against it, in foreachBatch.
+"""Upload streams: ordered chunks, idle expiry, completion, a global cap.
+
+Events: session_id, upload_id, event (begin, chunk, commit, cancel, cancel_session), seq, idx, bytes,
+declared. A chunk counts if it is the expected one, not too large and within the declared size; any
+other is answered BAD_REQUEST and changes nothing. Late chunks are never buffered, so there is no
+watermark; an upload idle for the limit expires by processing time.
+
+``run_uploads`` keeps one state per upload, so it spreads over any number of tasks; it knows no cap
+and no whole session. ``run_capped_uploads`` keeps all open uploads in one state, as the cap on their
+number holds across all keys: at most ``most`` uploads of a few numbers each, whatever the traffic.
+Both run the same machine.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -21,56 +25,95 @@ from ..functions.shipping import ship
 from ..limits import LIMITS
 
 OUT = "session_id string, upload_id string, event string, seq long, status string, received long, chunks int"
-STATE = "declared long, received long, chunks int"
 
 
-def run_uploads(events: DataFrame, idle_seconds: int = LIMITS.idle_seconds, chunk_bytes: int = LIMITS.chunk_bytes, file_bytes: int = LIMITS.file_bytes) -> DataFrame:
-    """Answers to the events of an upload stream."""
-    ship(events.sparkSession)
+class Machine:
+    """Open uploads and the answers to their events. An upload is (declared, received, chunks, last activity in ms)."""
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        out = []
+    def __init__(self, chunk_bytes: int, file_bytes: int, idle_ms: int, most: int | None = None):
+        self.chunk_bytes, self.file_bytes, self.idle_ms, self.most = chunk_bytes, file_bytes, idle_ms, most
+        self.open: dict[tuple[str, str], list[int]] = {}
+        self.answers: list[tuple] = []
 
-        def answer(event: str, seq: int, status: str, received: int, chunks: int) -> None:
-            out.append((*key, event, seq, status, received, chunks))
+    def load(self, text: str) -> None:
+        self.open = {(a, b): state for a, b, state in json.loads(text)}
 
-        if state.hasTimedOut:
-            _, received, chunks = state.get
-            state.remove()
-            answer("expire", -1, "EXPIRED", received, chunks)
+    def dump(self) -> str:
+        return json.dumps([[*k, state] for k, state in self.open.items()])
+
+    def expire(self, now: int) -> None:
+        for key in [k for k, u in self.open.items() if u[3] <= now - self.idle_ms]:
+            _, received, chunks, _ = self.open.pop(key)
+            self.answers.append((*key, "expire", -1, "EXPIRED", received, chunks))
+
+    def event(self, r, now: int) -> None:
+        key = (r.session_id, r.upload_id)
+        if r.event == "cancel_session":
+            for k in [k for k in self.open if k[0] == r.session_id]:
+                _, received, chunks, _ = self.open.pop(k)
+                self.answers.append((*k, r.event, r.seq, "CANCELLED", received, chunks))
+            return
+        u = self.open.get(key)
+        if r.event == "begin":
+            status = self.begin(key, int(r.declared), now)
+        elif u is None:
+            status = "BAD_REQUEST"
+        elif r.event == "chunk":
+            good = r.idx == u[2] and 0 <= r.bytes <= self.chunk_bytes and u[1] + r.bytes <= u[0]
+            if good:
+                u[1:] = [u[1] + int(r.bytes), u[2] + 1, now]
+            status = "OK" if good else "BAD_REQUEST"
+        elif r.event == "commit":
+            status = "COMMITTED" if u[1] == u[0] else "BAD_REQUEST"
         else:
-            current = list(state.get) if state.exists else None
-            rows = pd.concat(list(frames)).sort_values("seq")
-            for r in rows.itertuples():
-                if r.event == "begin":
-                    if current is not None or not 0 < r.declared <= file_bytes:
-                        answer("begin", r.seq, "BAD_REQUEST" if current is not None or r.declared <= 0 else "FILE_TOO_LARGE", 0, 0)
-                    else:
-                        current = [int(r.declared), 0, 0]
-                        answer("begin", r.seq, "OPEN", 0, 0)
-                elif current is None:
-                    answer(r.event, r.seq, "BAD_REQUEST", 0, 0)
-                elif r.event == "chunk":
-                    ok = r.idx == current[2] and 0 <= r.bytes <= chunk_bytes and current[1] + r.bytes <= current[0]
-                    if ok:
-                        current[1] += int(r.bytes)
-                        current[2] += 1
-                    answer("chunk", r.seq, "OK" if ok else "BAD_REQUEST", current[1], current[2])
-                else:
-                    whole = current[1] == current[0]
-                    if r.event == "commit" and not whole:
-                        answer("commit", r.seq, "BAD_REQUEST", current[1], current[2])
-                        continue
-                    answer(r.event, r.seq, "COMMITTED" if r.event == "commit" else "CANCELLED", current[1], current[2])
-                    current = None
-            if current is not None:
-                state.update(tuple(current))
-                state.setTimeoutDuration(idle_seconds * 1000)
-            elif state.exists:
-                state.remove()
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in OUT.split(", ")])
-
-    return events.groupBy("session_id", "upload_id").applyInPandasWithState(step, OUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+            status = "CANCELLED"
+        received, chunks = (0, 0) if u is None or r.event == "begin" else u[1:3]
+        if status in ("COMMITTED", "CANCELLED"):
+            del self.open[key]
+        self.answers.append((*key, r.event, r.seq, status, received, chunks))
+
+    def begin(self, key: tuple[str, str], declared: int, now: int) -> str:
+        if key in self.open or declared <= 0:
+            return "BAD_REQUEST"
+        if declared > self.file_bytes:
+            return "FILE_TOO_LARGE"
+        self.expire(now)
+        if self.most is not None and len(self.open) >= self.most:
+            return "BAD_REQUEST"
+        self.open[key] = [declared, 0, 0, now]
+        return "OPEN"
+
+
+def _run(events: DataFrame, keys: list[str], idle_seconds: int, chunk_bytes: int, file_bytes: int, most: int | None) -> DataFrame:
+    ship(events.sparkSession)
+
+    def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        m = Machine(chunk_bytes, file_bytes, idle_seconds * 1000, most)
+        now = state.getCurrentProcessingTimeMs()
+        if state.exists:
+            m.load(state.get[0])
+        m.expire(now)
+        if not state.hasTimedOut:
+            for r in pd.concat(list(frames)).sort_values("seq").itertuples():
+                m.event(r, now)
+        if m.open:
+            state.update((m.dump(),))
+            state.setTimeoutDuration(max(1, min(u[3] for u in m.open.values()) + m.idle_ms - now))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame(m.answers, columns=[f.split()[0] for f in OUT.split(", ")])
+
+    return events.groupBy(*keys).applyInPandasWithState(step, OUT, "uploads string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def run_uploads(events: DataFrame, idle_seconds: int = LIMITS.idle_seconds, chunk_bytes: int = LIMITS.chunk_bytes, file_bytes: int = LIMITS.file_bytes) -> DataFrame:
+    """Answers to the events of an upload stream, each upload on its own."""
+    return _run(events, ["session_id", "upload_id"], idle_seconds, chunk_bytes, file_bytes, None)
+
+
+def run_capped_uploads(events: DataFrame, most: int = LIMITS.uploads, idle_seconds: int = LIMITS.idle_seconds, chunk_bytes: int = LIMITS.chunk_bytes, file_bytes: int = LIMITS.file_bytes) -> DataFrame:
+    """The same with at most ``most`` uploads open at once over all sessions, and whole sessions cancelled by ``cancel_session``."""
+    return _run(events.withColumn("scope", F.lit("all")), ["scope"], idle_seconds, chunk_bytes, file_bytes, most)
 
 
 def admit_begins(begins: DataFrame, open_now: int, most: int = LIMITS.uploads) -> DataFrame:
