@@ -34,11 +34,11 @@ def archive_outline(spark, sf_dir):
 
 
 def archive_admitted(spark, sf_dir):
-    return archive.admitted(_entries(spark, sf_dir), files=8, total=20_000, each=6000)
+    return archive.admitted(_entries(spark, sf_dir))
 
 
 def archive_search(spark, sf_dir):
-    return archive.search(_entries(spark, sf_dir), "with", 20, files=8, total=20_000, each=6000)
+    return archive.search(_entries(spark, sf_dir), "with", 20)
 
 
 def archive_entry(spark, sf_dir):
@@ -66,6 +66,13 @@ def path_safety(spark, sf_dir):
     return archive.safe_paths(p.select(F.lit("site").alias("archive_id"), "page_id", raw.alias("path")), unicode=False).select("page_id", "safe_path", "duplicate")
 
 
+def path_unicode(spark, sf_dir):
+    """Paths with decomposed letters, which another entry has composed."""
+    p = table(spark, sf_dir, "pages")
+    raw = F.concat(F.lit("caf"), F.when(F.col("page_id") % 2 == 0, "e\u0301").otherwise("é"), F.lit("/"), F.floor(F.col("page_id") / 4).cast("string"))
+    return archive.safe_paths(p.select(F.lit("site").alias("archive_id"), "page_id", raw.alias("path"))).select("page_id", "safe_path", "duplicate")
+
+
 def parent_dirs(spark, sf_dir):
     return archive.parents(_folder(spark, sf_dir))
 
@@ -94,19 +101,19 @@ _F = "SELECT CAST(page_id AS INTEGER) AS ord, regexp_replace(url, '^https?://|[?
 _PARENTS = f"""SELECT DISTINCT 'site' AS archive_id, array_to_string(s[1:i], '/') AS parent FROM
 (SELECT s, unnest(range(1, len(s))) AS i FROM (SELECT string_split(path, '/') AS s FROM ({_F})))"""
 _ADMIT = f"""e AS ({_E}),
-c AS (SELECT *, row_number() OVER (PARTITION BY archive_id ORDER BY ord) AS k, count(*) OVER (PARTITION BY archive_id) AS searchable FROM e WHERE is_text AND bytes <= 6000),
+c AS (SELECT *, row_number() OVER (PARTITION BY archive_id ORDER BY ord) AS k, count(*) OVER (PARTITION BY archive_id) AS searchable FROM e WHERE is_text AND bytes <= 8388608),
 f(archive_id, k, left_, taken, got) AS (
-  SELECT DISTINCT archive_id, CAST(0 AS BIGINT), CAST(20000 AS BIGINT), 0, false FROM c
+  SELECT DISTINCT archive_id, CAST(0 AS BIGINT), CAST(33554432 AS BIGINT), 0, false FROM c
   UNION ALL
-  SELECT c.archive_id, c.k, CASE WHEN taken < 8 AND bytes <= left_ THEN left_ - bytes ELSE left_ END,
-         CASE WHEN taken < 8 AND bytes <= left_ THEN taken + 1 ELSE taken END, taken < 8 AND bytes <= left_
+  SELECT c.archive_id, c.k, CASE WHEN taken < 500 AND bytes <= left_ THEN left_ - bytes ELSE left_ END,
+         CASE WHEN taken < 500 AND bytes <= left_ THEN taken + 1 ELSE taken END, taken < 500 AND bytes <= left_
   FROM f JOIN c ON c.archive_id = f.archive_id AND c.k = f.k + 1),
 a AS (SELECT c.*, CAST(count(*) OVER (PARTITION BY c.archive_id) AS INTEGER) AS searched FROM c JOIN f ON c.archive_id = f.archive_id AND c.k = f.k WHERE f.got)"""
 
 QUERIES = {
     f.__name__: f
     for f in (
-        is_text, archive_outline, archive_admitted, archive_search, archive_entry, archive_coverage, archive_manifest_check, path_safety, parent_dirs,
+        is_text, archive_outline, archive_admitted, archive_search, archive_entry, archive_coverage, archive_manifest_check, path_safety, path_unicode, parent_dirs,
         folder_conflicts, folder_group_root, classify_file,
     )
 }
@@ -138,6 +145,9 @@ s AS (SELECT page_id, replace(raw, '\', '/') AS p FROM r),
 t AS (SELECT page_id, CASE WHEN starts_with(p, '/') OR regexp_matches(p, '^[A-Za-z]:/') OR
         len(list_filter(string_split(regexp_replace(p, '/$', ''), '/'), lambda x: x IN ('', '.', '..'))) > 0 THEN NULL ELSE p END AS safe_path FROM s)
 SELECT page_id, safe_path, safe_path IS NOT NULL AND count(*) OVER (PARTITION BY safe_path) > 1 AS duplicate FROM t""",
+    "path_unicode": """
+WITH p AS (SELECT page_id, 'café/' || (page_id // 4) AS safe_path FROM pages)
+SELECT page_id, safe_path, count(*) OVER (PARTITION BY safe_path) > 1 AS duplicate FROM p""",
     "parent_dirs": _PARENTS,
     "folder_conflicts": f"""
 WITH f AS ({_F}), p AS ({_PARENTS}),

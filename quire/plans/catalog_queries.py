@@ -92,8 +92,17 @@ def discovery_denial(spark, sf_dir):
     return c.select("conv_id", "turn", misc.discovery_denied(tool, call, ["attachment:7", "attachment:9"]).alias("denied"))
 
 
+#: What each document gets appended, by its number: a breach of each rule and a near miss of each.
+_PLANTED = (
+    "in /Users/jo.doe/x", "in /Users/", "at /home/ana-1/y", "at /home//y", "on C:\\Users\\me\\z", "on C:\\Users\\", "SESSION-0123abcd-0123-4567-89ab-0123456789AB", "session-0123abcd-0123-4567-89ab-0123456789a",
+    "ghp_" + "a1" * 10, "ghp_" + "a1" * 9, "-----BEGIN RSA PRIVATE KEY-----", "-----BEGIN DSA PRIVATE KEY-----", "sk-" + "b_2-" * 5 + "c", "task-" + "b2" * 12, "AKIA" + "Z9" * 8, "AKIA" + "Z9" * 8 + "Q", "nothing",
+)
+
+
 def secret_scan(spark, sf_dir):
-    return misc.rule_scan(table(spark, sf_dir, "documents"))
+    d = table(spark, sf_dir, "documents")
+    more = F.element_at(F.array(*[F.lit(x) for x in _PLANTED]), (F.col("doc_id") % len(_PLANTED) + 1).cast("int"))
+    return misc.rule_scan(d.select("doc_id", F.concat_ws("\n", "text", more).alias("text")))
 
 
 def json_window(spark, sf_dir):
@@ -106,6 +115,78 @@ def format_bytes(spark, sf_dir):
     return p.select("p_partkey", misc.format_bytes(F.col("p_partkey") * F.col("p_partkey") * 10).alias("shown"))
 
 
+def catalog_list(spark, sf_dir):
+    """One session's records in order, with whether they are available, resolvable and pending."""
+    f = _files(spark, sf_dir)
+    on = catalog.available(f).select("attachment_id", F.lit(True).alias("available"))
+    one = catalog.resolve(f, "src1", "attachment:1").select("attachment_id", F.lit(True).alias("resolved"))
+    d = catalog.listed(f, "src1").join(on, "attachment_id", "left").join(one, "attachment_id", "left")
+    return d.select("ord", "attachment_id", F.coalesce("available", F.lit(False)).alias("available"), F.coalesce("resolved", F.lit(False)).alias("resolved"), catalog.is_pending().alias("is_pending"), catalog.session_key(F.col("session_id")).alias("session_key"))
+
+
+def catalog_manifest(spark, sf_dir):
+    return catalog.manifest(_files(spark, sf_dir), ("attachment_id", "name", "kind", "bytes"))
+
+
+def catalog_active_turn(spark, sf_dir):
+    """Every third record starts a turn with it, every twentieth clears; then what each session sees."""
+    f = _files(spark, sf_dir)
+    event = F.when(F.col("ord") % 20 == 0, "clear").otherwise("activate")
+    e = f.where("ord % 3 = 0").select("session_id", F.col("ord").alias("seq"), event.alias("event"), F.floor(F.col("ord") / 100).alias("turn"), "attachment_id")
+    return catalog.visible(f, catalog.active_turn(e).select("session_id", "attachment_id")).select("session_id", "attachment_id", "scope")
+
+
+def read_objects(spark, sf_dir):
+    """Stored objects of which every fourth was changed in place."""
+    d = table(spark, sf_dir, "documents").where("doc_id is not null and text is not null")
+    kept = F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")).cast("binary")
+    o = catalog.read_objects(d.select("doc_id", catalog.content_id(F.col("text").cast("binary")).alias("sha256"), kept.alias("content")))
+    return o.select("doc_id", F.octet_length("content").cast("bigint").alias("bytes"), "error")
+
+
+def folder_admission(spark, sf_dir):
+    """Sources as folders whose declared sizes are right, wrong or too large."""
+    from ..operators import archive
+
+    d = table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    k = F.length("source") + F.ascii(F.substring("source", -1, 1))
+    f = d.select(F.col("source").alias("archive_id"), F.repeat(F.lit("x"), (F.col("n") % 50).cast("int")).cast("binary").alias("content"), k.alias("k"), (F.col("n") % 50).alias("size"))
+    f = f.withColumn("snapshot_bytes", F.when(F.col("k") % 4 == 1, F.col("size") + 1).otherwise(F.col("size"))).withColumn("source_bytes", F.when(F.col("k") % 4 == 2, 104857601).otherwise(104857600))
+    checked = f.select("archive_id", F.when(F.col("k") % 4 == 3, "ARCHIVE_CORRUPT").alias("error"))
+    return archive.folder_admission(f, checked).select("archive_id", "error")
+
+
+def base64_chunks(spark, sf_dir):
+    """Canonical base64 of names, and four ways to spoil it."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.regexp_replace(F.base64(F.col("p_name").cast("binary")), "\\s", "").alias("b"))
+    spoilt = F.element_at(F.array(F.col("b"), F.concat("b", F.lit("=")), F.concat(F.lit(" "), "b"), F.concat("b", F.lit("A")), F.lit("")), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return p.select("p_partkey", F.decode(uploads.strict_base64(spoilt), "UTF-8").alias("name"))
+
+
+def names_and_badges(spark, sf_dir):
+    from ..operators import archive
+
+    p = table(spark, sf_dir, "pages")
+    tails = (".tar.gz", "", " .Html ", "\x07x.py", "/", "\\new.longext", ".md")
+    raw = F.concat(F.lit("up/"), "page_id", F.element_at(F.array(*[F.lit(t) for t in tails]), (F.col("page_id") % len(tails) + 1).cast("int")))
+    return p.select(
+        "page_id", archive.display_name(raw).alias("display_name"), archive.root_name(raw).alias("root_name"), archive.badge(raw, F.col("page_id") % 11 == 0).alias("badge"),
+        archive.folder_path(raw).alias("folder_path"),
+    )
+
+
+def image_fit(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 97 * 83 + 1).alias("w"), (F.col("p_size") * 131 + 7).alias("h"))
+    w, h = misc.resize_to_fit(F.col("w"), F.col("h"))
+    return p.select("p_partkey", w.alias("width"), h.alias("height"))
+
+
+def json_cap(spark, sf_dir):
+    """Events' properties repeated, so that some are over the cap."""
+    e = table(spark, sf_dir, "events").select("event_id", F.repeat(F.lit("ab"), (F.col("event_id") % 60 * 10).cast("int")).alias("j"))
+    return e.select("event_id", misc.capped(F.col("j"), 900, 40).alias("answer"))
+
+
 _FILES = """SELECT source AS session_id, CAST(doc_id AS INTEGER) AS ord, 'attachment:' || doc_id AS attachment_id, strlen(text) AS bytes, doc_id % 3 <> 0 AS committed,
        CASE doc_id % 4 WHEN 0 THEN true WHEN 1 THEN false END AS pending, text, doc_id FROM documents"""
 
@@ -113,7 +194,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         cas_dedup, catalog_admission, catalog_bind, catalog_remove_draft, catalog_visible, catalog_summary, catalog_missing, turn_context, error_codes, upload_state,
-        upload_idle_expiry, image_patch_budget, discovery_denial, secret_scan, json_window, format_bytes,
+        upload_idle_expiry, image_patch_budget, discovery_denial, secret_scan, json_window, format_bytes, catalog_list, catalog_manifest, catalog_active_turn, read_objects,
+        folder_admission, base64_chunks, names_and_badges, image_fit, json_cap,
     )
 }
 ORACLES = {
@@ -177,16 +259,49 @@ SELECT p_partkey, CAST(CASE WHEN f0 THEN w WHEN f1 THEN w1 ELSE greatest(1.0, fl
        CAST(CASE WHEN f0 THEN h WHEN f1 THEN h1 ELSE greatest(1.0, floor(h1 * z)) END AS INTEGER) AS height FROM d""",
     "discovery_denial": "SELECT conv_id, turn, turn % 3 <> 2 AND conv_id % 7 IN (0, 2, 3, 5) AS denied FROM conversations",
     "secret_scan": r"""
-SELECT doc_id, rule FROM documents, (VALUES ('macOS user path', '/Users/[A-Za-z0-9._-]+/'), ('Linux user path', '/home/[A-Za-z0-9._-]+/'),
+WITH p AS (SELECT doc_id, concat_ws(chr(10), text, [""" + ", ".join(f"'{x}'" for x in _PLANTED) + r"""][CAST(doc_id % """ + str(len(_PLANTED)) + r""" + 1 AS INTEGER)]) AS text FROM documents)
+SELECT doc_id, rule FROM p, (VALUES ('macOS user path', '/Users/[A-Za-z0-9._-]+/'), ('Linux user path', '/home/[A-Za-z0-9._-]+/'),
   ('Windows user path', '[A-Za-z]:\\Users\\[^\\]+\\'), ('session id', '(?i)session-[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}'),
   ('GitHub token', '\b(?:ghp|github_pat)_[A-Za-z0-9_]{20,}\b'), ('private key', '-----BEGIN (?:RSA |EC |OPENSSH )?PRIVATE KEY-----'),
-  ('API secret', '\bsk-[A-Za-z0-9_-]{20,}\b'), ('AWS access key', '\bAKIA[0-9A-Z]{16}\b')) AS r(rule, pattern)
+  ('OpenAI-style secret', '\bsk-[A-Za-z0-9_-]{20,}\b'), ('AWS access key', '\bAKIA[0-9A-Z]{16}\b')) AS r(rule, pattern)
 WHERE regexp_matches(text, pattern)""",
     "json_window": """
 WITH r AS (SELECT event_type, event_id, CAST(row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS INTEGER) AS n,
              CASE WHEN length(props) > 2000 THEN substr(props, 1, 2000) || '…' ELSE props END AS shown FROM events),
 u AS (SELECT *, CAST(sum(strlen(shown) + 1) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS used FROM r WHERE n > 5 AND n <= 405)
 SELECT event_type, event_id, n, shown, used FROM u WHERE used <= 6000""",
+    "catalog_list": f"""
+SELECT ord, attachment_id, committed AS available, committed AND attachment_id = 'attachment:1' AS resolved, coalesce(pending, NOT committed) AS is_pending, sha256(session_id) AS session_key
+FROM ({_FILES}) WHERE session_id = 'src1'""",
+    "catalog_manifest": f"""
+SELECT session_id, '[' || string_agg('{{"attachment_id":"' || attachment_id || '","name":"' || doc_id || '.txt","kind":"text","bytes":' || bytes || '}}', ',' ORDER BY ord) || ']' AS manifest
+FROM ({_FILES}) GROUP BY session_id""",
+    "catalog_active_turn": f"""
+WITH f AS ({_FILES}), e AS (SELECT *, ord // 100 AS turn, ord % 20 = 0 AS clear FROM f WHERE ord % 3 = 0),
+l AS (SELECT session_id, arg_max(turn, ord) AS turn FROM e GROUP BY 1 HAVING NOT arg_max(clear, ord)),
+a AS (SELECT e.session_id, e.attachment_id FROM e JOIN l ON e.session_id = l.session_id AND e.turn = l.turn WHERE NOT clear)
+SELECT session_id, attachment_id, 'turn' AS scope FROM f WHERE committed AND attachment_id IN (SELECT attachment_id FROM a)
+UNION ALL SELECT session_id, attachment_id, 'conversation' FROM f WHERE committed AND session_id NOT IN (SELECT session_id FROM a)""",
+    "read_objects": """
+SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN strlen(text) END AS bytes, CASE WHEN doc_id % 4 = 0 THEN 'ATTACHMENT_STORAGE_FAILED' END AS error
+FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL""",
+    "folder_admission": """
+WITH f AS (SELECT source, count(*) % 50 AS size, (length(source) + ascii(right(source, 1))) % 4 AS k FROM documents GROUP BY source)
+SELECT source AS archive_id, CASE WHEN k = 2 THEN 'FILE_TOO_LARGE' WHEN k = 1 OR size = 0 THEN 'BAD_REQUEST' WHEN k = 3 THEN 'ARCHIVE_CORRUPT' END AS error FROM f""",
+    "base64_chunks": """
+SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN p_name WHEN p_partkey % 5 = 4 THEN '' END AS name FROM part""",
+    "names_and_badges": r"""
+WITH r AS (SELECT page_id, 'up/' || page_id || ['.tar.gz', '', ' .Html ', chr(7) || 'x.py', '/', '\new.longext', '.md'][CAST(page_id % 7 + 1 AS INTEGER)] AS raw FROM pages),
+x AS (SELECT *, upper(regexp_extract(raw, '\.([^.]*)$', 1)) AS ext FROM r)
+SELECT page_id, nullif(trim(regexp_replace(regexp_extract(raw, '([^/\\]*)$', 1), '[\x00-\x1f\x7f]', '', 'g')), '') AS display_name,
+       nullif(trim(regexp_replace(raw, '[/\\\x00-\x1f\x7f]', '', 'g')), '') AS root_name,
+       CASE WHEN page_id % 11 = 0 THEN 'DIR' WHEN ext <> '' AND length(ext) <= 4 THEN ext ELSE 'FILE' END AS badge,
+       CASE WHEN page_id % 7 NOT IN (3, 5) THEN raw END AS folder_path FROM x""",
+    "image_fit": """
+WITH a AS (SELECT p_partkey, p_partkey % 97 * 83 + 1 AS w, p_size * 131 + 7 AS h FROM part), b AS (SELECT *, least(1.0::DOUBLE, 2048 / greatest(w, h)::DOUBLE) AS z FROM a)
+SELECT p_partkey, CAST(greatest(1, floor(w * z + 0.5)) AS INTEGER) AS width, CAST(greatest(1, floor(h * z + 0.5)) AS INTEGER) AS height FROM b""",
+    "json_cap": """
+SELECT event_id, CASE WHEN event_id % 60 * 20 <= 900 THEN repeat('ab', CAST(event_id % 60 * 10 AS INTEGER)) ELSE '{"truncated":true,"preview":"' || repeat('ab', 20) || '"}' END AS answer FROM events""",
     "format_bytes": """
 WITH b AS (SELECT p_partkey, p_partkey * p_partkey * 10 AS n FROM part)
 SELECT p_partkey, CASE WHEN n < 1024 THEN n || ' B' WHEN n < 1048576 THEN printf('%.1f', round(n / 1024, 1)) || ' KiB' ELSE printf('%.1f', round(n / 1048576, 1)) || ' MiB' END AS shown FROM b""",

@@ -43,7 +43,7 @@ def sheet_header_fallback(spark, sf_dir):
 
 
 def sheet_column_names(spark, sf_dir):
-    p = table(spark, sf_dir, "part").where("p_partkey BETWEEN 1 AND 18278")
+    p = table(spark, sf_dir, "part")
     back = cells.column_of(F.concat(cells.column_letters(F.col("p_partkey")), F.lit("7")))
     return p.select("p_partkey", cells.column_letters(F.col("p_partkey")).alias("letters"), back.cast("bigint").alias("back"))
 
@@ -99,7 +99,10 @@ SELECT doc_id, sheet, row_no, list(coalesce(value, '') ORDER BY col_no) AS field
 WITH n AS (SELECT n_regionkey, list(n_name ORDER BY n_name)[1:3] AS h FROM nation GROUP BY 1),
 c AS (SELECT n_regionkey, h, unnest(range(1, 31)) AS i FROM n)
 SELECT n_regionkey, list(coalesce(h[i], {_LETTERS.format(n='i')}) ORDER BY i) AS headers FROM c GROUP BY 1""",
-    "sheet_column_names": f"SELECT p_partkey, {_LETTERS.format(n='p_partkey')} AS letters, p_partkey AS back FROM part WHERE p_partkey BETWEEN 1 AND 18278",
+    "sheet_column_names": f"""
+SELECT p_partkey, CASE WHEN p_partkey >= 1 THEN CASE WHEN p_partkey > 18278 THEN chr(CAST(65 + (p_partkey - 18279) // 17576 AS INTEGER)) ELSE '' END ||
+       CASE WHEN p_partkey > 702 THEN chr(CAST(65 + ((p_partkey - 703) // 676) % 26 AS INTEGER)) ELSE '' END || {_LETTERS.split("||", 1)[1].format(n="p_partkey")} END AS letters,
+       CASE WHEN p_partkey BETWEEN 1 AND 18278 THEN p_partkey END AS back FROM part""",
     "shared_string_join": """
 SELECT p_partkey AS row_no, CASE WHEN p_size % 2 = 0 THEN 's' ELSE 'n' END AS type,
        CASE WHEN p_size % 2 <> 0 THEN CAST(p_partkey AS VARCHAR) WHEN p_partkey % 3 <> 0 THEN p_name ELSE '' END AS value FROM part""",
