@@ -129,7 +129,8 @@ def test_docx():
     assert ("/body/p[1]", "heading", "Title", None) in blocks and ("/body/p[2]", "paragraph", "First", "block-1") in blocks
     assert {"/header[1]", "/footnotes", "/comments/comment[1]"} <= {b[0] for b in blocks}
     table = next(r for r in rows if r["family"] == "tables")
-    assert table["path"] == "/body/tbl[1]" and table["headers"] == ["a", "b"] and table["rows"] == [["wide", ""]]
+    assert table["path"] == "/body/tbl[1]" and table["headers"] == ["a", "b"] and table["rows"] == [["wide"]]
+    assert table["merged"] == [{"row": 2, "col": 1, "row_span": 1, "col_span": 2}]
 
 
 def test_pptx():
@@ -139,6 +140,50 @@ def test_pptx():
     assert next(r for r in parsers.parse("pptx", pptx(False)) if r["family"] == "outline")["title"] == "Goals"
 
 
+def test_merged_cells():
+    span = lambda r, c, h, w: {"row": r, "col": c, "row_span": h, "col_span": w}
+    rows = [[("a", 2, 1, ""), ("b", 1, 1, "restart")], [("c", 1, 1, "restart"), ("d", 1, 1, ""), ("", 1, 1, "continue")], [("", 1, 1, "continue"), ("e", 1, 1, ""), ("f", 1, 1, "")], [("", 1, 1, "continue")]]
+    assert parsers.table_of(rows)["merged"] == [span(1, 1, 1, 2), span(1, 3, 2, 1), span(2, 1, 3, 1)]
+    assert parsers.table_of([]) == {"headers": [], "rows": [], "merged": None}
+    tbl = parsers.ElementTree.fromstring(
+        '<tbl><tr><tc gridSpan="2" rowSpan="2"><p><t>x</t></p></tc><tc hMerge="1"/><tc><p><t>y</t></p></tc></tr><tr><tc gridSpan="2" vMerge="1"/><tc hMerge="1" vMerge="1"/><tc/></tr></tbl>'
+    )
+    got = parsers.table_of(parsers.slide_table(tbl))
+    assert got == {"headers": ["x", "y"], "rows": [["", ""]], "merged": [span(1, 1, 2, 2)]}
+
+
+def test_damaged_files_are_error_rows():
+    """Whatever is wrong in a file, it is one error row and no exception."""
+    import random
+
+    r = random.Random(3)
+    known = {"DOCUMENT_CORRUPT", "FILE_TYPE_MISMATCH", "DOCUMENT_RESOURCE_LIMIT", "ENCRYPTED_DOCUMENT_UNSUPPORTED", "TEXT_ENCODING_UNSUPPORTED"}
+    for kind, data in (("xlsx", xlsx()), ("docx", docx()), ("pptx", pptx()), ("csv", b'a,"b\n')):
+        for _ in range(150):
+            bad = bytearray(data)
+            for _ in range(r.randrange(1, 6)):
+                bad[r.randrange(len(bad))] = r.randrange(256)
+            for rows in (parsers.parse(kind, bytes(bad[: r.randrange(len(bad))] if r.random() < 0.3 else bad)), parsers.parse(kind, bytes(bad), index_from=0)):
+                assert rows[0]["family"] == "document" or (len(rows) == 1 and rows[0]["family"] == "error" and rows[0]["status"] in known)
+    part = lambda body: packed({"[Content_Types].xml": "<Types/>", "word/document.xml": f"<document {W}>{body}</document>"})
+    assert parsers.parse("docx", part(""))[0]["status"] == "DOCUMENT_CORRUPT"
+    odd = parsers.parse("docx", part('<body><tbl><tr><tc><tcPr><gridSpan val="x"/></tcPr><p><r><t>a</t></r></p></tc></tr></tbl></body>'))
+    assert [r["family"] for r in odd] == ["document", "tables"] and odd[1]["merged"] is None
+
+
+def test_large_sheets_on_demand():
+    book = xlsx()
+    index = parsers.parse("xlsx", book, index_from=0)
+    assert [(r["family"], r.get("title") or r.get("name"), r.get("cell")) for r in index[1:]] == [("outline", "Main", "A1:C3"), ("outline", "Hidden", None), ("sheets", "Main", "A1:C3"), ("sheets", "Hidden", None)]
+    got = parsers.read_range("xlsx", book, "Main", "D3:A2")
+    assert [(r["family"], r["cell"], r.get("value")) for r in got] == [("cells", "A3", "Northwest"), ("cells", "B3", "4"), ("formulas", "B3", None), ("cells", "C3", "TRUE"), ("cells", "D3", ""), ("formulas", "D3", None)]
+    assert got[2]["id"] == "formula-stream-B3" and got[2]["status"] == "SAVED_CACHE"
+    assert parsers.read_range("xlsx", book, "Nope", "A1")[0]["status"] == "BAD_REQUEST" and parsers.read_range("csv", b"a,b", "Main", "A1")[0]["status"] == "BAD_REQUEST"
+    rows = "\n".join(f"r{i},{i}" for i in range(3000)).encode()
+    got = parsers.read_range("csv", rows + b'\n"never closed', "CSV", "A2:B1500")
+    assert len(got) == 2000 and got[0]["value"] == "r1" and got[-1]["cell"] == "B1001"
+
+
 def test_errors():
     code = lambda k, d: parsers.parse(k, d)[0]["status"]
     assert code("xlsx", docx()) == "FILE_TYPE_MISMATCH"
@@ -178,6 +223,58 @@ def test_corpus(spark, tmp_path):
     assert [r.line_no for r in c.text_search("NEEDLE").collect()] == [2]
     assert [(r.path, r.line_no) for r in c.archive_search("needle").collect()] == [("README.md", 1)]
     assert c.read_entry("README.md").first().total_lines == 2
+    assert [(r.total_lines, r.error) for r in c.read_entry("none.md").collect()] == [(None, "ARCHIVE_ENTRY_NOT_FOUND")]
+    assert [(bytes(r.content), r.error) for r in c.entry_bytes("logo.bin").collect()] == [(b"x", None)]
+    assert [r.status for r in c.entry_items("logo.bin").collect()] == ["UNSUPPORTED_FILE_TYPE"] and [r.status for r in c.entry_items("README.md").collect()] == ["ARCHIVE_ENTRY_UNSUPPORTED"]
+    assert {r.doc_id.rsplit("/")[-1]: r.preview.split("\n")[1] for r in c.preview().collect() if "csv" in r.doc_id} == {"rows.csv": "CSV · CSV!A1:B2"}
+    assert {(r.family, r.cell) for r in c.first_cells().where("doc_id like '%xlsx'").collect()} == {(f, x) for f, x in (("cells", "A1"), ("cells", "B1"), ("cells", "A3"), ("cells", "B3"), ("cells", "C3"), ("cells", "D3"), ("formulas", "B3"), ("formulas", "D3"))}
+    assert {k: v.count() for k, v in c.read("needle").items()} == {"document": 0, "text": 1, "archive": 1}
+    assert c.read()["text"].first().total_lines == 3 and c.text_coverage().first().coverage == "COMPLETE"
+
+
+def test_corpus_cache(spark, tmp_path, monkeypatch):
+    """Equal bytes are parsed once, and only what is new on a second look."""
+    from quire.sources import files
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "in" / "b.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "in" / "c.csv").write_bytes(b'"open')
+    parsed, parse = [], files.parse_documents
+    monkeypatch.setattr(files, "parse_documents", lambda d, i=None: parsed.append(d.count()) or parse(d, i))
+    cells_of = lambda c: sorted((r.doc_id.rsplit("/")[-1], r.cell, r.value) for r in c.items.where("family = 'cells'").collect())
+    want = [(f, c, v) for f in ("a.csv", "b.csv") for c, v in (("A1", "x"), ("A2", "1"), ("B1", "y"), ("B2", "2"))]
+    assert cells_of(Corpus(spark, str(tmp_path / "in"), cache=str(tmp_path / "cache"))) == want
+    (tmp_path / "in" / "d.csv").write_text("z\n")
+    c = Corpus(spark, str(tmp_path / "in"), cache=str(tmp_path / "cache"))
+    assert cells_of(c) == [*want, ("d.csv", "A1", "z")] and parsed == [2, 1]
+    assert {r.doc_id.rsplit("/")[-1] for r in c.coverage().where("error is not null").collect()} == {"c.csv"}
+
+
+def test_damaged_archives(spark, tmp_path):
+    good = packed({"a.txt": "hello", "b.txt": "again " * 50, "c.bin": "x"})
+    bad = bytearray(good)
+    at = good.index(b"b.txt") + 5
+    bad[at : at + 4] = b"\xff\xff\xff\xff"
+    (tmp_path / "bad.zip").write_bytes(bytes(bad))
+    (tmp_path / "none.zip").write_bytes(b"PK")
+    (tmp_path / "many.zip").write_bytes(packed({f"n{i}.txt": str(i) for i in range(2500)}))
+    rows = Corpus(spark, str(tmp_path)).entries.collect()
+    by = lambda n: [(r.path, r.text and r.text[:5], r.error) for r in rows if r.archive_id.endswith(n)]
+    assert by("bad.zip") == [("a.txt", "hello", None), ("b.txt", None, "ARCHIVE_CORRUPT"), ("c.bin", None, None)]
+    assert by("none.zip") == [(None, None, "ARCHIVE_CORRUPT")]
+    assert by("many.zip") == [(f"n{i}.txt", str(i), None) for i in range(2500)]
+
+
+def answered(spark, query, n: int) -> None:
+    """Waits for so many answers; timeouts keep such a query running until it is stopped."""
+    import time
+
+    for _ in range(600):
+        if spark.table(query.name).count() >= n or query.exception():
+            break
+        time.sleep(0.1)
+    query.stop()
 
 
 def test_uploads_stream(spark, tmp_path):
@@ -190,14 +287,81 @@ def test_uploads_stream(spark, tmp_path):
     schema = "session_id string, upload_id string, event string, seq long, idx int, bytes long, declared long"
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
     events = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-    q = run_uploads(events).writeStream.format("memory").queryName("uploads").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    q.awaitTermination(120)
+    q = run_uploads(events).writeStream.format("memory").queryName("uploads").option("checkpointLocation", str(tmp_path / "ck")).start()
+    answered(spark, q, 10)
     got = {r.seq: r.status for r in spark.table("uploads").collect()}
     assert got == {0: "OPEN", 1: "OK", 2: "BAD_REQUEST", 3: "OK", 4: "COMMITTED", 5: "OPEN", 6: "BAD_REQUEST", 7: "BAD_REQUEST", 8: "CANCELLED", 9: "BAD_REQUEST"}
     b = admit_begins(spark.createDataFrame([(1,), (2,), (3,)], "seq long"), open_now=6)
     assert [r.admitted for r in b.orderBy("seq").collect()] == [True, True, False]
 
 
+def test_uploads_global_cap(spark, tmp_path):
+    from quire.streaming.uploads import run_capped_uploads
+
+    rows = [(f"s{k % 2}", f"u{k}", "begin", k, 0, 0, 4) for k in range(4)]
+    rows += [("s0", "u0", "chunk", 4, 0, 4, 0), ("s0", "u0", "commit", 5, 0, 0, 0), ("s1", "u4", "begin", 6, 0, 0, 4), ("s0", "", "cancel_session", 7, 0, 0, 0), ("s1", "u5", "begin", 8, 0, 0, 4), ("s1", "u6", "begin", 9, 0, 0, 4)]
+    schema = "session_id string, upload_id string, event string, seq long, idx int, bytes long, declared long"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "in"))
+    events = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    q = run_capped_uploads(events, most=3).writeStream.format("memory").queryName("capped").option("checkpointLocation", str(tmp_path / "ck")).start()
+    answered(spark, q, 10)
+    got = [(r.seq, r.upload_id, r.status) for r in spark.table("capped").orderBy("seq").collect()]
+    assert got == [
+        (0, "u0", "OPEN"), (1, "u1", "OPEN"), (2, "u2", "OPEN"), (3, "u3", "BAD_REQUEST"), (4, "u0", "OK"), (5, "u0", "COMMITTED"), (6, "u4", "OPEN"), (7, "u2", "CANCELLED"), (8, "u5", "OPEN"), (9, "u6", "BAD_REQUEST"),
+    ]
+
+
+def test_upload_machine_expires():
+    from types import SimpleNamespace as E
+
+    from quire.streaming.uploads import Machine
+
+    m = Machine(10, 100, 100, 1)
+    ev = lambda upload, event, seq, idx=0, size=0, declared=0: E(session_id="s", upload_id=upload, event=event, seq=seq, idx=idx, bytes=size, declared=declared)
+    m.event(ev("a", "begin", 0, declared=5), 0)
+    m.event(ev("b", "begin", 1, declared=5), 99)
+    m.event(ev("b", "begin", 2, declared=5), 100)  # the idle one makes room
+    m.event(ev("c", "begin", 3, declared=101), 100)
+    assert [(a[1], a[2], a[4]) for a in m.answers] == [("a", "begin", "OPEN"), ("b", "begin", "BAD_REQUEST"), ("a", "expire", "EXPIRED"), ("b", "begin", "OPEN"), ("c", "begin", "FILE_TOO_LARGE")]
+    again = Machine(10, 100, 100, 1)
+    again.load(m.dump())
+    assert again.open == m.open
+
+
+def test_sessions_store(spark, tmp_path):
+    from quire.operators import catalog
+
+    path = str(tmp_path / "sessions")
+    rows = lambda s, n: spark.createDataFrame([(s, i, f"attachment:{i}") for i in range(n)], "session_id string, ord int, attachment_id string")
+    assert catalog.read_sessions(rows("a", 1), path).count() == 0
+    catalog.write_sessions(rows("a", 2).union(rows("b", 3)), path)
+    catalog.write_sessions(rows("a", 1), path)
+    assert sorted((r.session_id, r.ord) for r in catalog.read_sessions(rows("a", 1), path).collect()) == [("a", 0), ("b", 0), ("b", 1), ("b", 2)]
+
+
+def test_archive_budgets(spark):
+    """The greedy choice passes over what does not fit, within small budgets."""
+    from quire.operators import archive
+
+    sizes = [5, 9, 4, 8, 1, 1, 1]
+    e = spark.createDataFrame([("z", i, f"{i}.md" if i != 5 else "5.bin", n, False, "with x") for i, n in enumerate(sizes)], "archive_id string, ord int, path string, bytes long, directory boolean, text string")
+    got = archive.admitted(e, files=3, total=11, each=8)
+    assert sorted(r.ord for r in got.collect()) == [0, 2, 4] and {(r.searchable, r.searched) for r in got.collect()} == {(5, 3)}
+    assert [r.path for r in archive.search(e, "WITH", 2, files=3, total=11, each=8).orderBy("hit").collect()] == ["0.md", "2.md"]
+
+
+def test_dense_rows_of_doubled_cells(spark):
+    d = spark.createDataFrame([(1, "s", 1, 1, "a"), (1, "s", 1, 1, "b"), (1, "s", 1, 3, "c"), (1, "s", 2, 2, "d")], "doc_id int, sheet string, row_no int, col_no int, value string")
+    assert sorted((r.row_no, r.fields) for r in cells.dense_rows(d).collect()) == [(1, ["b", "", "c"]), (2, ["", "d", ""])]
+
+
+def test_argument_text():
+    from quire.operators import misc
+
+    assert misc.argument_text({"a": "x", "b": [1, "y", {"c": "z"}]}) == "x\n\ny\nz"
+    assert misc.argument_text([[[[["deep"]]]]]).strip() == "" and misc.argument_text([[[["four"]]]]) == "four"
+
+
 def test_text_details(spark):
     from pyspark.sql import functions as F
 
