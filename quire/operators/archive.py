@@ -236,8 +236,23 @@ def manifest_check(entries: DataFrame, declared: DataFrame) -> DataFrame:
     return d.select("archive_id", ok.alias("ok"), F.when(~ok, "ARCHIVE_CORRUPT").alias("error"))
 
 
+def media_family(media_type: Column) -> Column:
+    """docx, xlsx, pptx or csv; null for all else."""
+    office = "application/vnd.openxmlformats-officedocument."
+    kinds = {f"{office}wordprocessingml.document": "docx", f"{office}spreadsheetml.sheet": "xlsx", f"{office}presentationml.presentation": "pptx", "text/csv": "csv"}
+    return F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[media_type]
+
+
+def is_legacy(name: Column, content: Column) -> Column:
+    """Whether a file is of the office formats before packages, by its name or its first eight bytes."""
+    by_name = F.coalesce(name.rlike(r"(?i)\.(doc|xls|ppt)\z"), F.lit(False))
+    return by_name | F.coalesce(F.hex(F.substring(content, 1, 8)) == "D0CF11E0A1B11AE1", F.lit(False))
+
+
 def strip_root(entries: DataFrame, root: str) -> DataFrame:
     """Paths below a root folder; the root itself is dropped, others are an error."""
+    if not root or any(c in root for c in "/\\") or any(ord(c) < 32 or ord(c) == 127 for c in root):
+        raise QueryError("BAD_REQUEST", "no name of a root folder")
     inside = F.col("path").startswith(root + "/")
     rest = F.substring("path", len(root) + 2, 1 << 20)
     return entries.withColumn("error", F.when(~inside, "BAD_REQUEST")).withColumn("path", F.when(inside, rest).otherwise(F.col("path"))).where(F.col("path") != "")

@@ -65,7 +65,7 @@ def outline(items: DataFrame) -> DataFrame:
 
 
 def search(items: DataFrame, query: str, limit: int = 20) -> DataFrame:
-    hits = items.where(F.lower(item_text()).contains(needle_of(query)))
+    hits = items.where(F.col("family").isin(*FAMILIES) & F.lower(item_text()).contains(needle_of(query)))
     return first_per_doc(hits, clamp(limit))
 
 

@@ -4,6 +4,13 @@ from __future__ import annotations
 
 import struct
 
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.shipping import ship
+
 HEAD = 256 * 1024
 
 
@@ -21,6 +28,18 @@ def dimensions(data: bytes) -> tuple[int, int] | None:
     return None
 
 
+@F.pandas_udf(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())]))
+def _sizes(heads: pd.Series) -> pd.DataFrame:
+    found = [dimensions(bytes(h)) if h is not None else None for h in heads]
+    return pd.DataFrame({k: pd.array([None if f is None else f[i] for f in found], dtype="Int32") for i, k in enumerate(("width", "height"))})
+
+
+def with_dimensions(files: DataFrame, content: Column) -> DataFrame:
+    """Adds width and height of each image, null where the header tells none; no more than the head of a file reaches Python."""
+    ship(files.sparkSession)
+    return files.withColumn("__s", _sizes(F.substring(content, 1, HEAD))).withColumns({"width": F.col("__s.width"), "height": F.col("__s.height")}).drop("__s")
+
+
 def _jpeg(d: bytes) -> tuple[int, int] | None:
     frames = {*range(0xC0, 0xD0)} - {0xC4, 0xC8, 0xCC}
     at = 2

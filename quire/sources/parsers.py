@@ -261,6 +261,12 @@ class Package:
             raise QueryError("DOCUMENT_RESOURCE_LIMIT")
         return root
 
+    def title(self) -> str | None:
+        """The document's own title, trimmed; a blank one is none."""
+        core = self.part("docProps/core.xml")
+        found = None if core is None else next(core.iter("title"), None)
+        return (found.text or "").strip() or None if found is not None else None
+
     def elements(self, name: str, tag: str) -> Iterator[ElementTree.Element]:
         """The elements of a kind in a part, one by one: what was read is let go, and what follows the last one asked for is never read."""
         if name not in self.names:
@@ -557,8 +563,8 @@ class _Blocks:
         self.n += 1
         self.rest.append({"family": "images", "id": f"image-{self.n}", "alt_text": alt, "path": path, "slide": slide, "status": "NOT_REQUESTED"})
 
-    def rows(self, kind: str) -> Iterator[Row]:
-        yield {"family": "document", "name": kind, "status": "COMPLETE"}
+    def rows(self, kind: str, title: str | None) -> Iterator[Row]:
+        yield {"family": "document", "name": kind, "status": "COMPLETE", "title": title}
         yield from self.outline
         for family in ("blocks", "tables", "images"):
             yield from (r for r in self.rest if r["family"] == family)
@@ -603,7 +609,7 @@ def parse_docx(data: bytes) -> Iterator[Row]:
     if (part := p.part("word/comments.xml")) is not None:
         for i, c in enumerate(part.iter("comment"), 1):
             out.block("\n".join(text_of(x) for x in c.iter("p")), f"/comments/comment[{i}]", "comment")
-    yield from out.rows("document")
+    yield from out.rows("document", p.title())
 
 
 def parse_pptx(data: bytes) -> Iterator[Row]:
@@ -647,7 +653,7 @@ def parse_pptx(data: bytes) -> Iterator[Row]:
                     out.block(c.findtext("text") or text_of(c), f"/slide[{n}]/comment[{i}]", "comment", None, n)
     if not out.outline:
         out.outline = [{"family": "outline", "id": f"slide-{n}", "title": t, "level": 1, "slide": n, "path": f"/slide[{n}]"} for n, t in firsts]
-    yield from out.rows("presentation")
+    yield from out.rows("presentation", p.title())
 
 
 PARSERS = {"csv": parse_csv, "xlsx": parse_xlsx, "docx": parse_docx, "pptx": parse_pptx}
