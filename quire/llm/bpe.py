@@ -10,10 +10,13 @@ short one.
 
 Pieces repeat a lot, so their ids are kept in a bounded memo per worker. The memo works on
 whitespace-delimited chunks: no piece of the pattern continues from a non-space into a space, so
-chunks can be encoded one by one.
+chunks can be encoded one by one. A line's first word goes with the line end before it, as that is
+a piece of its own unless more than two of them, or one at the end of the text, come together.
 
-Defined cases: a null text counts as empty; an empty text has no ids; special tokens are never
-made, their spelling is ordinary text. Any other columns are left alone.
+Defined cases: a null text counts as empty; an empty text has no ids; very long texts are encoded
+whole; rows that repeat an id are encoded one by one; special tokens are never made, their spelling
+is ordinary text; an empty table gives an empty result. Other columns pass through ``encode`` and
+``decode``, whose new columns must not exist.
 """
 
 from __future__ import annotations
@@ -52,7 +55,7 @@ class Encoder:
         spaces = pattern.replace("[^\\s", f"[^{SPACE}").replace("\\s", f"[{SPACE}]").replace("\\S", f"[^{SPACE}]")
         self.pieces = regex.compile(spaces).findall
         self.chunks = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
-        self.uneven = re.compile(f" [{SPACE}]|[{SPACE}] ").search
+        self.uneven = re.compile(f" [{SPACE}]|[{SPACE}] |\\n\\n(?:[{SPACE}]|\\Z)|[{SPACE}]\\n\\n").search
         self.spaced = _Memo(self, " ")
         self.plain = _Memo(self, "")
         self.known: dict[str, bytes] = {}
@@ -141,7 +144,7 @@ class Encoder:
             return b""
         if self.uneven(text):
             return b"".join(map(self.plain.__getitem__, self.chunks(text)))
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         return (self.plain[first] if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
 
     def decode(self, ids: bytes) -> bytes:
@@ -157,7 +160,8 @@ class _Memo(dict):
 
     def __missing__(self, text: str) -> bytes:
         e = self.encoder
-        ids = b"".join(map(e.chunk, e.chunks(self.lead + text)))
+        lead = "" if text[:1] == "\n" else self.lead
+        ids = b"".join(map(e.chunk, e.chunks(lead + text)))
         if len(text) <= MEMO_CHARS and len(self) < MEMO:
             self[text] = ids
         return ids
@@ -199,6 +203,8 @@ def decode(rows: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes
     """All columns plus ``bytes_col``: the bytes that the ids stand for."""
     names = rows.columns
     where = names.index(ids_col)
+    if bytes_col in names:
+        raise ValueError(f"a column {bytes_col} exists already")
 
     def run(batches):
         e = encoder(path, pattern)
