@@ -12,12 +12,16 @@ Prototypes are used without what they have in common (their mean) so that shared
 count. The score is (1 + margin) / 2 of the best over the second cosine relative to their sizes,
 which needs no norm of the text, as that divides both.
 
-Prototypes are bundled from a bounded sample: at most ``PER_LANGUAGE`` texts of each language, the
-first by hash among those that may be learned from.
-
-Defined cases: texts that are null or have no letter are ``und`` with score 0; ties go to the
-language first by code point; letters beyond the ``LETTERS`` most frequent ones share hashed
-numbers; digits and signs part words as spaces do; without training texts all are ``und``.
+Prototypes are bundled from a bounded sample: about ``PER_LANGUAGE`` texts of each language, those
+whose id's hash is in the share that gives so many, among those that may be learned from and are no
+longer than ``LONGEST`` characters. A count per language is all that this needs.
+
+Defined cases: texts that are null or have no letter are ``und`` with score 0; very long texts are
+read whole; ties go to the language first by code point; letters beyond the ``LETTERS`` most frequent
+ones share hashed numbers; digits and signs part words as spaces do; rows that repeat an id are
+predicted by their own texts, and an id and language with several texts are learned from by the
+least; a null id is never held out nor learned from; without training texts all are ``und``; an empty
+table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,15 +31,16 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import arrow_map, slices
+from .common import below_share
 
 DIMENSIONS = 2048
 LETTERS = 96
 PER_LANGUAGE = 1500
-SALTS = 64
+LONGEST = 1 << 18
 UNKNOWN = "und"
 
 
@@ -159,13 +164,10 @@ def remainder(id_col):
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on at most ``per_language`` texts of each language whose id's crc32 remainder by 3 is not 1."""
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 1))
-    ids = usable.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
-    for by in (["lang", "salt"], ["lang"]):  # the second ranking sees at most SALTS * per_language ids of a language
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id"))
-        ids = ids.withColumn("r", rank).where(F.col("r") <= per_language)
-    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id", "lang").distinct()), ["doc_id", "lang"])
+    """Fit on about ``per_language`` texts of each language whose id's crc32 remainder by 3 is not 1."""
+    usable = docs.select("doc_id", "lang", "text").where(F.col("lang").isNotNull() & (F.length("text") <= LONGEST) & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 1))
+    share = usable.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
+    rows = usable.join(F.broadcast(share), "lang").where(below_share(F.col("doc_id"), F.col("share")))  # one row a language, as the model has
     rows = rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     rows = sorted(rows, key=lambda r: (r.doc_id, r.lang))
     return fit_texts([r.text for r in rows], [r.lang for r in rows])
