@@ -6,15 +6,17 @@ spellings (digits or signs amid letters, read as the letters they stand for), an
 lexicon is a short fixed list plus words and word beginnings learned from labelled texts by their
 smoothed log-odds.
 
-The model is fitted on the driver on a bounded sample: at most ``SAMPLE`` labelled ids, the first
-by hash among those that may be learned from. Lexicon and trees are cross-fitted on two halves, so
+The model is fitted on the driver on a bounded sample: about ``SAMPLE`` labelled ids, those whose
+hash is in the share that gives so many, among those that may be learned from and whose text is no
+longer than ``LONGEST`` characters. Lexicon and trees are cross-fitted on two halves, so
 the trees see features of texts that the lexicon did not, and the calibration sees scores of texts
 that the trees did not. Scoring is one pass over all texts without a shuffle.
 
 Defined cases: null and empty texts have all features 0 and get the model's score for that; an id
 labelled more than once is toxic if one of its labels is; an id with several texts is learned from
-its least one; without any usable label every score is 0; very long texts are read whole. Other
-columns pass through ``score``.
+its least one, and each of its rows is scored by its own text; a null id is never held out nor
+learned from; without any usable label every score is 0; very long texts are scored whole; an empty
+table gives an empty result. Other columns pass through ``score``, whose new column must not exist.
 """
 
 from __future__ import annotations
@@ -31,13 +33,17 @@ from pyspark.sql import types as T
 
 from . import trees
 from .arrow import arrow_map, slices
+from .common import below_share
 
 SAMPLE = 8000
+LONGEST = 1 << 18
 REJECT = 0.7
 NEAR = 5
 PREFIXES = (4, 5, 6, 7, 8)
 LEVELS = (1.5, 2.5, 3.5)
+#: Tokens whose codes a worker keeps, and the longest that is kept: about 40 MB at most.
 MEMO = 250_000
+MEMO_CHARS = 64
 
 # Insults and second-person words to start from.
 INSULTS = frozenset(
@@ -105,7 +111,7 @@ class Features:
         found = self.codes.get(token)
         if found is None:
             found = self.fresh(token)
-            if len(self.codes) < MEMO:
+            if len(token) <= MEMO_CHARS and len(self.codes) < MEMO:
                 self.codes[token] = found
         return found
 
@@ -183,10 +189,12 @@ def remainder(id_col):
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit on at most ``sample`` labelled ids whose crc32 remainder by 3 is not 1."""
+    """Fit on about ``sample`` labelled ids whose crc32 remainder by 3 is not 1."""
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 1))
-    chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` ids
+    ids = usable.groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    share = float(sample) / max(1, ids.count())
+    chosen = ids.where(below_share(F.col("doc_id"), F.lit(share)))
+    rows = docs.where(F.length("text") <= LONGEST).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # about ``sample`` ids
     rows = rows.groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
     rows = sorted(rows, key=lambda r: r.doc_id)
     return fit_texts([r.doc_id for r in rows], [r.text for r in rows], [int(r.y > 0) for r in rows])
@@ -196,6 +204,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     """All columns plus the score."""
     names = docs.columns
     where = names.index(text_col)
+    if score_col in names:
+        raise ValueError(f"a column {score_col} exists already")
 
     def run(batches):
         for b in slices(batches):
