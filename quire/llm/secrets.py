@@ -12,18 +12,21 @@ same expressions. ``examples`` makes a fixed set of them from formats, as no lab
 with the corpus; ``op`` takes any other. It is bounded (``EXAMPLES`` rows), fitted on the driver
 and turned into one SQL expression, so scanning stays a single pass without Python.
 
-The dictionary is the ``DICTIONARY`` most frequent letter words of the whole corpus: counted over
-all texts, partly summed before the shuffle, and broadcast at that fixed size.
+The dictionary holds the most frequent letter words of the whole corpus, at most ``DICTIONARY``:
+counted over all texts, partly summed before the shuffle, cut at a frequency that a histogram of
+bounded size gives, and broadcast at that fixed size. Words that are about as frequent as the one at
+the cut (within 1.1 %) are in together or out together.
 
 Defined cases: null and empty texts have no candidates; equal words at several places are several
 findings, and so are several secrets of one word, under one word number; very long words are read
-whole; repeated rows give repeated findings; an empty table or
+whole; rows that repeat an id give the findings of each; a null id is passed on; an empty table or
 one without candidates gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +38,7 @@ from .common import let, stored, words
 DICTIONARY = 5000
 EXAMPLES = 3000
 FLAG = 0.5
+TREES = 24
 
 # Patterns.
 FORMATS = {
@@ -94,10 +98,18 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> DataFrame:
-    """The most frequent words of letters, in lower case, as one row ``dict`` (map word -> true)."""
+    """The most frequent words of letters, in lower case, as one row ``dict`` (a sorted array)."""
     w = docs.select(F.explode(words(F.col("text"))).alias("w")).where(F.length("w").between(3, 24))
     bare = w.select(F.lower(F.translate("w", ".,;:!?\"'()", "")).alias("w")).where(F.col("w").rlike(r"^\p{L}{3,}$"))
-    top = bare.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(size)
+    counts = stored(bare.groupBy("w").agg(F.count("*").alias("n")).withColumn("step", F.floor(F.log2("n") * 64).cast("int")))
+    steps = sorted(((r["step"], r["count"]) for r in counts.groupBy("step").count().collect()), reverse=True)  # at most 64 for each doubling of n
+    inside, least = 0, None
+    for step, n in steps:
+        inside += n
+        if inside > size:
+            break
+        least = step
+    top = counts.where(F.col("step") >= F.lit(least)) if least is not None else counts.limit(0)
     return top.agg(F.sort_array(F.collect_list("w")).alias("dict"))
 
 
@@ -139,8 +151,8 @@ def described(found: DataFrame, dict_row: DataFrame) -> DataFrame:
     return d.withColumn("rule", rule).select("*", *[v.cast("double").alias(f"f_{k}") for k, v in values.items()]).drop("dict")
 
 
-def examples(n: int = EXAMPLES, seed: int = 5) -> list[tuple[str, str, str, str, int]]:
-    """Labelled findings (before2, before, word, after, label), made from formats with a fixed seed."""
+def examples(n: int = EXAMPLES, seed: int = 5, kinds: Sequence[int] = range(12)) -> list[tuple[str, str, str, str, int]]:
+    """Labelled findings (before2, before, word, after, label), made from formats of the given kinds with a fixed seed."""
     r = random.Random(seed)
     some = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
     hexes, upper, both = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -154,7 +166,7 @@ def examples(n: int = EXAMPLES, seed: int = 5) -> list[tuple[str, str, str, str,
     for _ in range(n):
         a, b, c = (r.choice(plain) for _ in range(3))
         q = r.choice(["", '"', "'"])
-        kind = r.randrange(12)
+        kind = kinds[r.randrange(len(kinds))]
         if kind == 0:
             row = (a, b, r.choice(["AKIA", "ASIA"]) + some(upper, 16) + r.choice(["", ".", ","]), c, 1)
         elif kind == 1:
@@ -184,14 +196,18 @@ def examples(n: int = EXAMPLES, seed: int = 5) -> list[tuple[str, str, str, str,
     return out
 
 
-def fit(spark: SparkSession, labelled: list[tuple[str, str, str, str, int]], dict_row: DataFrame) -> list[trees.Tree]:
+def table_of(spark: SparkSession, labelled: list[tuple[str, str, str, str, int]], dict_row: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Feature rows and labels of labelled findings, by the expressions that describe candidates."""
     rows = spark.createDataFrame(labelled[:EXAMPLES], "before2 string, before string, word string, after string, label int")
     # one finding a row: its last candidate, or the whole word where a counterexample has none
     last = F.coalesce(F.element_at(F.when(F.size(pieces(F.col("word"))) > 0, pieces(F.col("word"))), -1), F.struct(F.col("word").alias("run"), F.col("word").alias("part")))
     rows = rows.select("before2", "before", last.alias("p"), "after", "label").select("before2", "before", F.col("p.part").alias("word"), F.col("p.run").alias("run"), "after", "label")
     got = described(rows, dict_row).select("label", *[f"f_{f}" for f in FEATURES]).collect()
-    x = np.array([[*r][1:] for r in got], float).reshape(-1, len(FEATURES))
-    return trees.forest(x, np.array([r[0] for r in got], float))
+    return np.array([[*r][1:] for r in got], float).reshape(-1, len(FEATURES)), np.array([r[0] for r in got], float)
+
+
+def fit(spark: SparkSession, labelled: list[tuple[str, str, str, str, int]], dict_row: DataFrame) -> list[trees.Tree]:
+    return trees.forest(*table_of(spark, labelled, dict_row), n_trees=TREES)
 
 
 def as_sql(tree: trees.Tree) -> Column:
