@@ -7,11 +7,14 @@ exact area sums. ``difference_hash`` compares neighbouring cells of a 9 x 8 grey
 ``tile`` writes a reduction as NPY.
 
 ``store_texts`` keeps any text losslessly as an image: its UTF-8 bytes, padded with spaces to rows
-of 64 RGB pixels. The images are written to the shared storage as a binary column and features are
-computed from the bytes read back.
-
-Defined cases: a null text counts as empty (one row of padding); equal texts give equal values; a
-broken image raises ValueError with what is wrong; an empty table gives an empty result.
+of 64 RGB pixels, as BMP if the rows are odd in number and as PPM if they are even. The images are
+written to the shared storage as a binary column; from the bytes read back come features and the
+NPY tiles, which are written there too.
+
+Defined cases: a null text counts as empty (one row of padding); equal texts give equal values;
+very long texts are one tall image; a broken image has null features and says in ``error`` what is
+wrong; a null image likewise; rows that repeat an id are images of their own; an empty table gives
+an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,6 +56,8 @@ def _decode_bmp(data: bytes) -> np.ndarray:
     if len(data) < 54:
         raise ValueError("BMP: cut off")
     offset, size, w, h, _, depth, packed = struct.unpack_from("<10xIIiiHHI", data)
+    if max(w, abs(h)) >= 1 << 30:
+        raise ValueError("BMP: broken header")
     if size < 40 or depth != 24 or packed != 0 or w <= 0 or h == 0:
         raise ValueError("BMP: only uncompressed 24-bit images")
     stride = -(-3 * w // 4) * 4
@@ -79,6 +84,8 @@ def _decode_netpbm(data: bytes) -> np.ndarray:
     if not w or not h or not 0 < top < 65536:
         raise ValueError("Netpbm: broken header")
     n = w * h * deep
+    if (-(-w // 8) * h if kind == 4 else n) > len(data) - at:
+        raise ValueError("Netpbm: cut off")
     try:
         if kind == 1:
             bits = re.sub(rb"#[^\n\r]*|\s", b"", data[at:])
@@ -90,7 +97,7 @@ def _decode_netpbm(data: bytes) -> np.ndarray:
             px = np.unpackbits(np.frombuffer(data, np.uint8, stride * h, at + 1).reshape(h, stride), axis=1)[:, :w].ravel()
         else:
             px = np.frombuffer(data, np.uint8 if top < 256 else ">u2", n, at + 1)
-    except ValueError as short:
+    except (ValueError, OverflowError) as short:
         raise ValueError("Netpbm: cut off") from short
     if len(px) != n:
         raise ValueError("Netpbm: cut off")
@@ -159,36 +166,45 @@ def store_texts(docs: DataFrame) -> DataFrame:
                 raw = t or b""
                 padded = raw.ljust(max(1, -(-len(raw) // ROW)) * ROW, b" ")
                 sizes.append(len(raw))
-                media.append(encode_netpbm(np.frombuffer(padded, np.uint8).reshape(-1, ROW // 3, 3)))
+                pixels = np.frombuffer(padded, np.uint8).reshape(-1, ROW // 3, 3)
+                media.append(encode_bmp(pixels) if len(pixels) % 2 else encode_netpbm(pixels))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
     return stored(arrow_map(rows, run, "doc_id long, n_bytes long, media binary"))
 
 
-def features(media: DataFrame, with_tiles: bool = False) -> DataFrame:
-    """From the stored images: payload digests, media digests, difference hash and NPY tile."""
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "tile"]
+FEATURES = {
+    "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(),
+    "tile": pa.binary(), "error": pa.string(),
+}
+
+
+def describe(data: bytes | None) -> tuple:
+    """The values of FEATURES of one stored image."""
+    stored_form = (None, None) if data is None else (len(data), hashlib.sha256(data).hexdigest())
+    try:
+        pixels = decode(data or b"")
+    except ValueError as broken:
+        return None, None, None, *stored_form, None, None, str(broken)
+    payload, g = pixels.tobytes(), grey(pixels)
+    return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), *stored_form, difference_hash(g), tile(g), None
+
+
+def features(media: DataFrame) -> DataFrame:
+    """doc_id and n_bytes of every row of (doc_id, n_bytes, media), with the columns of FEATURES."""
 
     def run(batches):
         for b in slices(batches):
-            rows = []
-            for data in b.column(2).to_pylist():
-                pixels = decode(data)
-                payload = pixels.tobytes()
-                g = grey(pixels)
-                npy = tile(g)
-                rows.append((
-                    len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data),
-                    hashlib.sha256(data).hexdigest(), difference_hash(g), npy if with_tiles else hashlib.sha256(npy).hexdigest(),
-                ))
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary() if with_tiles else pa.string()]
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)] if rows else [pa.array([], t) for t in types]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names)
-
-    kinds = ["long", "long", "long", "string", "long", "long", "string", "string", "binary" if with_tiles else "string"]
-    return arrow_map(media, run, ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True)))
+            rows = [*map(describe, b.column(2).to_pylist())]
+            columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(FEATURES.values())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], ["doc_id", "n_bytes", *FEATURES])
+
+    kinds = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
+    return arrow_map(media.select("doc_id", "n_bytes", "media"), run, "doc_id long, n_bytes long, " + ", ".join(f"{n} {kinds[t]}" for n, t in FEATURES.items()))
 
 
 def op(docs: DataFrame) -> DataFrame:
-    return features(store_texts(docs)).withColumnRenamed("tile", "tile_sha256")
+    """Digests of the stored images and of the stored tiles."""
+    tiles = stored(features(store_texts(docs)))
+    return tiles.withColumn("tile_sha256", F.sha2("tile", 256)).drop("tile")
