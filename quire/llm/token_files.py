@@ -16,11 +16,12 @@ Shards are bounded in ids (a single longer document is a shard of its own) and a
 of a Parquet table in the shared storage, so that Spark's commit protocol and any file system do.
 Rows are range-sorted by document id; a shard row carries its range's number and the ids of that
 range before it. The ids before each range need one row per range only, a number fixed by
-spark.sql.shuffle.partitions, which is what the read broadcasts.
+spark.sql.shuffle.partitions, which is what the read broadcasts. The read gets each document's
+offsets by select, many at a time.
 
-Defined cases: a null or empty text is the end id alone; null ids come first; rows that repeat an
-id follow one another (ordered by their text's hash); other columns are ignored; an empty table
-gives no shard and no row.
+Defined cases: a null or empty text is the end id alone; a very long text is a shard of its own;
+null ids come first; rows that repeat an id follow one another (ordered by their text's hash); other
+columns are ignored; an empty table gives no shard and no row.
 """
 
 from __future__ import annotations
@@ -42,7 +43,11 @@ from .common import stored
 
 SHARD_IDS = 1 << 18
 SAMPLE = 64
-MEMO = 1_000_000
+#: Words whose ids a worker keeps, and the longest that is kept: about 300 MB at most.
+MEMO = 1_500_000
+MEMO_CHARS = 64
+#: Words that the library is asked for at a time.
+JOINED = 1000
 #: Controls that Python splits at and the tokenizer does not.
 ODD = "\x1c\x1d\x1e\x1f"
 HEAD = struct.Struct("<4sBBHQQQ")
@@ -94,6 +99,22 @@ class EliasFano:
         low = int.from_bytes(self.low[first:last].tobytes(), "little") >> (start & 7) & ((1 << self.low_bits) - 1)
         return ((one - i) << self.low_bits) + low
 
+    def select_many(self, at: np.ndarray) -> np.ndarray:
+        """The values at several places, in ascending order: of the unary bits only the groups that hold them are read, each from its sample to the next."""
+        at = np.asarray(at, np.int64)
+        group, ones = at // SAMPLE, np.empty(len(at), np.int64)
+        for g in np.unique(group).tolist():
+            first, end = int(self.samples[g]), len(self.upper)
+            if g + 1 < len(self.samples):
+                end = (int(self.samples[g + 1]) >> 3) + 1
+            bits = np.flatnonzero(np.unpackbits(self.upper[first >> 3 : end], bitorder="little")) + (first & ~7)
+            a, b = np.searchsorted(group, [g, g + 1])
+            ones[a:b] = bits[np.searchsorted(bits, first) + at[a:b] % SAMPLE]
+        start = at * self.low_bits
+        padded = np.concatenate([self.low, np.zeros(8, np.uint8)])
+        low = padded[(start >> 3)[:, None] + np.arange(8)].view("<u8").ravel().astype(np.uint64) >> (start & 7).astype(np.uint64)
+        return ((ones - at) << self.low_bits) + (low & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
+
 
 def write_shard(doc_ids: list[int | None], ends: np.ndarray, ids: np.ndarray, width: int) -> bytes:
     n, u = len(doc_ids), len(ids)
@@ -137,7 +158,8 @@ class Ids:
     The tokenizer drops white space and no token spans it, so the library is asked once for each
     distinct word; texts with the few controls that only Python takes for spaces go to it whole.
     It also lowers case and always parts letters from a closing comma or full stop, so a word of
-    letters is asked for without those.
+    letters is asked for without those. Words of Latin letters are asked for many at a time, as a
+    text: each ends with a token that the vocabulary marks as a word's end.
     """
 
     def __init__(self, path: str):
@@ -147,25 +169,51 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
         self.memo: dict[str, bytes] = {}
 
     def ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def ask_words(self, words: list[str]) -> list[bytes]:
+        """The same of words of letters; should their ends not come out one for each word, they are asked for singly."""
+        out = []
+        for i in range(0, len(words), JOINED):
+            part = words[i : i + JOINED]
+            raw = self.ask([" ".join(part)])[0]
+            cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 4).tolist()
+            whole = len(cuts) == len(part) and cuts[-1] == len(raw)
+            out += [raw[a:b] for a, b in zip([0, *cuts], cuts)] if whole else self.ask(part)
+        return out
+
+    def learn(self, words: set[str]) -> set[str]:
+        """Puts words into the memo; returns what is too long to stay there."""
+        memo, bare = self.memo, {}
+        for w in words:
+            core = w[:-1] if w[-1] in ",." and _plain(w[:-1]) else w
+            bare[w] = core.lower() if core.isascii() else core, w[len(core) :]
+        unknown = {x for pair in bare.values() for x in pair if x and x not in memo}
+        latin = [x for x in unknown if _plain(x) and (x.isascii() or max(x) < "\u0250")]
+        other = list(unknown.difference(latin))
+        memo.update(zip(latin, self.ask_words(latin), strict=True))
+        memo.update(zip(other, self.ask(other), strict=True))
+        memo.update((w, memo[core] + (memo[tail] if tail else b"")) for w, (core, tail) in bare.items())
+        return {x for w in words if len(w) > MEMO_CHARS for x in (w, *bare[w])}
+
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         if len(self.memo) > MEMO:
             self.memo = {}
         memo = self.memo
         parts = [None if t is not None and any(c in t for c in ODD) else (t or "").split() for t in texts]
-        new, bare = [w for w in set().union(*(p for p in parts if p)) if w not in memo], {}
-        for w in new:
-            core = w[:-1] if w[-1] in ",." and _plain(w[:-1]) else w
-            bare[w] = core.lower() if core.isascii() else core, w[len(core) :]
-        unknown = list({x for pair in bare.values() for x in pair if x and x not in memo})
-        memo.update(zip(unknown, self.ask(unknown), strict=True))
-        memo.update((w, memo[core] + (memo[tail] if tail else b"")) for w, (core, tail) in bare.items())
-        return [self.ask([t])[0] if p is None else b"".join(map(memo.__getitem__, p)) for t, p in zip(texts, parts, strict=True)]
+        words = set().union(*(p for p in parts if p))
+        long = self.learn(words.difference(memo))
+        out = [self.ask([t])[0] if p is None else b"".join(map(memo.__getitem__, p)) for t, p in zip(texts, parts, strict=True)]
+        for w in long:
+            memo.pop(w, None)
+        return out
 
 
 def _plain(word: str) -> bool:
@@ -227,7 +275,7 @@ def read(shards: DataFrame) -> DataFrame:
         for b in slices(batches, 1):
             first, blob = b.column(0)[0].as_py(), b.column(1)[0].as_py()
             docs, ef, ids = read_shard(blob)
-            ends = ef.values()
+            ends = ef.select_many(np.arange(ef.n))
             starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
             wide = memoryview(ids.astype("<u4").tobytes())
             crcs = [zlib.crc32(wide[4 * s : 4 * e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]

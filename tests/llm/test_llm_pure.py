@@ -192,3 +192,13 @@ def test_toxicity_features_by_hand():
     want = {"n": math.log1p(9), "strong": 2 / 9, "medium": 3 / 9, "weak": 4 / 9, "hits": math.log1p(4), "top": 4.0, "second": 1 / 9, "near": 2 / 9, "caps": 1 / 9, "loud": 2 / 9, "odd": 1 / 9, "listed": 1 / 9}
     assert {k: row[k] for k in want} == pytest.approx(want) and row["top3"] == pytest.approx(4 + 4 + 2.5625)
     assert toxicity.Features(lexicon).row(None) == toxicity.Features(lexicon).row("  ") == [0.0] * 13
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 300), min_size=1, max_size=400), st.integers(0, 10**6), st.data())
+def test_select_many(gaps, more, data):
+    values = np.cumsum(gaps) + more
+    ef = token_files.EliasFano.of(values, int(values[-1]))
+    at = np.array(sorted(data.draw(st.lists(st.integers(0, len(values) - 1), max_size=50))), np.int64)
+    assert ef.select_many(at).tolist() == [ef.select(i) for i in at.tolist()] == values[at].tolist()
+    assert ef.select_many(np.arange(len(values))).tolist() == ef.values().tolist() == values.tolist()
