@@ -91,12 +91,17 @@ def _csv(spark, sf_dir) -> Corpus:
     return Corpus.over(files_of(d, cat("orders-", F.col("c"), ".csv"), F.when(F.col("c") % 7 == 0, in_gb18030(body)).otherwise(utf8)))
 
 
+def flat(rows: str) -> Column:
+    """A table's rows as one text each."""
+    return F.transform(rows, lambda r: F.array_join(r, "|")).alias(rows)
+
+
 def csv_file_cells(spark, sf_dir):
     return _csv(spark, sf_dir).items.where("family = 'cells'").select("doc_id", "ord", "sheet", "cell", "row_no", "col_no", "value")
 
 
 def csv_file_tables(spark, sf_dir):
-    return _csv(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "id", "title", "headers", "rows", "cell")
+    return _csv(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "id", "title", "headers", flat("rows"), "cell")
 
 
 def csv_file_coverage(spark, sf_dir):
@@ -157,7 +162,7 @@ def xlsx_file_formulas(spark, sf_dir):
 
 
 def xlsx_file_tables(spark, sf_dir):
-    return _xlsx(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "id", "headers", "rows", "cell")
+    return _xlsx(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "id", "headers", flat("rows"), "cell")
 
 
 def xlsx_file_rest(spark, sf_dir):
@@ -213,7 +218,7 @@ def docx_file_blocks(spark, sf_dir):
 
 
 def docx_file_tables(spark, sf_dir):
-    return _docx(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "headers", "rows", "path", F.to_json("merged").alias("merged"))
+    return _docx(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "headers", flat("rows"), "path", F.to_json("merged").alias("merged"))
 
 
 def _pptx(spark, sf_dir) -> Corpus:
@@ -335,7 +340,7 @@ ORACLES = {
     "csv_file_tables": f"""
 WITH {_CSV}, b AS (SELECT *, (row_no - 1) // 500 AS block FROM f)
 SELECT 'orders-' || c || '.csv' AS doc_id, 'csv-rows-' || min(row_no) || '-' || max(row_no) AS id, 'CSV ' || min(row_no) || '-' || max(row_no) AS title,
-       ['订单', '', 'note'] AS headers, list(fields ORDER BY row_no) AS rows, 'A' || min(row_no) || ':C' || max(row_no) AS cell FROM b GROUP BY c, block""",
+       ['订单', '', 'note'] AS headers, list(array_to_string(fields, '|') ORDER BY row_no) AS rows, 'A' || min(row_no) || ':C' || max(row_no) AS cell FROM b GROUP BY c, block""",
     "csv_file_coverage": """
 SELECT DISTINCT 'orders-' || o_custkey || '.csv' AS doc_id, 'spreadsheet' AS kind, 'COMPLETE' AS coverage,
        CASE WHEN o_custkey % 7 = 0 THEN 'encoding:gb18030' ELSE 'encoding:utf-8' END AS warnings, CAST(NULL AS VARCHAR) AS error FROM orders""",
@@ -354,7 +359,7 @@ WITH {_XLSX} SELECT doc_id, 'formula-1-D' || r AS id, 'D' || r AS cell, '=B' ||
     "xlsx_file_tables": f"""
 WITH {_XLSX}, d AS (SELECT doc_id, row_no, list(value ORDER BY col_no) AS fields, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY row_no) - 1 AS INTEGER) // 500 AS block FROM v GROUP BY doc_id, row_no)
 SELECT doc_id, 'sheet-1-rows-' || min(row_no) || '-' || max(row_no) AS id, (SELECT any_value(h.fields) FROM d h WHERE h.doc_id = d.doc_id AND h.row_no = 2) AS headers,
-       list(fields ORDER BY row_no) AS rows, 'A' || min(row_no) || ':E' || max(row_no) AS cell FROM d GROUP BY doc_id, block""",
+       list(array_to_string(fields, '|') ORDER BY row_no) AS rows, 'A' || min(row_no) || ':E' || max(row_no) AS cell FROM d GROUP BY doc_id, block""",
     "xlsx_file_rest": f"""
 WITH {_ORDERS}, d AS (SELECT DISTINCT c, n, 'orders-' || c || '.xlsx' AS doc_id FROM o)
 SELECT doc_id, 'sheets' AS family, 0 AS ord, NULL AS type, NULL AS text, 'A2:E' || (2 * n) AS cell, 'Orders' AS name, 'visible' AS status, NULL AS path FROM d
@@ -381,7 +386,7 @@ SELECT doc_id, CAST(ord AS INTEGER) AS ord, id, type, text, path, level, CASE WH
 UNION ALL SELECT doc_id, n, 'block-' || (n + 2), 'paragraph', 'conversation ' || c, '/header[1]', NULL, p FROM e
 UNION ALL SELECT doc_id, n + 1, 'block-' || (n + 3), 'comment', 'Remark', '/comments/comment[1]', NULL, p FROM e""",
     "docx_file_tables": """
-SELECT DISTINCT 'talk-' || conv_id || '.docx' AS doc_id, ['a', 'b', 'c'] AS headers, [['wide', 'down'], ['x', 'y', '']] AS rows, '/body/tbl[1]' AS path,
+SELECT DISTINCT 'talk-' || conv_id || '.docx' AS doc_id, ['a', 'b', 'c'] AS headers, ['wide|down', 'x|y|'] AS rows, '/body/tbl[1]' AS path,
        '[{"row":2,"col":1,"row_span":1,"col_span":2},{"row":2,"col":3,"row_span":2,"col_span":1}]' AS merged FROM conversations WHERE conv_id IS NOT NULL""",
     "pptx_file_blocks": f"""
 WITH {_SLIDES}, b AS (
