@@ -25,9 +25,9 @@
    class is named by its least doc_id.
 
 Comparison streams over pairs sorted by their first text, of which one vector is held. A first text
-with many partners is spread over tasks, ``FAN`` partners each. Joins on a hot key (a large class, a
-very frequent text) are sort-merge joins whose output leaves the stage at once, so that adaptive
-execution splits them.
+with many partners is spread over tasks, ``FAN`` partners each. Joins on a key that may be hot (a
+bucket, a class, a very frequent text) are sort-merge joins between two plain tables, and what is
+counted per key is stored before; nothing else shares their stage, so adaptive execution splits them.
 
 Defined cases: a null text is a class of its own; equal texts are always of one class, also empty
 ones; texts under five words have one shingle, all their words, and texts without words none; very
@@ -223,8 +223,8 @@ def vectors_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, vectors: DataFrame, idf: np.ndarray) -> DataFrame:
     """The pairs (a, b) that are similar enough."""
-    fan = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    spread = pairs.join(fan, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / FAN)).cast("int").alias("salt"))
+    fan = stored(pairs.groupBy("a").agg(F.count("*").alias("n")))
+    spread = pairs.hint("merge").join(fan, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / FAN)).cast("int").alias("salt"))
     heads = fan.select("a", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / FAN) - 1).cast("int"))).alias("salt"))
     rows = spread.select("a", "salt", F.col("b").alias("node"), F.lit(1).alias("role")).union(heads.select("a", "salt", F.col("a").alias("node"), F.lit(0).alias("role")))
     rows = rows.hint("merge").join(vectors, "node").select("a", "salt", "role", "node", "h")
@@ -295,6 +295,7 @@ def large_links(met: DataFrame, texts: DataFrame, vectors: DataFrame, idf: np.nd
     plan = parts.groupBy("key").agg(F.max(F.struct("n", "label", "w")).alias("m"), F.sum("n").alias("n"), F.sum("w").alias("w"))
     blocks = lambda n, w: F.greatest(F.ceil(n / BLOCK), F.ceil(w / BLOCK_WORDS)).cast("int")
     plan = plan.select("key", F.col("m.label").alias("main"), blocks(F.col("n") - F.col("m.n"), F.col("w") - F.col("m.w")).alias("out"), blocks(F.col("m.n"), F.col("m.w")).alias("in"))
+    plan = stored(plan)
     main = F.col("label") == F.col("main")
     place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     own = F.when(main, F.col("out") + place(F.col("in"))).otherwise(place(F.col("out")))
@@ -329,7 +330,7 @@ def hub_pairs(met: DataFrame, tried: DataFrame, links: DataFrame) -> DataFrame:
     times = lambda d, n: d.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias(n))
     score = times(tried, "t").join(times(links, "l"), "node", "left").select("node", (F.coalesce("l", F.lit(0)) / (F.col("t") + 1)).alias("score"))
     part = F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("part")
-    hubs = met.hint("merge").join(score, "node").groupBy("key", part).agg(F.max(F.struct("score", "node", "label")).alias("m"))
+    hubs = stored(met.hint("merge").join(score, "node").groupBy("key", part).agg(F.max(F.struct("score", "node", "label")).alias("m")))
     pairs = met.hint("merge").join(hubs.select("key", F.col("m.node").alias("hub"), F.col("m.label").alias("of")), "key").where("label <> of")
     return pairs.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
 
@@ -339,7 +340,7 @@ def still_open(met: DataFrame, label: DataFrame) -> DataFrame:
     lab = met.drop("label").hint("merge").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lab = stored(lab.select("key", "node", "rep", "size", "label"))
     mixed = lab.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l <> m").select("key")
-    return stored(lab.hint("merge").join(mixed, "key", "left_semi"))
+    return stored(lab.hint("merge").join(stored(mixed), "key", "left_semi"))
 
 
 def joined(label: DataFrame, links: DataFrame) -> DataFrame:
@@ -358,7 +359,7 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sig = stored(signatures(docs, idf))
     texts = stored(sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("bands", "sketch", "n_words")).alias("m")).select("node", "doc_id", "m.*"))
     members = texts.select("node", F.explode("bands").alias("key"))
-    heads = members.groupBy("key").agg(F.count("*").alias("size"), F.min_by("node", F.xxhash64("key", "node")).alias("rep")).where("size > 1")
+    heads = stored(members.groupBy("key").agg(F.count("*").alias("size"), F.min_by("node", F.xxhash64("key", "node")).alias("rep")).where("size > 1"))
     met = stored(members.hint("merge").join(heads, "key").select("key", "node", "rep", "size"))
     vectors = stored(vectors_of(docs, texts.select("node", "doc_id").join(met.select("node").distinct(), "node")))
 
@@ -366,9 +367,9 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = stored(verified(tried, vectors, idf))
     label = components(links)
     met = still_open(met.where("size > 2"), label)
-    label = joined(label, verified(hub_pairs(met, tried, links), vectors, idf))
+    label = joined(label, verified(stored(hub_pairs(met, tried, links)), vectors, idf))
     met = still_open(met, label)
-    label = joined(label, verified(small_pairs(met), vectors, idf).union(large_links(met, texts, vectors, idf)))
+    label = joined(label, verified(stored(small_pairs(met)), vectors, idf).union(large_links(met, texts, vectors, idf)))
     named = texts.select("node", "doc_id").hint("merge").join(label, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     return sig.select("doc_id", "node"), stored(named)
 
@@ -376,8 +377,8 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def classes(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, class_id."""
     rows, texts = grouped(docs)
-    least = texts.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    named = texts.select("node", "label").hint("merge").join(least, "label").select("node", "class_id")
+    least = stored(texts.groupBy("label").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")).where("n > 1").select("label", "least"))
+    named = texts.hint("merge").join(least, "label", "left").select("node", F.coalesce("least", "doc_id").alias("class_id"))
     out = rows.hint("merge").join(named, "node", "left")
     return out.select("doc_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
 

@@ -165,6 +165,27 @@ def test_mixing_odd(odd):
     assert mixing.mix(odd).columns == odd.columns and mixing.mix(empty(odd)).count() == 0
 
 
+def test_mixing_targets_of_many_sources(spark):
+    """Ranks and levels over several range partitions equal those of one sorted list."""
+    import random
+
+    r = random.Random(9)
+    sizes = {f"k{name}": size for name, size in ((f"h{i:04d}é"[: 2 + i % 5] + str(i), r.choice([0, 1, 5, 5, 40, r.randrange(10**6)])) for i in range(900))}
+    weights, total = (5, 2, 1), 1.5 * sum(sizes.values())
+    rows = [(n, size, float(weights[i % 3]), 2.0 * size) for i, (n, size) in enumerate(sorted(sizes.items(), key=lambda x: x[0].encode()))]
+    left, w_left, level = total, sum(w for _, _, w, _ in rows), None
+    for _, _, w, cap in sorted(rows, key=lambda x: (x[3] / x[2], x[0].encode())):
+        if left / w_left * w <= cap:
+            level = left / w_left
+            break
+        left, w_left = left - cap, w_left - w
+    want = {n: min(cap, level * w) for n, _, w, cap in rows}
+    d = spark.createDataFrame([*sizes.items()], "skey string, source_size long").repartition(7)
+    got = {x.skey: x.target for x in mixing.targets(d, weights, 1.5, 2.0).collect()}
+    assert got == pytest.approx(want) and sum(got.values()) == pytest.approx(total)
+    assert mixing.targets(d.limit(0), weights, 1.5, 2.0).count() == 0
+
+
 def test_mixing_takes_rows_by_their_own_plan(spark):
     """Rows that share an id, or a null id, are taken each as its own plan says; names used inside may be taken."""
     rows = [(i % 7 if i % 5 else None, " ".join(["w"] * (i % 11 + 1)), "s" if i % 3 else None, i, str(i)) for i in range(200)]
@@ -504,6 +525,29 @@ def test_line_dedup_ways_agree(spark, odd):
     assert line_dedup.op(odd).count() == 9 and line_dedup.op(empty(odd)).count() == 0
 
 
+# clashing names
+
+
+def test_new_columns_must_not_exist(odd):
+    with pytest.raises(ValueError):
+        toxicity.score(odd.withColumn("score", F.lit(1)), toxicity.Model({}, None, None))
+    with pytest.raises(ValueError):
+        bpe.encode(odd.withColumn("ids", F.lit(1)), RANKS, public_tokenizers.PATTERN)
+    with pytest.raises(ValueError):
+        bpe.decode(odd.withColumn("ids", F.lit(b"")).withColumn("decoded", F.lit(1)), RANKS, public_tokenizers.PATTERN)
+    with pytest.raises(ValueError):
+        line_dedup.clean(odd.withColumn("n_lines", F.lit(1)))
+    with pytest.raises(ValueError):
+        quality.score(odd, odd, keep=("doc_id", "n_words"))
+
+
+def test_quality_keeps_named_columns(odd, labels):
+    d = odd.withColumnsRenamed({"key": "b1", "h": "__row"}).withColumnRenamed("lang", "n_symbols")
+    got = quality.score(d, empty(d), keep=("doc_id", "b1", "__row", "source")).collect()
+    assert sorted((r.b1, r.doc_id or 0, r["__row"] or "") for r in got) == sorted((r.b1, r.doc_id or 0, r["__row"] or "") for r in d.collect())
+    assert all(r.score == 0.0 for r in got)
+
+
 # pipeline
 
 
