@@ -22,8 +22,9 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
         step = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        step = stored(step)  # alone in its stage the join on a label, which a large component shares, can be split
         jump = step.select(F.col("node").alias("via"), F.col("label").alias("far"))
-        new = step.join(jump, step["label"] == jump["via"], "left").select("node", "old", F.least("label", "far").alias("label"))
+        new = step.hint("merge").join(jump, step["label"] == jump["via"], "left").select("node", "old", F.least("label", "far").alias("label"))
         new = stored(new)
         labels = new.select("node", "label")
         if new.where("old <> label").isEmpty():
