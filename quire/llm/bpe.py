@@ -45,8 +45,8 @@ MEMO_CHARS = 48
 
 
 class Encoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = MEMO):
+        self.ranks, self.most = ranks, memo
         self.n = max(ranks.values()) + 1
         self.vocab = [b""] * self.n
         for token, rank in ranks.items():
@@ -131,7 +131,7 @@ class Encoder:
         if found is None:
             ids = self.merge(text.encode())
             found = pack(f"<{len(ids)}I", *ids)
-            if len(text) <= MEMO_CHARS and len(self.known) < MEMO:
+            if len(text) <= MEMO_CHARS and len(self.known) < self.most:
                 self.known[text] = found
         return found
 
@@ -162,22 +162,23 @@ class _Memo(dict):
         e = self.encoder
         lead = "" if text[:1] == "\n" else self.lead
         ids = b"".join(map(e.chunk, e.chunks(lead + text)))
-        if len(text) <= MEMO_CHARS and len(self) < MEMO:
+        if len(text) <= MEMO_CHARS and len(self) < e.most:
             self[text] = ids
         return ids
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, memo: int = MEMO) -> Encoder:
     with open(path, "rb") as f:
         rows = (line.split() for line in f if line.strip())
-        return Encoder({base64.b64decode(a): int(b) for a, b in rows}, pattern)
+        return Encoder({base64.b64decode(a): int(b) for a, b in rows}, pattern, memo)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", whole_col: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", whole_col: str | None = None, memo: int = MEMO) -> DataFrame:
     """All columns plus ``ids_col``: the ids as binary (little-endian unsigned 32-bit).
 
-    ``whole_col`` names one more column: whether decoding the ids gives the text back.
+    ``whole_col`` names one more column: whether decoding the ids gives the text back. ``memo``
+    bounds the entries of each memo of a worker, for jobs that need its memory for other things.
     """
     names = docs.columns
     where = names.index(text_col)
@@ -186,7 +187,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
         raise ValueError(f"a column of {new} exists already")
 
     def run(batches):
-        e = encoder(path, pattern)
+        e = encoder(path, pattern, memo)
         for b in slices(batches):
             texts = b.column(where).to_pylist()
             ids = [e.encode(t) for t in texts]
