@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from quire.llm import bpe, line_dedup, mixing, near_dedup, toxicity
 from quire.llm.common import stored, table
 
+#: Entries of the encoder's memos: its workers served the other stages before and keep what these need.
+MEMO = 150_000
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -52,7 +55,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, number of ids, the ids (little-endian unsigned 32-bit) and whether they decode to the text."""
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode(docs.select("doc_id", "source", "text"), ranks, pattern, whole_col="round_trip")
+    ids = bpe.encode(docs.select("doc_id", "source", "text"), ranks, pattern, whole_col="round_trip", memo=MEMO)
     return ids.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", "round_trip")
 
 
