@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, language_id, line_dedup, media, mixing, near_dedup, quality, secrets, token_files, toxicity
+from . import bpe, language_id, line_dedup, media, mixing, near_dedup, packing, quality, secrets, token_files, toxicity
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.op(table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark, sf_dir):
+    return packing.op(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_byte_bpe": op2_byte_bpe,
@@ -60,6 +64,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op13_packing": op13_packing,
 }
 ORACLES = {
     "op3_mixing": mixing.ORACLE,
