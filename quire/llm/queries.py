@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, language_id, line_dedup, media, mixing, near_dedup, packing, quality, secrets, token_files, toxicity
+from . import alignment, bpe, language_id, line_dedup, media, mixing, near_dedup, packing, quality, secrets, token_files, toxicity
 from .common import table
 
 
@@ -49,6 +49,11 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.op(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark, sf_dir):
+    path = public_tokenizers.path
+    return alignment.op(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
 def op13_packing(spark, sf_dir):
     return packing.op(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op12_alignment": op12_alignment,
     "op13_packing": op13_packing,
 }
 ORACLES = {
