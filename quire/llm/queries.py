@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import alignment, bpe, language_id, line_dedup, media, mixing, near_dedup, packing, quality, secrets, token_files, toxicity
+from . import alignment, bpe, language_id, line_dedup, media, mixing, near_dedup, packing, phrases, quality, secrets, token_files, toxicity
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup.op(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark, sf_dir):
+    return phrases.op(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark, sf_dir):
     path = public_tokenizers.path
     return alignment.op(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
@@ -69,10 +73,12 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_near_dedup": op9_near_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_phrases": op11_phrases,
     "op12_alignment": op12_alignment,
     "op13_packing": op13_packing,
 }
 ORACLES = {
     "op3_mixing": mixing.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op11_phrases": phrases.ORACLE,
 }
