@@ -40,8 +40,8 @@ CONTAINED = 80
 TOP = 2000
 BITS = 1 << 27
 #: Words that a task holds before it sums them up, and distinct words before it starts anew.
-HELD = 4_000_000
-WORDS = 1_000_000
+HELD = 1_000_000
+WORDS = 250_000
 #: Bytes of a text that are split at a time.
 SPAN = 1 << 20
 SALTS = 64
@@ -123,6 +123,7 @@ def frequent_bits(docs: DataFrame) -> np.ndarray:
                 for i in range(0, len(keys), 1 << 20):
                     part = slice(i, i + (1 << 20))
                     yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(n[part])], ["h", "n"])
+            coder = langs = None  # not held while the next block is gathered
 
     counts = arrow_map(docs, run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
     bit = F.shiftrightunsigned("h", 64 - (BITS.bit_length() - 1)) + 1
@@ -170,6 +171,7 @@ def projected(docs: DataFrame, bits: np.ndarray) -> DataFrame:
         for coder, langs in _blocks(batches):
             for lang, codes in langs.items():
                 yield from pointers(coder, lang, codes)
+            coder = langs = codes = None
 
     rows = arrow_map(docs, run, "lang string, pointer string, n long")
     return stored(rows.groupBy("lang", "pointer").agg(F.sum("n").alias("n")))
