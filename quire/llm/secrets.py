@@ -9,13 +9,16 @@ and the one after (key-naming words, placeholder and digest words).
 
 The forest is trained from labelled findings: rows (before, word, after, label), described by the
 same expressions. ``examples`` makes a fixed set of them from formats, as no labelled table comes
-with the corpus; ``op`` takes any other. It is bounded (``EXAMPLES`` rows), fitted on the driver
+with the corpus; ``scan`` takes any other. It is bounded (``EXAMPLES`` rows, of more a sample by hash), fitted on the driver
 and turned into one SQL expression, so scanning stays a single pass without Python.
 
 The dictionary holds the most frequent letter words of the whole corpus, at most ``DICTIONARY``:
-counted over all texts, partly summed before the shuffle, cut at a frequency that a histogram of
-bounded size gives, and broadcast at that fixed size. Words that are about as frequent as the one at
-the cut (within 1.1 %) are in together or out together.
+counted over all texts, partly summed before the shuffle, cut where a histogram of bounded size says,
+ties by word, and broadcast at that fixed size.
+
+No pattern scans a long word again and again: a word of a million characters takes seconds. So a key
+name counts with up to 64 word characters after it, and of the words before it the last 256 characters are
+looked at for one.
 
 Defined cases: null and empty texts have no candidates; equal words at several places are several
 findings, and so are several secrets of one word, under one word number; very long words are read
@@ -25,6 +28,7 @@ one without candidates gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections.abc import Sequence
 
@@ -48,8 +52,7 @@ FORMATS = {
     "jwt": r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
     "private": r"sk[-_](?:live|test|proj)?[-_]?[A-Za-z0-9]{16,}",
 }
-MIXED = r"(?=[A-Za-z+/_=\-]*[0-9])(?=[0-9+/_=\-]*[A-Za-z])[A-Za-z0-9+/_=\-]{12,}"
-TILE = r"(.*?)([A-Za-z0-9+/_=.\-]{12,})"
+RUN = r"[A-Za-z0-9+/_=.\-]{12,}+"
 NAMES = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key)"
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|xxxx|your[_-]|test123|redacted|\*\*\*"
 DIGEST = r"(?i)\b(?:sha(?:1|256|512)?|md5|commit|checksum|digest|hash|revision|etag|uuid|guid|build|version)\b"
@@ -60,23 +63,43 @@ FEATURES = (
 )
 
 
+def signed(run: Column) -> Column:
+    """Whether the pattern of a signed token (``jwt``) is in a run: its parts between full stops are looked at once each."""
+    part = lambda p, k: F.element_at(F.split(p, "[^A-Za-z0-9_-]"), k)
+    begins = lambda x: (F.instr(x, "eyJ") > 0) & (F.length(x) - F.instr(x, "eyJ") >= 10)
+    pairs = lambda ps: F.zip_with(ps, F.slice(ps, 2, F.size(ps)), lambda a, b: F.coalesce(begins(part(a, -1)) & (F.length(part(b, 1)) >= 8), F.lit(False)))
+    return let(F.split(run, "\\."), lambda ps: F.exists(pairs(ps), lambda x: x))
+
+
+def of_format(run: Column, name: str) -> Column:
+    return signed(run) if name == "jwt" else run.rlike(FORMATS[name])
+
+
+def known_format(run: Column) -> Column:
+    return run.rlike("|".join(f"(?:{f})" for k, f in FORMATS.items() if k != "jwt")) | signed(run)
+
+
 def pieces(word: Column) -> Column:
-    """The candidates of a word: array of (run, part), where part is the word if it has one run only."""
-    runs, gaps = (F.regexp_extract_all(word, F.lit(TILE), F.lit(k)) for k in (2, 1))
+    """The candidates of a word: array of (run, part), where part is the word if it has one run only.
+
+    Runs and the gaps between them are found by one pattern that never goes back, so the time is linear in
+    the length of the word.
+    """
+    runs, gaps = F.regexp_extract_all(word, F.lit(RUN), F.lit(0)), F.split(word, RUN, -1)
 
     def cut(tiles: Column) -> Column:
         def piece(t: Column, i: Column) -> Column:
             last = F.get(tiles, i - 1)["run"]
             named = F.coalesce(t["gap"].rlike("^[\"']?[=:][\"']?$"), F.lit(False)) & last.isNotNull()
-            after = F.coalesce(F.get(tiles, i + 1)["gap"], F.regexp_replace(word, TILE, ""))
-            part = F.concat(F.when(named, last).otherwise(""), t["gap"], t["run"], F.substring(after, 1, 1))
-            return F.struct(t["run"].alias("run"), F.when(F.size(tiles) == 1, word).otherwise(part).alias("part"))
+            part = F.concat(F.when(named, last).otherwise(""), t["gap"], t["run"], F.substring(F.get(tiles, i + 1)["gap"], 1, 1))
+            return F.struct(t["run"].alias("run"), F.when(F.size(tiles) == 2, word).otherwise(part).alias("part"))
 
         return F.transform(tiles, piece)
 
-    known = "|".join(f"(?:{f})" for f in FORMATS.values())
+    # the last gap has no run: one tile more than there are candidates
     tiles = F.transform(F.arrays_zip(gaps.alias("gap"), runs.alias("run")), lambda t: F.struct(t["gap"].alias("gap"), t["run"].alias("run")))
-    kept = lambda x: x["run"].rlike(MIXED) | x["run"].rlike(known)
+    mixed = lambda run: F.exists(F.split(run, "\\."), lambda p: (F.length(p) >= 12) & p.rlike("[0-9]") & p.rlike("[A-Za-z]"))
+    kept = lambda x: x["run"].isNotNull() & (mixed(x["run"]) | known_format(x["run"]))
     return F.when(F.length(word) >= 12, F.filter(let(tiles, cut), kept))
 
 
@@ -93,7 +116,7 @@ def candidates(docs: DataFrame) -> DataFrame:
         )
         return F.flatten(F.filter(F.transform(ws, row), lambda r: r.isNotNull()))
 
-    likely = F.col("text").rlike(r"[0-9]") | F.col("text").rlike("|".join(f"(?:{f})" for f in FORMATS.values()))
+    likely = F.col("text").rlike(r"[0-9]") | F.col("text").contains("eyJ") | F.col("text").rlike("|".join(f"(?:{f})" for k, f in FORMATS.items() if k != "jwt"))
     return docs.where(likely).select("doc_id", F.inline(let(words(F.col("text")), pick)))
 
 
@@ -103,13 +126,16 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> DataFrame:
     bare = w.select(F.lower(F.translate("w", ".,;:!?\"'()", "")).alias("w")).where(F.col("w").rlike(r"^\p{L}{3,}$"))
     counts = stored(bare.groupBy("w").agg(F.count("*").alias("n")).withColumn("step", F.floor(F.log2("n") * 64).cast("int")))
     steps = sorted(((r["step"], r["count"]) for r in counts.groupBy("step").count().collect()), reverse=True)  # at most 64 for each doubling of n
-    inside, least = 0, None
-    for step, n in steps:
-        inside += n
-        if inside > size:
-            break
-        least = step
-    top = counts.where(F.col("step") >= F.lit(least)) if least is not None else counts.limit(0)
+    if sum(n for _, n in steps) <= size:
+        top = counts
+    else:
+        inside = 0
+        for last, n in steps:
+            if inside + n > size:
+                break
+            inside += n
+        rest = counts.where(F.col("step") == F.lit(last)).orderBy(F.desc("n"), "w").limit(size - inside)
+        top = counts.where(F.col("step") > F.lit(last)).unionByName(rest)
     return top.agg(F.sort_array(F.collect_list("w")).alias("dict"))
 
 
@@ -126,8 +152,8 @@ def described(found: DataFrame, dict_row: DataFrame) -> DataFrame:
     runs = F.filter(F.split(F.lower(t), "[^a-z]+"), lambda x: F.length(x) >= 3)
     known = F.aggregate(F.array_intersect(runs, F.col("dict")), F.lit(0), lambda a, x: a + F.length(x))
     rule = F.lit("generic")
-    for name, pattern in reversed(FORMATS.items()):
-        rule = F.when(F.col("run").rlike(pattern), F.lit(name)).otherwise(rule)
+    for name in reversed(FORMATS):
+        rule = F.when(of_format(F.col("run"), name), F.lit(name)).otherwise(rule)
     near = F.concat_ws(" ", "before2", "before")
     values = {
         "length": n,
@@ -139,11 +165,11 @@ def described(found: DataFrame, dict_row: DataFrame) -> DataFrame:
         "hex": yes(t.rlike("^[0-9a-f]+$") | t.rlike("^[0-9A-F]+$")),
         "uuid": yes(t.rlike("^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")),
         "format": yes(rule != "generic"),
-        "named": yes(w.rlike(NAMES + r"\w*[\"']?[=:]")),
-        "named_before": yes(near.rlike(NAMES + r"\w*\W*(?:[=:]|is)?\W*$")),
+        "named": yes(w.rlike(NAMES + r"\w{0,64}[\"']?[=:]")),
+        "named_before": yes(F.substring(near, -256, 256).rlike(NAMES + r"\w*+\W*(?:[=:]|is)?\W*$")),
         "placeholder": yes(F.concat_ws(" ", near, w, "after").rlike(PLACEHOLDER)),
         "digest_before": yes(near.rlike(DIGEST)),
-        "path": yes(w.rlike(r"^(?:https?://|\.{0,2}/)|[A-Za-z0-9_-]+/[A-Za-z0-9_-]+/|\.[a-z]{2,5}$|@")),
+        "path": yes(w.rlike(r"^(?:https?://|\.{0,2}/)|[A-Za-z0-9_-]/[A-Za-z0-9_-]+/|\.[a-z]{2,5}$|@")),
         "coverage": known / n,
         "quoted": yes(w.rlike(r"[\"'][A-Za-z0-9+/_=.\-]{8,}[\"']")),
         "repeats": 1 - F.size(F.array_distinct(F.regexp_extract_all(t, F.lit(r"(..)"), F.lit(1)))) * 2 / n,
@@ -198,7 +224,9 @@ def examples(n: int = EXAMPLES, seed: int = 5, kinds: Sequence[int] = range(12))
 
 def table_of(spark: SparkSession, labelled: list[tuple[str, str, str, str, int]], dict_row: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Feature rows and labels of labelled findings, by the expressions that describe candidates."""
-    rows = spark.createDataFrame(labelled[:EXAMPLES], "before2 string, before string, word string, after string, label int")
+    if len(labelled) > EXAMPLES:  # a sample by hash, whatever their order
+        labelled = sorted(labelled, key=lambda x: hashlib.md5(repr(x).encode()).digest())[:EXAMPLES]
+    rows = spark.createDataFrame(labelled, "before2 string, before string, word string, after string, label int")
     # one finding a row: its last candidate, or the whole word where a counterexample has none
     last = F.coalesce(F.element_at(F.when(F.size(pieces(F.col("word"))) > 0, pieces(F.col("word"))), -1), F.struct(F.col("word").alias("run"), F.col("word").alias("part")))
     rows = rows.select("before2", "before", last.alias("p"), "after", "label").select("before2", "before", F.col("p.part").alias("word"), F.col("p.run").alias("run"), "after", "label")

@@ -322,8 +322,8 @@ def test_secrets_dictionary_cut(spark):
     n = Counter(rows[0][0].split())
     for size in (1, 5, 12, 100):
         got = secrets.dictionary(d.selectExpr("replace(text, 'w', 'word') as text"), size).first().dict
-        least = min((n[w.replace("word", "w")] for w in got), default=99)
-        assert len(got) <= size and got == sorted(w.replace("w", "word", 1) for w in n if n[w] >= least)
+        best = sorted(n, key=lambda w: (-n[w], w))[:size]
+        assert got == sorted(w.replace("w", "word", 1) for w in best)
 
 
 def test_forest_as_sql(spark):
