@@ -8,7 +8,10 @@
 2. Each text gets ``BANDS`` * ``ROWS`` consistent weighted samples (Ioffe's scheme: a sample is the
    pair of a shingle and a level; two texts agree on one with a probability equal to their weighted
    Jaccard similarity). The three draws of a shingle are read at three different parts of its hash.
-   ``ROWS`` samples make a band key. At a similarity of 0.8 one pair in about 10^5 shares no band.
+   As a pair is also linked by its plain sets, it gets as many plain min-hash samples of those, whose
+   agreement is the plain similarity, however often a passage is repeated. ``ROWS`` samples of one
+   family make a band key. A pair at 0.8 by one of the two similarities shares no band of that family in
+   8 of 10 000 cases, one at 0.8 by both in less than one in a million.
 3. Equal texts are one text from here on, named by digest. Texts that share a band key are
    candidates. First each is verified against one member of each of its buckets, drawn anew for every
    bucket, which settles most buckets: texts already of one class need no further comparison.
@@ -17,9 +20,9 @@
    of a group of copies, where nearly all of it is near.
 5. What is still of several classes in a bucket is compared in full: every two texts of different
    classes are candidates. Up to ``SMALL`` texts give their pairs; a larger bucket is dealt into
-   salted blocks of about ``BLOCK`` texts and ``BLOCK_WORDS`` words, those outside its largest class against all others, and
-   two texts are compared there if ``AGREE`` of their samples are equal (0.8 alike and missed: one
-   pair in 10^9). Only links that join classes leave a task. No pair is left out for a bucket's size.
+   salted blocks of about ``BLOCK`` texts and ``BLOCK_WORDS`` words, those outside its largest class against all others.
+   There two texts are compared if ``AGREE`` of the ``BANDS`` * ``ROWS`` samples of a family are equal, which two texts that are to
+   be linked miss in 3 of 10^7 cases. Only links that join classes leave a task.
 6. Every comparison is made on whole texts: linked if the weighted Jaccard similarity, or that of the
    plain sets of shingles, is 0.8 or more. Classes are the connected components of the links; a
    class is named by its least doc_id.
@@ -52,14 +55,16 @@ from .components import components
 
 SHINGLE = 5
 SIMILAR = 0.8
-BANDS = 16
+BANDS = 10
 ROWS = 3
+#: Samples of each family.
+FAMILY = BANDS * ROWS
 BINS = 1 << 18
 LEAST_IDF = 0.5
 SMALL = 16
 BLOCK = 512
 BLOCK_WORDS = 1 << 21
-AGREE = 22
+AGREE = 12
 HUBS = 3
 FAN = 256
 TABLE = 1 << 16
@@ -143,7 +148,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gamma(2, 1), its second's logarithm and the uniform draws of each sample, for shingles by their low bits."""
     rng = np.random.default_rng(2010)
-    shape = (TABLE, BANDS * ROWS)
+    shape = (TABLE, FAMILY)
     r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
     return r, np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32), rng.random(shape, np.float32)
 
@@ -171,10 +176,34 @@ def samples(s: np.ndarray, w: np.ndarray) -> np.ndarray:
         return at_best ^ (level.astype(np.int64).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+@lru_cache(maxsize=1)
+def _plain_draws() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(1997)
+    return rng.integers(0, 1 << 63, FAMILY, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, FAMILY, np.uint64)
+
+
+def plain_samples(s: np.ndarray) -> np.ndarray:
+    """The least hash of a text's shingles under each of FAMILY hash functions."""
+    factor, plus = _plain_draws()
+    best = np.full(FAMILY, np.iinfo(np.uint64).max, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(0, len(s), 2048):
+            h = s[i : i + 2048, None] * factor + plus
+            best = np.minimum(best, ((h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)).min(0))
+    return best
+
+
+def both_samples(s: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """The samples of the weighted family, then those of the plain one."""
+    return np.concatenate([samples(s, w), plain_samples(s)])
+
+
 def band_keys(sample: np.ndarray) -> np.ndarray:
+    """A key for each band of one or both families."""
+    n = len(sample) // ROWS
     with np.errstate(over="ignore"):
-        key = np.arange(1, BANDS + 1).astype(np.uint64)
-        for row in sample.reshape(BANDS, ROWS).T:
+        key = np.arange(1, n + 1).astype(np.uint64)
+        for row in sample.reshape(n, ROWS).T:
             key = (key ^ row) * np.uint64(0xC2B2AE3D27D4EB4F)
             key ^= key >> np.uint64(31)
     return key.view(np.int64)
@@ -186,6 +215,12 @@ def sketch(sample: np.ndarray) -> bytes:
         return ((sample * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype("<u2").tobytes()
 
 
+def alike(many: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Which of several sketches agree with one often enough in a family for their texts to be compared."""
+    same = many == one
+    return (same[:, :FAMILY].sum(1) >= AGREE) | (same[:, FAMILY:].sum(1) >= AGREE)
+
+
 def node(text) -> F.Column:
     """A text's name: its digest, 16 bytes; null for a null text."""
     return F.unhex(F.md5(text))
@@ -199,7 +234,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
             rows, last = [], (None, None)
             for name, h in zip(b.column(1).to_pylist(), lists(b.column(2)), strict=True):
                 if name is None or name != last[0]:  # copies often follow one another
-                    found = samples(*vector(h, idf)) if len(h) else None
+                    found = both_samples(*vector(h, idf)) if len(h) else None
                     last = name, (np.empty(0, np.int64), b"") if found is None else (band_keys(found), sketch(found))
                 rows.append(last[1])
             cuts = np.concatenate([[0], np.cumsum([len(k) for k, _ in rows])]).astype(np.int32)
@@ -260,7 +295,7 @@ class _Cell:
 
     def __init__(self, key: int):
         self.key, self.n, self.joined = key, 0, {}
-        self.sketches = np.empty((64, BANDS * ROWS), np.uint16)
+        self.sketches = np.empty((64, 2 * FAMILY), np.uint16)
         self.rows: list[tuple] = []
 
     def hold(self, row: tuple, sample: np.ndarray) -> None:
@@ -278,7 +313,7 @@ class _Cell:
     def links(self, row: tuple, sample: np.ndarray):
         """The held texts that the row is linked to and that are of a class of their own still."""
         name, label, keys, v = row
-        for i in np.flatnonzero((self.sketches[: self.n] == sample).sum(1) >= AGREE).tolist():
+        for i in np.flatnonzero(alike(self.sketches[: self.n], sample)).tolist():
             other, others, theirs, w = self.rows[i]
             x, y = self.root(label), self.root(others)
             # a pair that shares several buckets is compared in that of least key
