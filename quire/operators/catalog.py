@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -91,22 +90,6 @@ def session_key(session: Column) -> Column:
     return F.sha2(session.cast("binary"), 256)
 
 
-def write_sessions(catalog: DataFrame, path: str) -> None:
-    """Replaces the stored records of the sessions in ``catalog``, one partition each; other sessions stay."""
-    d = catalog.withColumn("session_key", session_key(F.col("session_id")))
-    d.repartition("session_key").write.partitionBy("session_key").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
-
-
-def read_sessions(like: DataFrame, path: str) -> DataFrame:
-    """Stored records, with the columns of ``like``; a store that is not there yet is empty."""
-    try:
-        return like.sparkSession.read.schema(like.schema).parquet(path).select(*like.columns)
-    except AnalysisException as absent:
-        if absent.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return like.limit(0)
-
-
 def active_turn(bindings: DataFrame) -> DataFrame:
     """The attachments of each session's active turn, from events (session_id, seq, event, turn, attachment_id).
 

@@ -9,9 +9,9 @@ from ..limits import LIMITS
 
 
 def strict_base64(text: Column) -> Column:
-    """Bytes of canonical base64, else null."""
+    """Bytes of canonical base64 that is not empty, else null."""
     # Fixed value: the shape of canonical base64.
-    shape = text.rlike(r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?\z")
+    shape = (text != "") & text.rlike(r"^(?:[A-Za-z0-9+/]{4})*(?:[A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?\z")
     raw = F.when(shape, F.unbase64(text))
     return F.when(F.regexp_replace(F.base64(raw), "\r\n", "") == text, raw)
 

@@ -289,7 +289,7 @@ FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL""",
 WITH f AS (SELECT source, count(*) % 50 AS size, (length(source) + ascii(right(source, 1))) % 4 AS k FROM documents GROUP BY source)
 SELECT source AS archive_id, CASE WHEN k = 2 THEN 'FILE_TOO_LARGE' WHEN k = 1 OR size = 0 THEN 'BAD_REQUEST' WHEN k = 3 THEN 'ARCHIVE_CORRUPT' END AS error FROM f""",
     "base64_chunks": """
-SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN p_name WHEN p_partkey % 5 = 4 THEN '' END AS name FROM part""",
+SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 AND p_name <> '' THEN p_name END AS name FROM part""",
     "names_and_badges": r"""
 WITH r AS (SELECT page_id, 'up/' || page_id || ['.tar.gz', '', ' .Html ', chr(7) || 'x.py', '/', '\new.longext', '.md'][CAST(page_id % 7 + 1 AS INTEGER)] AS raw FROM pages),
 x AS (SELECT *, upper(regexp_extract(raw, '\.([^.]*)$', 1)) AS ext FROM r)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import archive_queries, catalog_queries, item_queries, shape_queries, sheet_queries, source_queries, text_queries
+from . import archive_queries, catalog_queries, item_queries, shape_queries, sheet_queries, source_queries, store_queries, text_queries
 
-_MODULES = (text_queries, sheet_queries, item_queries, archive_queries, catalog_queries, source_queries, shape_queries)
+_MODULES = (text_queries, sheet_queries, item_queries, archive_queries, catalog_queries, source_queries, shape_queries, store_queries)
 
 QUERIES: dict = {}
 ORACLES: dict = {}

@@ -48,9 +48,13 @@ def files_of(d: DataFrame, name: Column, content: Column) -> DataFrame:
     return d.select(F.col("name").alias("doc_id"), "name", F.octet_length("content").cast("bigint").alias("bytes"), catalog.content_id(F.col("content")).alias("sha256"), "content")
 
 
-def zipped(d: DataFrame, name: Column, parts: dict[str, Column | str]) -> DataFrame:
+def zipped(d: DataFrame, name: Column, parts: dict[str, Column | str], more: Column | None = None) -> DataFrame:
+    """``more``: an array of further parts (name, content), any number of them in a file."""
     binary = lambda p: (F.lit(p) if isinstance(p, str) else p).cast("binary")
-    return files_of(d, name, packed(F.array(*[F.lit(n) for n in parts]), F.array(*[binary(p) for p in parts.values()])))
+    names, contents = F.array(*[F.lit(n) for n in parts]), F.array(*[binary(p) for p in parts.values()])
+    if more is not None:
+        names, contents = F.concat(names, F.transform(more, lambda p: p["name"])), F.concat(contents, F.transform(more, lambda p: p["content"].cast("binary")))
+    return files_of(d, name, packed(names, contents))
 
 
 def xml(c: Column) -> Column:
@@ -97,11 +101,11 @@ def flat(rows: str) -> Column:
 
 
 def csv_file_cells(spark, sf_dir):
-    return _csv(spark, sf_dir).items.where("family = 'cells'").select("doc_id", "ord", "sheet", "cell", "row_no", "col_no", "value")
+    return _csv(spark, sf_dir).of("cells", fields=("ord", "sheet", "cell", "row_no", "col_no", "value")).drop("family")
 
 
 def csv_file_tables(spark, sf_dir):
-    return _csv(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "id", "title", "headers", flat("rows"), "cell")
+    return _csv(spark, sf_dir).of("tables").select("doc_id", "id", "title", "headers", flat("rows"), "cell")
 
 
 def csv_file_coverage(spark, sf_dir):
@@ -154,20 +158,20 @@ def _xlsx(spark, sf_dir) -> Corpus:
 
 
 def xlsx_file_cells(spark, sf_dir):
-    return _xlsx(spark, sf_dir).items.where("family = 'cells'").select("doc_id", "ord", "sheet", "cell", "row_no", "col_no", "value", "formula", "saved_value")
+    return _xlsx(spark, sf_dir).of("cells", fields=("ord", "sheet", "cell", "row_no", "col_no", "value", "formula", "saved_value")).drop("family")
 
 
 def xlsx_file_formulas(spark, sf_dir):
-    return _xlsx(spark, sf_dir).items.where("family = 'formulas'").select("doc_id", "id", "cell", "formula", "saved_value", "status", F.col("name").alias("number_format"))
+    return _xlsx(spark, sf_dir).of("formulas").select("doc_id", "id", "cell", "formula", "saved_value", "status", F.col("name").alias("number_format"))
 
 
 def xlsx_file_tables(spark, sf_dir):
-    return _xlsx(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "id", "headers", flat("rows"), "cell")
+    return _xlsx(spark, sf_dir).of("tables").select("doc_id", "id", "headers", flat("rows"), "cell")
 
 
 def xlsx_file_rest(spark, sf_dir):
     """Sheets, comments, merges and media."""
-    i = _xlsx(spark, sf_dir).items.where("family in ('sheets', 'blocks', 'images')")
+    i = _xlsx(spark, sf_dir).of("sheets", "blocks", "images")
     return i.select("doc_id", "family", "ord", "type", "text", "cell", "name", "status", "path")
 
 
@@ -214,40 +218,40 @@ def _docx(spark, sf_dir) -> Corpus:
 
 
 def docx_file_blocks(spark, sf_dir):
-    return _docx(spark, sf_dir).items.where("family = 'blocks'").select("doc_id", "ord", "id", "type", "text", "path", "parent_id", "level")
+    return _docx(spark, sf_dir).of("blocks").select("doc_id", "ord", "id", "type", "text", "path", "parent_id", "level")
 
 
 def docx_file_tables(spark, sf_dir):
-    return _docx(spark, sf_dir).items.where("family = 'tables'").select("doc_id", "headers", flat("rows"), "path", F.to_json("merged").alias("merged"))
+    return _docx(spark, sf_dir).of("tables").select("doc_id", "headers", flat("rows"), "path", F.to_json("merged").alias("merged"))
 
 
 def _pptx(spark, sf_dir) -> Corpus:
-    """A slide for each of the first three turns; titles for users, notes for the system."""
-    turn = lambda k: F.get("rows", k - 1)
-    n = F.least(F.size("rows"), F.lit(3))
-    some = lambda k, c: F.when(F.col("n") >= k, c).otherwise("")
-    ids = [some(k, F.lit(f'<sldId id="{255 + k}" r:id="r{k}"/>')) for k in (1, 2, 3)]
+    """A slide for each turn; titles for users, notes for the system."""
+    each = lambda one: joined(F.sequence(F.lit(1), F.size("rows")), one)
+    rel = lambda i, kind, target: cat('<Relationship Id="', i, f'" Type="{REL}/{kind}" Target="', target, '"/>')
     parts = {
         "[Content_Types].xml": "<Types/>",
-        "ppt/presentation.xml": cat(f"<presentation {W}><sldIdLst>", *ids, "</sldIdLst></presentation>"),
-        "ppt/_rels/presentation.xml.rels": rels(*[(f"r{k}", "slide", f"slides/slide{k}.xml") for k in (1, 2, 3)]),
+        "ppt/presentation.xml": cat(f"<presentation {W}><sldIdLst>", each(lambda k: cat('<sldId id="', k + 255, '" r:id="r', k, '"/>')), "</sldIdLst></presentation>"),
+        "ppt/_rels/presentation.xml.rels": cat("<Relationships>", each(lambda k: rel(cat("r", k), "slide", cat("slides/slide", k, ".xml"))), "</Relationships>"),
     }
-    for k in (1, 2, 3):
-        t = turn(k)
+
+    def slide(t: Column, i: Column) -> Column:
+        k, body = i + 1, F.coalesce(xml(t["text"]), F.lit(""))
         title = F.when(t["role"] == "user", '<ph type="title"/>').otherwise("")
-        body = F.coalesce(xml(t["text"]), F.lit(""))
-        parts[f"ppt/slides/slide{k}.xml"] = cat(
-            f'<sld {W}><cSld><spTree><sp><nvSpPr><cNvPr id="2"/><nvPr>', F.coalesce(title, F.lit("")), "</nvPr></nvSpPr><txBody><p><r><t>", body, "</t></r></p></txBody></sp>",
+        shapes = cat(
+            f'<sld {W}><cSld><spTree><sp><nvSpPr><cNvPr id="2"/><nvPr>', title, "</nvPr></nvSpPr><txBody><p><r><t>", body, "</t></r></p></txBody></sp>",
             '<pic><nvPicPr><cNvPr id="6" name="Logo"/></nvPicPr></pic></spTree></cSld></sld>',
         )
-        parts[f"ppt/slides/_rels/slide{k}.xml.rels"] = rels(("n", "notesSlide", f"../notesSlides/notesSlide{k}.xml"))
-        note = F.when(t["role"] == "system", body).otherwise("")
-        parts[f"ppt/notesSlides/notesSlide{k}.xml"] = cat(f'<notes {W}><sp><nvPr><ph type="body"/></nvPr><txBody><p><r><t>', F.coalesce(note, F.lit("")), "</t></r></p></txBody></sp></notes>")
-    return Corpus.over(zipped(_turns(spark, sf_dir).withColumn("n", n), cat("talk-", F.col("c"), ".pptx"), parts))
+        notes = cat(f'<notes {W}><sp><nvPr><ph type="body"/></nvPr><txBody><p><r><t>', F.when(t["role"] == "system", body).otherwise(""), "</t></r></p></txBody></sp></notes>")
+        to_notes = cat("<Relationships>", rel("n", "notesSlide", cat("../notesSlides/notesSlide", k, ".xml")), "</Relationships>")
+        made = {"slides/slide": (".xml", shapes), "slides/_rels/slide": (".xml.rels", to_notes), "notesSlides/notesSlide": (".xml", notes)}
+        return F.array(*[F.struct(cat(f"ppt/{n}", k, end).alias("name"), content.alias("content")) for n, (end, content) in made.items()])
+
+    return Corpus.over(zipped(_turns(spark, sf_dir), cat("talk-", F.col("c"), ".pptx"), parts, F.flatten(F.transform("rows", slide))))
 
 
 def pptx_file_blocks(spark, sf_dir):
-    return _pptx(spark, sf_dir).items.where("family in ('blocks', 'images')").select("doc_id", "family", "id", "type", "text", "path", "slide", "parent_id", "alt_text")
+    return _pptx(spark, sf_dir).of("blocks", "images").select("doc_id", "family", "id", "type", "text", "path", "slide", "parent_id", "alt_text")
 
 
 def pptx_file_outline(spark, sf_dir):
@@ -323,7 +327,7 @@ _TALK = r"""t AS (SELECT conv_id AS c, turn, role, CASE WHEN trim(s) = '' THEN '
   SELECT conv_id, coalesce(turn, 0) AS turn, coalesce(role, '') AS role, regexp_replace(coalesce(text, ''), '[\r\n\t]', ' ', 'g') AS s FROM conversations WHERE conv_id IS NOT NULL)),
 u AS (SELECT *, CAST(row_number() OVER (PARTITION BY c ORDER BY turn, role, text) AS INTEGER) AS i, CAST(count(*) OVER (PARTITION BY c) AS INTEGER) AS n FROM t)"""
 _SLIDES = f"""{_TALK}, s AS (SELECT *, 'talk-' || c || '.pptx' AS doc_id,
-  CAST(coalesce(sum(2 + CAST(role = 'system' AS INTEGER)) OVER (PARTITION BY c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS before FROM u WHERE i <= 3)"""
+  CAST(coalesce(sum(2 + CAST(role = 'system' AS INTEGER)) OVER (PARTITION BY c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS before FROM u)"""
 _ZIP = f"""{_TALK}, z AS (SELECT 'talk-' || c || '.zip' AS archive_id, c, string_agg(role || ': ' || text, chr(10) ORDER BY i) AS said,
   string_agg(turn || ',' || role, chr(10) ORDER BY i) AS csv, count(*) AS n FROM u GROUP BY c)"""
 

@@ -10,15 +10,18 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.shipping import ship
 from ..functions.strings import extension, leaf
 from ..limits import LIMITS, QueryError
 from ..operators import archive, cells, items, text
 from . import parsers
+from .store import Table
 
 SCHEMA = (
     "doc_id string, family string, ord int, id string, type string, title string, level int, text string, parent_id string, headers array<string>, "
@@ -39,14 +42,42 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _frames(doc: str, rows: list[dict]) -> Iterator[pd.DataFrame]:
-    for i in range(0, len(rows), 5000):  # a large sheet leaves in parts
-        part = rows[i : i + 5000]
-        frame = pd.DataFrame({f: pd.Series([r.get(f) for r in part], dtype=object) for f in FIELDS})
-        for f in ("ord", "level", "row_no", "col_no", "slide"):
-            frame[f] = pd.array(frame[f], dtype="Int32")
-        frame["doc_id"] = doc
-        yield frame
+#: Rows that leave a task at a time.
+ROWS = 5000
+
+
+def _batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Rows of any number of files as Arrow batches of the columns asked for."""
+    held: list[dict] = []
+    for r in rows:
+        held.append(r)
+        if len(held) >= ROWS:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def _scan(files: DataFrame, parse, families: Iterable[str] | None, fields: Iterable[str] | None) -> DataFrame:
+    """One crossing to Python over (doc_id, kind, content): ``parse`` gives a file's rows; only the families and fields asked for leave it."""
+    ship(files.sparkSession)
+    wanted = None if families is None else frozenset(families)
+    names = FIELDS if fields is None else [f for f in FIELDS if f in set(fields) | {"doc_id", "family"}]
+    out = T.StructType([f for f in T._parse_datatype_string(SCHEMA).fields if f.name in names])
+    schema = to_arrow_schema(out)
+
+    def run(batches):
+        def rows():
+            for b in batches:
+                for doc, kind, data in zip(*(b.column(i) for i in range(3)), strict=True):
+                    doc = doc.as_py()
+                    for r in parse(kind.as_py(), data.as_py()):
+                        if wanted is None or r["family"] in wanted:
+                            yield r | {"doc_id": doc}
+
+        yield from _batches(rows(), schema)
+
+    return files.mapInArrow(run, out)
 
 
 def _kinds(files: DataFrame, known: Iterable[str]) -> DataFrame:
@@ -54,31 +85,18 @@ def _kinds(files: DataFrame, known: Iterable[str]) -> DataFrame:
     return files.select("doc_id", kind.alias("kind"), "content").where(F.col("kind").isin(*known))
 
 
-def parse_documents(files: DataFrame, index_from: int | None = None) -> DataFrame:
+def parse_documents(files: DataFrame, index_from: int | None = None, families: Iterable[str] | None = None, fields: Iterable[str] | None = None) -> DataFrame:
     """Item rows of the document files (csv, xlsx, docx, pptx by name); a file that cannot be read is one row of family ``error``.
 
-    Spreadsheets from ``index_from`` bytes on give their sheets only; ``read_ranges`` answers for their cells.
+    Spreadsheets from ``index_from`` bytes on give their sheets only; ``read_ranges`` answers for their
+    cells. ``families`` and ``fields`` name the rows and columns wanted, if not all of them are.
     """
-    ship(files.sparkSession)
-
-    def run(batches):
-        for pdf in batches:
-            for doc, kind, data in zip(pdf["doc_id"], pdf["kind"], pdf["content"], strict=True):
-                yield from _frames(doc, parsers.parse(kind, bytes(data), index_from))
-
-    return _kinds(files, parsers.PARSERS).mapInPandas(run, SCHEMA)
+    return _scan(_kinds(files, parsers.PARSERS), lambda kind, data: parsers.parse(kind, data, index_from), families, fields)
 
 
 def read_ranges(files: DataFrame, sheet: str, where: str) -> DataFrame:
     """Items of a range of each spreadsheet file, read from the file itself: cells, each formula after its cell, 2000 at most."""
-    ship(files.sparkSession)
-
-    def run(batches):
-        for pdf in batches:
-            for doc, kind, data in zip(pdf["doc_id"], pdf["kind"], pdf["content"], strict=True):
-                yield from _frames(doc, parsers.read_range(kind, bytes(data), sheet, where))
-
-    return _kinds(files, parsers.RANGES).mapInPandas(run, SCHEMA)
+    return _scan(_kinds(files, parsers.RANGES), lambda kind, data: parsers.read_range(kind, data, sheet, where), None, None)
 
 
 def fingerprint(index_from: int | None = None) -> str:
@@ -87,21 +105,20 @@ def fingerprint(index_from: int | None = None) -> str:
 
 
 def parse_cached(files: DataFrame, folder: str, index_from: int | None = None) -> DataFrame:
-    """Items as ``parse_documents`` gives them, by way of a table in ``folder``: equal bytes of a kind are parsed once per fingerprint."""
-    spark, path = files.sparkSession, f"{folder.rstrip('/')}/parser={fingerprint(index_from)}"
-    key = F.concat("sha256", F.lit("."), F.substring(extension(F.col("name")), 2, 10))
-    keyed = files.withColumn("key", key)
-    try:
-        have = spark.read.schema(SCHEMA).parquet(path)
-        known = have.select(F.col("doc_id").alias("key")).distinct()
-    except AnalysisException as absent:
-        if absent.getCondition() != "PATH_NOT_FOUND":
-            raise
-        known = None
-    new = keyed if known is None else keyed.join(known, "key", "left_anti")
+    """Items as ``parse_documents`` gives them, by way of a table in ``folder``: equal bytes of a kind are parsed once per fingerprint.
+
+    Of the table only the prefixes of these files' digests are read. Openers that run at once may parse
+    the same bytes; one commit of a key counts (``store.Table``), so its items are there once.
+    """
+    cache = Table(files.sparkSession, f"{folder.rstrip('/')}/parser={fingerprint(index_from)}", SCHEMA, "doc_id")
+    keyed = files.withColumn("key", F.concat("sha256", F.lit("."), F.substring(extension(F.col("name")), 2, 10)))
+    keys = keyed.select(F.col("key").alias("doc_id"))
+    prefixes = cache.prefixes(keys)
+    new = keyed.join(cache.winners(prefixes).select(F.col("doc_id").alias("key")), "key", "left_anti")
     fresh = new.dropDuplicates(["key"]).select(F.col("key").alias("doc_id"), "name", "content")
-    parse_documents(fresh, index_from).write.mode("append").parquet(path)
-    stored = spark.read.schema(SCHEMA).parquet(path).withColumnRenamed("doc_id", "key")
+    if not fresh.isEmpty():
+        cache.write(parse_documents(fresh, index_from), fresh.select("doc_id"))
+    stored = cache.rows(prefixes, keys).withColumnRenamed("doc_id", "key")
     return keyed.select("doc_id", "key").join(stored, "key").select(*FIELDS)
 
 
@@ -213,11 +230,18 @@ class Corpus:
         self.classified = archive.classify(self.files)
         self.index_from = index_from
         documents = self.classified.where("kind = 'document'")
+        self.documents, self.cached = documents, cache is not None
         self.items = parse_documents(documents, index_from) if cache is None else parse_cached(documents, cache, index_from)
         self.texts = text.admission(self.classified.where("kind = 'text'"))
         self.archives = self.classified.where("kind = 'archive'")
         self.entries = list_archives(self.archives)
 
+    def of(self, *families: str, fields: Iterable[str] | None = None) -> DataFrame:
+        """The items of some families. Files that are not cached are scanned for these alone, and of a cache no others are read."""
+        if self.cached:
+            return self.items.where(F.col("family").isin(*families))
+        return parse_documents(self.documents, self.index_from, families, fields)
+
     def views(self) -> None:
         """Registers the tables for SQL as corpus_items, corpus_texts and corpus_entries."""
         self.items.createOrReplaceTempView("corpus_items")
@@ -235,7 +259,7 @@ class Corpus:
 
     def range(self, sheet: str, where: str) -> DataFrame:
         """Cells, then formulas. Files that were only indexed are read again up to the range's last row."""
-        whole = cells.spreadsheet_range(self.items.where("family = 'cells'"), self.items.where("family = 'formulas'"), sheet, where)
+        whole = cells.spreadsheet_range(self.of("cells"), self.of("formulas"), sheet, where)
         if self.index_from is None:
             return whole
         large = self.classified.where(F.col("kind") == "document").where(F.col("bytes") >= self.index_from)
@@ -253,7 +277,7 @@ class Corpus:
 
     def coverage(self) -> DataFrame:
         """One row per document: kind, coverage, warnings, or its error; texts and archives likewise."""
-        d = self.items.where("family in ('document', 'error')")
+        d = self.of("document", "error", fields=("name", "status", "text"))
         failed = F.col("family") == "error"
         return d.select("doc_id", F.when(~failed, F.col("name")).alias("kind"), F.when(~failed, F.col("status")).alias("coverage"), F.when(~failed, F.col("text")).alias("warnings"), F.when(failed, F.col("status")).alias("error"))
 
@@ -277,9 +301,9 @@ class Corpus:
 
     def first_cells(self) -> DataFrame:
         """A1:H10 of each spreadsheet's first sheet, which an outline shows beside the sheets."""
-        first = self.items.where("family = 'sheets'").groupBy("doc_id").agg(F.min_by("name", "ord").alias("first"))
-        own = self.items.join(first, "doc_id").where(F.col("sheet") == F.col("first")).where("row_no <= 10 and col_no <= 8")
-        return items.first_per_doc(own.where("family in ('cells', 'formulas')").drop("first"), LIMITS.query_items)
+        first = self.of("sheets", fields=("name", "ord")).groupBy("doc_id").agg(F.min_by("name", "ord").alias("first"))
+        own = self.of("cells", "formulas").join(first, "doc_id").where(F.col("sheet") == F.col("first")).where("row_no <= 10 and col_no <= 8")
+        return items.first_per_doc(own.drop("first"), LIMITS.query_items)
 
     def read(self, query: str | None = None, limit: int = 20, start: int | None = None, end: int | None = None) -> dict[str, DataFrame]:
         """The default read of everything below the path, by kind of file: a search if there is a query, else lines of texts and outlines of the others."""
