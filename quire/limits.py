@@ -23,6 +23,7 @@ class Limits:
     ratio: int = 100
     ratio_from_bytes: int = MIB
     xml_nodes: int = 2_000_000
+    parse_seconds: float = 30.0
     preview_chars: int = 4000
     search_items: int = 50
     query_items: int = 2000

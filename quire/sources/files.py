@@ -85,13 +85,14 @@ def _kinds(files: DataFrame, known: Iterable[str]) -> DataFrame:
     return files.select("doc_id", kind.alias("kind"), "content").where(F.col("kind").isin(*known))
 
 
-def parse_documents(files: DataFrame, index_from: int | None = None, families: Iterable[str] | None = None, fields: Iterable[str] | None = None) -> DataFrame:
+def parse_documents(files: DataFrame, index_from: int | None = None, families: Iterable[str] | None = None, fields: Iterable[str] | None = None, seconds: float = LIMITS.parse_seconds) -> DataFrame:
     """Item rows of the document files (csv, xlsx, docx, pptx by name); a file that cannot be read is one row of family ``error``.
 
     Spreadsheets from ``index_from`` bytes on give their sheets only; ``read_ranges`` answers for their
-    cells. ``families`` and ``fields`` name the rows and columns wanted, if not all of them are.
+    cells. ``families`` and ``fields`` name the rows and columns wanted, if not all of them are. A file
+    that takes longer than ``seconds`` is such an error row too (its task goes on).
     """
-    return _scan(_kinds(files, parsers.PARSERS), lambda kind, data: parsers.parse(kind, data, index_from), families, fields)
+    return _scan(_kinds(files, parsers.PARSERS), lambda kind, data: parsers.parse(kind, data, index_from, seconds), families, fields)
 
 
 def read_ranges(files: DataFrame, sheet: str, where: str) -> DataFrame:

@@ -10,10 +10,13 @@ import hashlib
 import io
 import posixpath
 import re
+import signal
+import threading
 import unicodedata
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from xml.etree import ElementTree
 
 from ..limits import LIMITS, QueryError
@@ -110,7 +113,7 @@ def csv_index(data: bytes) -> Iterator[Row]:
 def csv_range(data: bytes, sheet: str, where: str) -> Iterator[Row]:
     """The non-empty cells of a range, row by row; nothing after its last row or the item limit is read."""
     if sheet != "CSV":
-        raise QueryError("BAD_REQUEST", f"no sheet {sheet}")
+        raise QueryError("PARSER_OUTPUT_INVALID", f"no sheet {sheet}")
     r1, c1, r2, c2 = parse_range(where)
     left = LIMITS.query_items
     for i, row in enumerate(csv_stream(csv_text(data)[0], csv_delimiter(data)), 1):
@@ -434,7 +437,7 @@ def xlsx_range(data: bytes, sheet: str, where: str) -> Iterator[Row]:
     rels = p.rels("xl/workbook.xml")
     target = next((rels.get(n.get("r:id", ""), ("", "", False))[0] for n in p.part("xl/workbook.xml").iter("sheet") if n.get("name") == sheet), None)
     if target is None:
-        raise QueryError("BAD_REQUEST", f"no sheet {sheet}")
+        raise QueryError("PARSER_OUTPUT_INVALID", f"no sheet {sheet}")
     picked, wanted = [], set()
     for c in p.elements(target, "c"):
         try:
@@ -663,24 +666,48 @@ RANGES = {"csv": csv_range, "xlsx": xlsx_range}
 VERSION = "2"
 
 
-def guarded(kind: str, known: dict, read: Callable[[], Iterator[Row]], size: int) -> list[Row]:
-    """The rows of a file; whatever goes wrong in it is a single row of family ``error``."""
+@contextmanager
+def deadline(seconds: float):
+    """Ends what runs inside after so many seconds, with the error of a parser's time limit.
+
+    A worker parses in its main thread, where the timer's signal is handled between two steps of
+    Python; a single call into a library ends first.
+    """
+    if seconds <= 0 or threading.current_thread() is not threading.main_thread():
+        yield
+        return
+
+    def over(*_):
+        raise QueryError("DOCUMENT_PARSE_TIMEOUT", f"no answer in {seconds:g} s")
+
+    before = signal.signal(signal.SIGALRM, over)
+    signal.setitimer(signal.ITIMER_REAL, seconds, 0.05)  # again, should a parser take the first for a bad number
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def guarded(kind: str, known: dict, read: Callable[[], Iterator[Row]], size: int, seconds: float = LIMITS.parse_seconds) -> list[Row]:
+    """The rows of a file; whatever goes wrong in it, or takes too long, is a single row of family ``error``."""
     try:
         if size > LIMITS.file_bytes:
             raise QueryError("FILE_TOO_LARGE")
         if kind not in known:
             raise QueryError("UNSUPPORTED_FILE_TYPE")
-        return list(read())
+        with deadline(seconds):
+            return list(read())
     except QueryError as bad:
         return [{"family": "error", "status": bad.code, "text": str(bad)}]
     except Exception as bad:  # a damaged file must not end the job that reads a million others
         return [{"family": "error", "status": "DOCUMENT_CORRUPT", "text": f"DOCUMENT_CORRUPT: {type(bad).__name__}"}]
 
 
-def parse(kind: str, data: bytes, index_from: int | None = None) -> list[Row]:
+def parse(kind: str, data: bytes, index_from: int | None = None, seconds: float = LIMITS.parse_seconds) -> list[Row]:
     """All rows of a file, numbered by family. Spreadsheets from ``index_from`` bytes on give their sheets without cells."""
     large = index_from is not None and len(data) >= index_from and kind in INDEXERS
-    rows = guarded(kind, PARSERS, lambda: (INDEXERS if large else PARSERS)[kind](data), len(data))
+    rows = guarded(kind, PARSERS, lambda: (INDEXERS if large else PARSERS)[kind](data), len(data), seconds)
     counts: dict[str, int] = {}
     for r in rows:
         r["ord"] = counts.get(r["family"], 0)

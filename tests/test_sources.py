@@ -178,12 +178,23 @@ def test_large_sheets_on_demand():
     got = parsers.read_range("xlsx", book, "Main", "D3:A2")
     assert [(r["family"], r["cell"], r.get("value")) for r in got] == [("cells", "A3", "Northwest"), ("cells", "B3", "4"), ("formulas", "B3", None), ("cells", "C3", "TRUE"), ("cells", "D3", ""), ("formulas", "D3", None)]
     assert got[2]["id"] == "formula-stream-B3" and got[2]["status"] == "SAVED_CACHE"
-    assert parsers.read_range("xlsx", book, "Nope", "A1")[0]["status"] == "BAD_REQUEST" and parsers.read_range("csv", b"a,b", "Main", "A1")[0]["status"] == "BAD_REQUEST"
+    assert parsers.read_range("xlsx", book, "Nope", "A1")[0]["status"] == "PARSER_OUTPUT_INVALID" and parsers.read_range("csv", b"a,b", "Main", "A1")[0]["status"] == "PARSER_OUTPUT_INVALID"
     rows = "\n".join(f"r{i},{i}" for i in range(3000)).encode()
     got = parsers.read_range("csv", rows + b'\n"never closed', "CSV", "A2:B1500")
     assert len(got) == 2000 and got[0]["value"] == "r1" and got[-1]["cell"] == "B1001"
 
 
+def test_parse_deadline(spark):
+    """A file that takes too long is an error row; the files after it in the task are parsed."""
+    from quire.sources.files import parse_documents
+
+    slow = ",".join(["x"] * 50) + "\n"
+    files = spark.createDataFrame([("slow", "slow.csv", bytearray((slow * 40_000).encode())), ("quick", "quick.csv", bytearray(b"a,b\n"))], "doc_id string, name string, content binary").coalesce(1)
+    got = parse_documents(files, families=("error", "cells"), fields=("status", "cell"), seconds=0.2).select("doc_id", "family", "status", "cell").collect()
+    assert sorted(map(tuple, got), key=repr) == [("quick", "cells", None, "A1"), ("quick", "cells", None, "B1"), ("slow", "error", "DOCUMENT_PARSE_TIMEOUT", None)]
+    assert parsers.parse("csv", b"a,b\n", seconds=5)[0]["family"] != "error"
+
+
 def test_errors():
     code = lambda k, d: parsers.parse(k, d)[0]["status"]
     assert code("xlsx", docx()) == "FILE_TYPE_MISMATCH"
