@@ -63,7 +63,8 @@ def safe_paths(entries: DataFrame, unicode: bool = True) -> DataFrame:
     if unicode:
         ship(entries.sparkSession)
         d = d.withColumn("safe_path", F.when(F.octet_length("safe_path") > F.length("safe_path"), nfc("safe_path")).otherwise(F.col("safe_path")))
-    n = F.count("*").over(Window.partitionBy("archive_id", "safe_path"))
+    # unsafe paths have no twin: they are dealt by what they are instead of being one group
+    n = F.count("*").over(Window.partitionBy("archive_id", "safe_path", F.when(F.col("safe_path").isNull(), F.xxhash64("path"))))
     return d.withColumn("duplicate", F.col("safe_path").isNotNull() & (n > 1))
 
 
@@ -156,13 +157,18 @@ def read_entry(entries: DataFrame, path: str, start: int | None = None, end: int
 
 
 def coverage(entries: DataFrame, shown: int = 30) -> DataFrame:
-    """Per archive: counts of files, text and binary files, coverage, a warning and the first paths."""
+    """Per archive: counts of files, text and binary files, coverage, a warning and the first paths.
+
+    Of an archive's paths only the first ``shown`` are ranked and gathered, and tasks drop the others before the shuffle.
+    """
     files = entries.where(~F.col("directory"))
     text = is_text(F.col("path"))
-    g = files.groupBy("archive_id").agg(
-        F.count("*").alias("files"), F.count_if(text).alias("text_files"), F.count_if(~text).alias("binary_files"), F.sum("bytes").alias("bytes"),
-        F.transform(F.slice(F.sort_array(F.collect_list(F.struct("ord", "path"))), 1, shown), lambda x: x["path"]).alias("paths"),
-    )
+    g = files.groupBy("archive_id").agg(F.count("*").alias("files"), F.count_if(text).alias("text_files"), F.count_if(~text).alias("binary_files"), F.sum("bytes").alias("bytes"))
+    rank = F.row_number().over(Window.partitionBy("archive_id").orderBy("ord", "path"))
+    first = files.select("archive_id", "ord", "path", rank.alias("rank")).where(F.col("rank") <= shown)
+    paths = F.transform(F.sort_array(F.collect_list(F.struct("ord", "path"))), lambda x: x["path"])
+    first = first.groupBy(F.col("archive_id").alias("__of")).agg(paths.alias("paths"))
+    g = g.join(first, F.col("archive_id").eqNullSafe(F.col("__of"))).drop("__of")
     return g.withColumn("coverage", F.when(F.col("binary_files") == 0, "COMPLETE").otherwise("PARTIAL"))
 
 
