@@ -14,8 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scratch import folder
 from ..functions.shipping import ship
 from ..operators import catalog, text
+from ..sources.csv_split import SplitCsv
 from ..sources.files import Corpus
 from ..sources.tables import table
 
@@ -95,6 +97,32 @@ def _csv(spark, sf_dir) -> Corpus:
     return Corpus.over(files_of(d, cat("orders-", F.col("c"), ".csv"), F.when(F.col("c") % 7 == 0, in_gb18030(body)).otherwise(utf8)))
 
 
+def _split_csv(spark, sf_dir) -> SplitCsv:
+    """``documents`` as CSV files of many records, texts with their line ends inside quotes."""
+    quoted = lambda c: cat('"', F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), '"')
+    d = table(spark, sf_dir, "documents")
+    line = F.concat_ws(",", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), quoted(F.col("lang")), quoted(F.col("text")), F.coalesce(F.col("n_chars").cast("string"), F.lit("")))
+    path = folder(spark)
+    d.select(line.alias("value")).write.text(path)
+    return SplitCsv(spark, path, "*.txt", ",")
+
+
+def csv_split_rows(spark, sf_dir):
+    """Those files read by ranges: every record is one row again."""
+    f = lambda i: F.get("fields", F.lit(i))
+    rows = _split_csv(spark, sf_dir).rows()
+    return rows.select(f(0).try_cast("bigint").alias("doc_id"), f(1).alias("lang"), F.md5(f(2)).alias("text_md5"), f(3).try_cast("bigint").alias("n_chars"), F.size("fields").alias("n_fields"))
+
+
+def csv_split_cells(spark, sf_dir):
+    """The cells that are not empty, per column. Column 0: all rows, and the files whose rows are not numbered from 1 on."""
+    csv = _split_csv(spark, sf_dir)
+    rows = csv.rows().groupBy("doc_id").agg(F.count("*").alias("k"), F.count_distinct("row_no").alias("n"), F.max("row_no").alias("last")).join(csv.files(), "doc_id")
+    wrong = (F.col("n") != F.col("last")) | (F.col("k") != F.col("last")) | (F.col("k") != F.col("n_rows"))
+    numbers = rows.agg(F.lit(0).alias("col_no"), F.sum("k").alias("cells"), F.count_if(wrong).alias("chars"))
+    return csv.cells().groupBy("col_no").agg(F.count("*").alias("cells"), F.sum(F.length("value")).alias("chars")).unionByName(numbers)
+
+
 def flat(rows: str) -> Column:
     """A table's rows as one text each."""
     return F.transform(rows, lambda r: F.array_join(r, "|")).alias(rows)
@@ -334,13 +362,18 @@ _ZIP = f"""{_TALK}, z AS (SELECT 'talk-' || c || '.zip' AS archive_id, c, string
 QUERIES = {
     f.__name__: f
     for f in (
-        csv_file_cells, csv_file_tables, csv_file_coverage, csv_file_preview, csv_file_index, xlsx_file_cells, xlsx_file_formulas, xlsx_file_tables, xlsx_file_rest, xlsx_file_range,
+        csv_file_cells, csv_file_tables, csv_file_coverage, csv_file_preview, csv_file_index, csv_split_rows, csv_split_cells, xlsx_file_cells, xlsx_file_formulas, xlsx_file_tables, xlsx_file_rest, xlsx_file_range,
         xlsx_file_stream, docx_file_blocks, docx_file_tables, pptx_file_blocks, pptx_file_outline, zip_file_entries, zip_file_search, zip_file_read, zip_file_bytes, zip_file_document,
         text_admission,
     )
 }
 ORACLES = {
     "csv_file_cells": f"WITH {_CSV_CELLS} SELECT * FROM k",
+    "csv_split_rows": "SELECT doc_id, coalesce(lang, '') AS lang, md5(coalesce(text, '')) AS text_md5, n_chars, 4 AS n_fields FROM documents",
+    "csv_split_cells": """
+WITH f AS (SELECT unnest([1, 2, 3, 4]) AS col_no, unnest([coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(lang, ''), coalesce(text, ''), coalesce(CAST(n_chars AS VARCHAR), '')]) AS v FROM documents)
+SELECT col_no, count(*) AS cells, CAST(sum(length(v)) AS BIGINT) AS chars FROM f WHERE v <> '' GROUP BY col_no
+UNION ALL SELECT 0, count(*), 0 FROM documents""",
     "csv_file_tables": f"""
 WITH {_CSV}, b AS (SELECT *, (row_no - 1) // 500 AS block FROM f)
 SELECT 'orders-' || c || '.csv' AS doc_id, 'csv-rows-' || min(row_no) || '-' || max(row_no) AS id, 'CSV ' || min(row_no) || '-' || max(row_no) AS title,

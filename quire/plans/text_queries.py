@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scratch import folder
 from ..operators import text
+from ..sources.search_index import SearchIndex
 from ..sources.tables import table
 
 BLOCK_IDS = ("lines:2-3", "lines:1-1", "lines:2-3")
@@ -18,6 +23,13 @@ def text_search(spark, sf_dir):
     return text.search(_docs(spark, sf_dir), "with", 20)
 
 
+def text_search_indexed(spark, sf_dir):
+    """Searches by trigram index: a common word, a rare string, two characters (which read all), one that is nowhere."""
+    index = SearchIndex.build(_docs(spark, sf_dir), folder(spark), groups=64)
+    found = [index.search(n, 3).withColumn("needle", F.lit(n)) for n in ("With", "ab", "Password", "zzqqzz")]
+    return reduce(DataFrame.unionByName, found).select("needle", "doc_id", "line_no", "line", "hit")
+
+
 def text_lines(spark, sf_dir):
     return text.lines(_docs(spark, sf_dir))
 
@@ -52,13 +64,18 @@ def text_outline_headings(spark, sf_dir):
 _SPLIT = "regexp_split_to_array(text, '\\r?\\n')"
 _LINES = f"SELECT doc_id, unnest({_SPLIT}) AS line, CAST(generate_subscripts({_SPLIT}, 1) AS INTEGER) AS line_no FROM documents WHERE text IS NOT NULL"
 
-QUERIES = {f.__name__: f for f in (text_search, text_lines, text_range, text_blocks, text_blocks_budget, text_preview, text_outline_windows, text_outline_headings)}
+QUERIES = {f.__name__: f for f in (text_search, text_search_indexed, text_lines, text_range, text_blocks, text_blocks_budget, text_preview, text_outline_windows, text_outline_headings)}
 ORACLES = {
     "text_search": f"""
 WITH l AS ({_LINES}),
 h AS (SELECT doc_id, line_no, line, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS INTEGER) AS hit
       FROM l WHERE contains(lower(line), 'with'))
 SELECT doc_id, line_no, line, hit FROM h WHERE hit <= 20""",
+    "text_search_indexed": f"""
+WITH l AS ({_LINES}), q(needle) AS (VALUES ('With'), ('ab'), ('Password'), ('zzqqzz')),
+h AS (SELECT needle, doc_id, line_no, line, CAST(row_number() OVER (PARTITION BY needle, doc_id ORDER BY line_no) AS INTEGER) AS hit
+      FROM l JOIN q ON contains(lower(line), lower(needle)))
+SELECT needle, doc_id, line_no, line, hit FROM h WHERE hit <= 3""",
     "text_lines": _LINES,
     "text_range": f"""
 WITH d AS (SELECT doc_id, {_SPLIT} AS ls, CAST(len({_SPLIT}) AS INTEGER) AS n FROM documents WHERE text IS NOT NULL)

@@ -21,6 +21,7 @@ from ..functions.strings import extension, leaf
 from ..limits import LIMITS, QueryError
 from ..operators import archive, cells, items, text
 from . import parsers
+from .csv_split import SplitCsv
 from .store import Table
 
 SCHEMA = (
@@ -217,6 +218,7 @@ class Corpus:
     """
 
     def __init__(self, spark: SparkSession, path: str, cache: str | None = None, index_from: int | None = None):
+        self.path_below = path
         self._open(read_files(spark, path), cache, index_from)
 
     @classmethod
@@ -270,6 +272,10 @@ class Corpus:
         formula = F.when(F.col("family") == "formulas", F.col("formula"))
         return whole.unionByName(read.select("doc_id", order.alias("family_ord"), "sheet", "row_no", "col_no", of_cell.alias("value"), formula.alias("formula"), (F.col("ord") + 1).alias("ord"), "cell"))
 
+    def csv(self, pattern: str = "*.csv") -> SplitCsv:
+        """The CSV files below the path (not of a table of files), each read by as many tasks as it has ranges, without a limit of size."""
+        return SplitCsv(self.files.sparkSession, self.path_below, pattern)
+
     def slide(self, number: int, include_notes: bool = True) -> DataFrame:
         return items.slide(self.items, number, include_notes)
 
