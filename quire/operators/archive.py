@@ -100,8 +100,18 @@ def admitted(entries: DataFrame, files: int = LIMITS.entry_search_files, total:
     An entry that does not fit is passed over and later ones may fit, so the choice is a fold over
     the archive's entries in order, not a running sum. An archive has at most 10 000 entries.
     """
-    fits = entries.where(~F.col("directory") & is_text(F.col("path")) & (F.col("bytes") <= each))
-    per = fits.groupBy("archive_id").agg(F.sort_array(F.collect_list(F.struct("ord", "bytes", "path"))).alias("es"))
+    es = F.sort_array(F.collect_list(F.struct("ord", "bytes", "path")))
+    per = _readable(entries, each).groupBy("archive_id").agg(es.alias("es"))
+    got = per.select("archive_id", F.size("es").alias("searchable"), _chosen(files, total).alias("got"))
+    return got.select("archive_id", "searchable", F.size("got").alias("searched"), F.explode("got").alias("ord"))
+
+
+def _readable(entries: DataFrame, each: int) -> DataFrame:
+    return entries.where(~F.col("directory") & is_text(F.col("path")) & (F.col("bytes") <= each))
+
+
+def _chosen(files: int, total: int) -> Column:
+    """The places of those of an archive's entries (``es``, in order) that fit greedily."""
     kind = "struct<left:bigint,got:array<int>>"
 
     def step(acc: Column, e: Column) -> Column:
@@ -110,21 +120,27 @@ def admitted(entries: DataFrame, files: int = LIMITS.entry_search_files, total:
         return F.when(takes, taken).otherwise(acc)
 
     start = F.struct(F.lit(total).cast("bigint").alias("left"), F.array().cast("array<int>").alias("got")).cast(kind)
-    got = per.select("archive_id", F.size("es").alias("searchable"), F.aggregate("es", start, step)["got"].alias("got"))
-    return got.select("archive_id", "searchable", F.size("got").alias("searched"), F.explode("got").alias("ord"))
+    return F.aggregate("es", start, step)["got"]
+
 
+def search(
+    entries: DataFrame, query: str, limit: int | None = None, files: int = LIMITS.entry_search_files, total: int = LIMITS.entry_search_bytes, each: int = LIMITS.entry_text_bytes
+) -> DataFrame:
+    """Matching lines of the admitted entries in entry order, the first ``limit`` per archive.
 
-def search(entries: DataFrame, query: str, limit: int | None = None, **budget: int) -> DataFrame:
-    """Matching lines of the admitted entries in entry order, the first ``limit`` per archive."""
+    The entries are read once: each sends its first ``limit`` matching lines along with its size, and its
+    archive's fold says which of them count.
+    """
     key, n = needle_of(query), clamp(limit)
-    chosen = admitted(entries, **budget)
-    d = entries.join(chosen, ["archive_id", "ord"]).where(F.lower("text").contains(key))
-    d = d.select("archive_id", "ord", "path", "searched", "searchable", F.posexplode(lines_of(F.col("text"))).alias("p", "line")).where(F.lower("line").contains(key))
-    rank = F.row_number().over(Window.partitionBy("archive_id").orderBy("ord", "p"))
+    found = F.filter(F.transform(lines_of(F.col("text")), lambda x, i: F.struct((i + 1).alias("line_no"), x.alias("line"))), lambda x: F.contains(F.lower(x["line"]), F.lit(key)))
+    hits = F.when(F.lower("text").contains(key), F.slice(found, 1, n))
+    es = F.sort_array(F.collect_list(F.struct("ord", "bytes", "path", hits.alias("hits"))))
+    per = _readable(entries, each).where("archive_id is not null").groupBy("archive_id").agg(es.alias("es"))
+    per = per.where(F.exists("es", lambda e: F.size(e["hits"]) > 0)).withColumn("got", _chosen(files, total))
+    lines = F.flatten(F.transform(F.filter("es", lambda e: F.array_contains("got", e["ord"].cast("int")) & (F.size(e["hits"]) > 0)), lambda e: F.transform(e["hits"], lambda h: F.struct(e["path"].alias("path"), h["line_no"].alias("line_no"), h["line"].alias("line")))))
+    d = per.select("archive_id", F.size("got").alias("searched"), F.size("es").alias("searchable"), F.posexplode(F.slice(lines, 1, n)).alias("p", "h"))
     status = F.when(F.col("searched") == F.col("searchable"), "COMPLETE").otherwise("PARTIAL")
-    return d.withColumn("hit", rank).where(F.col("hit") <= n).select(
-        "archive_id", "path", (F.col("p") + 1).alias("line_no"), "line", "hit", "searched", "searchable", status.alias("coverage")
-    )
+    return d.select("archive_id", "h.path", "h.line_no", "h.line", (F.col("p") + 1).alias("hit"), "searched", "searchable", status.alias("coverage"))
 
 
 def read_entry(entries: DataFrame, path: str, start: int | None = None, end: int | None = None, archives: DataFrame | None = None) -> DataFrame:

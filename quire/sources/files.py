@@ -7,9 +7,8 @@ and answers the six document queries, text and archive queries as DataFrames.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,44 +42,55 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-#: Rows that leave a task at a time.
+#: Rows that leave a task at a time; a table's rows count one each, texts and contents one per KiB.
 ROWS = 5000
 
 
 def _batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Rows of any number of files as Arrow batches of the columns asked for."""
     held: list[dict] = []
+    weight = 0
+    heavy = [n for n in ("rows", "text", "content") if n in schema.names]
     for r in rows:
         held.append(r)
-        if len(held) >= ROWS:
+        weight += 1
+        for n in heavy:
+            if (x := r.get(n)) is not None:
+                weight += len(x) if n == "rows" else len(x) >> 10
+        if weight >= ROWS:
             yield pa.RecordBatch.from_pylist(held, schema)
-            held = []
+            held, weight = [], 0
     if held:
         yield pa.RecordBatch.from_pylist(held, schema)
 
 
-def _scan(files: DataFrame, parse, families: Iterable[str] | None, fields: Iterable[str] | None) -> DataFrame:
-    """One crossing to Python over (doc_id, kind, content): ``parse`` gives a file's rows; only the families and fields asked for leave it."""
+def arrow_rows(files: DataFrame, rows_of: Callable[..., Iterable[dict]], out: T.StructType | str) -> DataFrame:
+    """Rows (dicts) that Python gives for each row of ``files``, taken one by one; they leave in bounded batches, any number of files in one."""
     ship(files.sparkSession)
-    wanted = None if families is None else frozenset(families)
-    names = FIELDS if fields is None else [f for f in FIELDS if f in set(fields) | {"doc_id", "family"}]
-    out = T.StructType([f for f in T._parse_datatype_string(SCHEMA).fields if f.name in names])
+    out = T._parse_datatype_string(out) if isinstance(out, str) else out
     schema = to_arrow_schema(out)
 
     def run(batches):
-        def rows():
-            for b in batches:
-                for doc, kind, data in zip(*(b.column(i) for i in range(3)), strict=True):
-                    doc = doc.as_py()
-                    for r in parse(kind.as_py(), data.as_py()):
-                        if wanted is None or r["family"] in wanted:
-                            yield r | {"doc_id": doc}
-
-        yield from _batches(rows(), schema)
+        yield from _batches((r for b in batches for row in zip(*b.columns, strict=True) for r in rows_of(*(x.as_py() for x in row))), schema)
 
     return files.mapInArrow(run, out)
 
 
+def _scan(files: DataFrame, parse, families: Iterable[str] | None, fields: Iterable[str] | None) -> DataFrame:
+    """One crossing to Python over (doc_id, kind, content, ...): ``parse`` gives a file's rows; only the families and fields asked for leave it."""
+    wanted = None if families is None else frozenset(families)
+    names = FIELDS if fields is None else [f for f in FIELDS if f in set(fields) | {"doc_id", "family"}]
+    out = T.StructType([f for f in T._parse_datatype_string(SCHEMA).fields if f.name in names])
+
+    def rows_of(doc, *file):
+        for r in parse(*file):
+            if wanted is None or r["family"] in wanted:
+                r["doc_id"] = doc
+                yield r
+
+    return arrow_rows(files, rows_of, out)
+
+
 def _kinds(files: DataFrame, known: Iterable[str]) -> DataFrame:
     kind = F.substring(extension(F.col("name")), 2, 10)
     return files.select("doc_id", kind.alias("kind"), "content").where(F.col("kind").isin(*known))
@@ -134,7 +144,6 @@ def list_archives(files: DataFrame) -> DataFrame:
     undecodable one has no text and says so in ``error``. An archive that cannot be read is one row
     without a path.
     """
-    ship(files.sparkSession)
     names = [f.split()[0] for f in ENTRY_SCHEMA.split(", ")]
 
     def entries(doc, data):
@@ -157,57 +166,58 @@ def list_archives(files: DataFrame) -> DataFrame:
                     error = bad.code
             yield [doc, i, *r.values(), text, error]
 
-    def run(batches):
-        for pdf in batches:
-            for doc, data in zip(pdf["doc_id"], pdf["content"], strict=True):
-                held, size = [], 0
-                for row in entries(doc, bytes(data)):
-                    held.append(row)
-                    size += len(row[7] or "")
-                    if len(held) >= 1000 or size >= LIMITS.entry_text_bytes:
-                        yield pd.DataFrame(held, columns=names)
-                        held, size = [], 0
-                if held:
-                    yield pd.DataFrame(held, columns=names)
-
-    return files.select("doc_id", "content").mapInPandas(run, ENTRY_SCHEMA)
+    return arrow_rows(files.select("doc_id", "content"), lambda doc, data: (dict(zip(names, row, strict=True)) for row in entries(doc, data)), ENTRY_SCHEMA)
 
 
-def entry_bytes(files: DataFrame, path: str) -> DataFrame:
-    """The entry of one path in each zip file: doc_id (the archive), path, content, or the error why there is none."""
+def _entry_path(path: str) -> str:
     wanted = parsers.archive_path(path)
     if wanted.endswith("/"):
         raise QueryError("ARCHIVE_ENTRY_UNSUPPORTED")
-    ship(files.sparkSession)
+    return wanted
 
-    def one(data):
-        try:
-            pack = parsers.Archive(data)
-            return pack.read(pack.find(wanted)), None
-        except QueryError as bad:
-            return None, bad.code
-        except Exception:  # as in ``parsers.guarded``
-            return None, "ARCHIVE_CORRUPT"
 
-    def run(batches):
-        for pdf in batches:
-            for doc, data in zip(pdf["doc_id"], pdf["content"], strict=True):
-                yield pd.DataFrame([[doc, wanted, *one(bytes(data))]], columns=["doc_id", "path", "content", "error"])
-
-    return files.select("doc_id", "content").mapInPandas(run, "doc_id string, path string, content binary, error string")
-
-
-def entry_documents(files: DataFrame, path: str) -> DataFrame:
-    """Items of the document at one path in each zip file, or a row of family ``error``. ``locator`` puts each item's place under the path."""
-    raw = entry_bytes(files, path).withColumn("name", F.lit(path.replace("\\", "/").rpartition("/")[2]))
-    kind = archive.classify(raw.withColumnRenamed("error", "why"))
-    refused = F.when(F.col("why").isNotNull(), F.col("why")).when(F.coalesce(F.col("kind") != "document", F.lit(True)), F.coalesce("error", F.lit("ARCHIVE_ENTRY_UNSUPPORTED")))
-    kind = kind.select("doc_id", "name", "content", refused.alias("refused"))
-    items_of = parse_documents(kind.where("refused is null"))
-    errors = kind.where("refused is not null").select("doc_id", F.lit("error").alias("family"), F.lit(0).alias("ord"), F.col("refused").alias("status"))
-    out = items_of.unionByName(errors, allowMissingColumns=True)
+def _entry(data: bytes, wanted: str) -> tuple[bytes | None, str | None]:
+    """An archive's entry, or the error why there is none."""
+    try:
+        pack = parsers.Archive(data)
+        return pack.read(pack.find(wanted)), None
+    except QueryError as bad:
+        return None, bad.code
+    except Exception:  # as in ``parsers.guarded``
+        return None, "ARCHIVE_CORRUPT"
+
+
+def entry_bytes(files: DataFrame, path: str) -> DataFrame:
+    """The entry of one path in each zip file: doc_id (the archive), path, content, or the error why there is none."""
+    wanted = _entry_path(path)
+
+    def one(doc, data):
+        content, error = _entry(data, wanted)
+        return [{"doc_id": doc, "path": wanted, "content": content, "error": error}]
+
+    return arrow_rows(files.select("doc_id", "content"), one, "doc_id string, path string, content binary, error string")
+
+
+def entry_documents(files: DataFrame, path: str, families: Iterable[str] | None = None, fields: Iterable[str] | None = None) -> DataFrame:
+    """Items of the document at one path in each zip file, or a row of family ``error``. ``locator`` puts each item's place under the path.
+
+    An archive is opened once, and its entry parsed where it is unpacked. ``families`` and ``fields`` as in ``parse_documents``.
+    """
+    wanted = _entry_path(path)
+    named = archive.classify(files.select("doc_id", "content", F.lit(path.replace("\\", "/").rpartition("/")[2]).alias("name")))
+    refused = F.when(F.coalesce(F.col("kind") != "document", F.lit(True)), F.coalesce("error", F.lit("ARCHIVE_ENTRY_UNSUPPORTED")))
+    named = named.select("doc_id", F.substring(extension(F.col("name")), 2, 10).alias("kind"), "content", refused.alias("refused"))
+
+    def parse(kind, data, refused):
+        content, error = _entry(data, wanted)
+        if error or refused:
+            return [{"family": "error", "ord": 0, "status": error or refused}]
+        return parsers.parse(kind, content)
+
+    placed = None if fields is None else {*fields, "path", "slide", "sheet", "cell"}
+    out = _scan(named, parse, families, placed)
     place = F.struct(F.when(F.col("sheet").isNotNull(), "spreadsheet").otherwise("office").alias("kind"), F.col("path").alias("path"), F.col("slide").alias("slide"), F.col("sheet").alias("sheet"), F.col("cell").alias("cell"))
-    return archive.folderize(out.withColumn("locator", place), parsers.archive_path(path))
+    return archive.folderize(out.withColumn("locator", place), wanted)
 
 
 class Corpus:
@@ -334,6 +344,6 @@ class Corpus:
     def entry_bytes(self, path: str) -> DataFrame:
         return entry_bytes(self.archives, path)
 
-    def entry_items(self, path: str) -> DataFrame:
-        """All items of the document at a path inside each archive, for the functions of ``operators.items`` and ``operators.cells``."""
-        return entry_documents(self.archives, path)
+    def entry_items(self, path: str, *families: str, fields: Iterable[str] | None = None) -> DataFrame:
+        """All items, or those of some families, of the document at a path inside each archive, for the functions of ``operators.items`` and ``operators.cells``."""
+        return entry_documents(self.archives, path, families or None, fields)
