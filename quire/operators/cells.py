@@ -7,6 +7,7 @@ formula and saved_value.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ..limits import LIMITS, QueryError
 _A1 = re.compile(r"([A-Z]{1,3})([1-9][0-9]*)")
 
 
+@lru_cache(1 << 14)
 def parse_a1(address: str) -> tuple[int, int]:
     """(row, column) of an A1 address, in any case."""
     m = _A1.fullmatch(address.upper())
@@ -77,10 +79,19 @@ def within(df: DataFrame, sheet: str, where: str) -> DataFrame:
 
 def spreadsheet_range(cells: DataFrame, formulas: DataFrame | None, sheet: str, where: str, limit: int = LIMITS.query_items) -> DataFrame:
     """Cells of the range, then formulas of it, the first 2000 in total per document."""
-    picked = within(cells, sheet, where).select("doc_id", F.lit(5).alias("family_ord"), "sheet", "row_no", "col_no", "value", F.lit(None).cast("string").alias("formula"))
+    names = ("doc_id", "sheet", "row_no", "col_no")
+    items = cells.select(F.lit("cells").alias("family"), *names, "value", F.lit(None).cast("string").alias("formula"))
     if formulas is not None:
-        f = within(formulas, sheet, where)
-        picked = picked.unionByName(f.select("doc_id", F.lit(6).alias("family_ord"), "sheet", "row_no", "col_no", F.lit(None).cast("string").alias("value"), "formula"))
+        items = items.unionByName(formulas.select(F.lit("formulas").alias("family"), *names, F.lit(None).cast("string").alias("value"), "formula"))
+    return items_range(items, sheet, where, limit)
+
+
+def items_range(items: DataFrame, sheet: str, where: str, limit: int = LIMITS.query_items) -> DataFrame:
+    """The same of one table of items, families cells and formulas, which is read once."""
+    is_cell = F.col("family") == "cells"
+    picked = within(items, sheet, where).select(
+        "doc_id", F.when(is_cell, 5).otherwise(6).alias("family_ord"), "sheet", "row_no", "col_no", F.when(is_cell, F.col("value")).alias("value"), F.when(~is_cell, F.col("formula")).alias("formula")
+    )
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("family_ord", "row_no", "col_no"))
     return picked.withColumn("ord", rank).where(F.col("ord") <= limit).withColumn("cell", a1(F.col("row_no"), F.col("col_no")))
 

@@ -64,16 +64,17 @@ def _batches(rows: Iterable[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_pylist(held, schema)
 
 
-def arrow_rows(files: DataFrame, rows_of: Callable[..., Iterable[dict]], out: T.StructType | str) -> DataFrame:
-    """Rows (dicts) that Python gives for each row of ``files``, taken one by one; they leave in bounded batches, any number of files in one."""
-    ship(files.sparkSession)
+def arrow_stream(d: DataFrame, rows_of: Callable[[Iterator[pa.RecordBatch]], Iterable[dict]], out: T.StructType | str) -> DataFrame:
+    """Rows (dicts) that Python gives for a partition's batches; they leave in bounded batches."""
+    ship(d.sparkSession)
     out = T._parse_datatype_string(out) if isinstance(out, str) else out
     schema = to_arrow_schema(out)
+    return d.mapInArrow(lambda batches: _batches(rows_of(batches), schema), out)
 
-    def run(batches):
-        yield from _batches((r for b in batches for row in zip(*b.columns, strict=True) for r in rows_of(*(x.as_py() for x in row))), schema)
 
-    return files.mapInArrow(run, out)
+def arrow_rows(files: DataFrame, rows_of: Callable[..., Iterable[dict]], out: T.StructType | str) -> DataFrame:
+    """The same where each row of ``files`` has rows of its own, taken one by one."""
+    return arrow_stream(files, lambda batches: (r for b in batches for row in zip(*b.columns, strict=True) for r in rows_of(*(x.as_py() for x in row))), out)
 
 
 def _scan(files: DataFrame, parse, families: Iterable[str] | None, fields: Iterable[str] | None) -> DataFrame:
@@ -103,12 +104,13 @@ def parse_documents(files: DataFrame, index_from: int | None = None, families: I
     cells. ``families`` and ``fields`` name the rows and columns wanted, if not all of them are. A file
     that takes longer than ``seconds`` is such an error row too (its task goes on).
     """
-    return _scan(_kinds(files, parsers.PARSERS), lambda kind, data: parsers.parse(kind, data, index_from, seconds), families, fields)
+    wanted = None if families is None else frozenset(families)
+    return _scan(_kinds(files, parsers.PARSERS), lambda kind, data: parsers.parse(kind, data, index_from, seconds, wanted), wanted, fields)
 
 
-def read_ranges(files: DataFrame, sheet: str, where: str) -> DataFrame:
+def read_ranges(files: DataFrame, sheet: str, where: str, fields: Iterable[str] | None = None) -> DataFrame:
     """Items of a range of each spreadsheet file, read from the file itself: cells, each formula after its cell, 2000 at most."""
-    return _scan(_kinds(files, parsers.RANGES), lambda kind, data: parsers.read_range(kind, data, sheet, where), None, None)
+    return _scan(_kinds(files, parsers.RANGES), lambda kind, data: parsers.read_range(kind, data, sheet, where), None, fields)
 
 
 def fingerprint(index_from: int | None = None) -> str:
@@ -272,7 +274,8 @@ class Corpus:
 
     def range(self, sheet: str, where: str) -> DataFrame:
         """Cells, then formulas. Files that were only indexed are read again up to the range's last row."""
-        whole = cells.spreadsheet_range(self.of("cells"), self.of("formulas"), sheet, where)
+        found = self.of("cells", "formulas", fields=("sheet", "row_no", "col_no", "value", "formula"))
+        whole = cells.items_range(found, sheet, where)
         if self.index_from is None:
             return whole
         large = self.classified.where(F.col("kind") == "document").where(F.col("bytes") >= self.index_from)
@@ -306,10 +309,11 @@ class Corpus:
     def preview(self) -> DataFrame:
         """Preview text of each document."""
         location = F.coalesce(F.concat_ws("!", "sheet", "cell"), "path")
-        heads = items.outline(self.items).where("family = 'outline'").withColumn("location", F.nullif(location, F.lit("")))
+        counted = self.of("document", "outline", "sheets", "blocks", "tables", "formulas", fields=("ord", "title", "level", "text", "sheet", "cell", "name", "status", "path"))
+        heads = items.outline(counted).where("family = 'outline'").withColumn("location", F.nullif(location, F.lit("")))
         count = lambda f: F.count_if(F.col("family") == f)
         is_doc = F.col("family") == "document"
-        counts = self.items.groupBy("doc_id").agg(
+        counts = counted.groupBy("doc_id").agg(
             F.max(F.when(is_doc, F.col("name"))).alias("kind"), F.max(F.when(is_doc, F.col("status"))).alias("coverage"),
             count("blocks").alias("n_blocks"), count("tables").alias("n_tables"), count("formulas").alias("n_formulas"),
             F.split(F.max(F.when(is_doc & (F.col("status") == "PARTIAL"), F.col("text"))), "\n").alias("warnings"),
