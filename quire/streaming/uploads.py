@@ -14,6 +14,7 @@ Both run the same machine, and over a table that is no stream they answer its ev
 from __future__ import annotations
 
 import json
+from collections import namedtuple
 from collections.abc import Iterator
 
 import pandas as pd
@@ -24,6 +25,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.shipping import ship
 from ..limits import LIMITS
 from ..operators.uploads import strict_base64
+from ..sources.files import arrow_stream
 
 OUT = "session_id string, upload_id string, event string, seq long, status string, received long, chunks int"
 #: What an accepted event leaves besides: the seq of its upload's begin, a chunk's place and bytes, the upload's name.
@@ -43,6 +45,11 @@ class Machine:
     def load(self, text: str) -> None:
         self.open = {(a, b): state for a, b, state in json.loads(text)}
 
+    def drain(self) -> list[tuple]:
+        """The answers since the last call."""
+        out, self.answers = self.answers, []
+        return out
+
     def dump(self) -> str:
         return json.dumps([[*k, state] for k, state in self.open.items()])
 
@@ -96,17 +103,25 @@ def _run(events: DataFrame, keys: list[str], idle_seconds: int, chunk_bytes: int
     def machine() -> Machine:
         return Machine(chunk_bytes, file_bytes, idle_seconds * 1000, most)
 
+    def taken(m: Machine, r, now: int) -> list[tuple]:
+        """The answers that an event brings, the last one with what it leaves."""
+        began = m.open.get((r.session_id, r.upload_id), [None] * 5)[4]
+        m.event(r, now)
+        rows = m.drain()
+        if not keep or not rows:
+            return rows
+        left, status = (None,) * 4, rows[-1][4]
+        if status in ("OPEN", "OK", "COMMITTED"):
+            left = (r.seq if status == "OPEN" else began, r.idx if status == "OK" else -1, r.name if status == "OPEN" else None, r.content if status == "OK" else None)
+        return [(*a, *(None,) * 4) for a in rows[:-1]] + [(*rows[-1], *left)]
+
+    names = [f.split()[0] for f in schema.split(", ")]
+
     def answered(m: Machine, events: pd.DataFrame, now: int) -> pd.DataFrame:
-        parts: dict[int, tuple] = {}
+        rows = [(*a, *(None,) * 4) if keep else a for a in m.drain()]
         for r in events.sort_values("seq").itertuples():
-            began = m.open.get((r.session_id, r.upload_id), [None] * 5)[4]
-            m.event(r, now)
-            status = m.answers[-1][4] if m.answers else ""
-            if keep and status in ("OPEN", "OK", "COMMITTED"):
-                attempt = r.seq if status == "OPEN" else began
-                parts[len(m.answers) - 1] = (attempt, r.idx if status == "OK" else -1, r.name if status == "OPEN" else None, r.content if status == "OK" else None)
-        rows = [(*a, *parts.get(i, (None,) * 4)) for i, a in enumerate(m.answers)] if keep else m.answers
-        return pd.DataFrame(rows, columns=[f.split()[0] for f in schema.split(", ")]).astype({"attempt": "Int64", "idx": "Int32"} if keep else {})
+            rows += taken(m, r, now)
+        return pd.DataFrame(rows, columns=names).astype({"attempt": "Int64", "idx": "Int32"} if keep else {})
 
     def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         m, now = machine(), state.getCurrentProcessingTimeMs()
@@ -121,8 +136,22 @@ def _run(events: DataFrame, keys: list[str], idle_seconds: int, chunk_bytes: int
             state.remove()
         yield out
 
-    if not events.isStreaming:  # all events there are, at one time
-        return events.groupBy(*keys).applyInPandas(lambda rows: answered(machine(), rows, 0), schema)
+    if not events.isStreaming:  # all events there are, at one time: a key's rows lie together, in order, and pass one by one
+        used = ["session_id", "upload_id", "event", "seq", "idx", "bytes", "declared", *(("name", "content") if keep else ())]
+        together = events.select(*keys, *(n for n in used if n not in keys)).repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_last("seq"))
+        fields, n_keys = together.columns, len(keys)
+
+        def rows_of(batches: Iterator) -> Iterator[dict]:
+            event, key, m = namedtuple("event", fields), None, None
+            for b in batches:
+                for row in zip(*b.columns, strict=True):
+                    r = event(*(x.as_py() for x in row))
+                    if m is None or r[:n_keys] != key:
+                        key, m = r[:n_keys], machine()
+                    for a in taken(m, r._replace(bytes=-1) if r.bytes is None else r, 0):
+                        yield dict(zip(names, a, strict=True))
+
+        return arrow_stream(together, rows_of, schema)
     return events.groupBy(*keys).applyInPandasWithState(step, schema, "uploads string", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
