@@ -44,8 +44,8 @@ def uploads_committed(spark, sf_dir):
     sink = UploadSink(spark, root, stream="query")
     sink(accepted_uploads(events), 0)
     state = sink.log.state()
-    found = sink.objects.read(state).select("sha256", F.col("error").alias("broken"), F.decode("content", "UTF-8").alias("text"))
-    return state.join(found, "sha256").select("session_id", "ord", "version", "name", "kind", "bytes", "sha256", "committed", "pending", "broken", F.length("text").alias("chars"))
+    found = sink.objects.read(state, chars=F.length(F.decode("content", "UTF-8"))).select("sha256", F.col("error").alias("broken"), "chars")
+    return state.join(found, "sha256").select("session_id", "ord", "version", "name", "kind", "bytes", "sha256", "committed", "pending", "broken", "chars")
 
 
 def objects_published(spark, sf_dir):

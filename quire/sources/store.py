@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,21 +90,25 @@ class Table:
         """Ids of the commits whose manifests are there."""
         return [n.removeprefix("commit=") for n in self.files.names("keys") if n.startswith("commit=")]
 
-    def write(self, rows: DataFrame, keys: DataFrame | None = None, commit: str | None = None) -> bool:
-        """Adds rows as one commit; False if a commit of that id is there already. ``keys`` lists keys, for those that have no rows."""
+    def write(self, rows: DataFrame, keys: DataFrame | None = None, commit: str | None = None, gather: bool = True) -> bool:
+        """Adds rows as one commit; False if a commit of that id is there already. ``keys`` lists keys, for those that have no rows.
+
+        ``gather`` deals the rows by prefix, for few files; without it they are written where they lie, and not moved again.
+        """
         commit = commit or commit_id()
         if commit in self.commits():
             return False
         stage = f"_staging/{uuid.uuid4().hex}"
         named = rows.select(*self.schema.names).withColumn("prefix", prefix_of(F.col(self.key), self.digits))
-        # few files for each prefix; adaptive execution splits a prefix that is large
-        named.hint("rebalance", "prefix").write.partitionBy("prefix").parquet(f"{self.root}/{stage}/rows")
+        if gather:  # few files for each prefix; adaptive execution splits a prefix that is large
+            named = named.hint("rebalance", "prefix")
+        named.write.partitionBy("prefix").parquet(f"{self.root}/{stage}/rows")
         mine = self.files.rename(f"{stage}/rows", f"rows/commit={commit}")
         if keys is None or not mine:  # if another writer was first and died before it listed its rows, they are listed for it
             path = f"{self.root}/rows/commit={commit}"
             keys = self.spark.read.schema(self._with("prefix")).option("basePath", path).parquet(path)
-        listed = keys.select(self.key, prefix_of(F.col(self.key), self.digits).alias("prefix")).distinct()
-        listed.hint("rebalance", "prefix").write.partitionBy("prefix").parquet(f"{self.root}/{stage}/keys")
+        listed = keys.select(self.key, prefix_of(F.col(self.key), self.digits).alias("prefix"))
+        listed.repartition("prefix").distinct().write.partitionBy("prefix").parquet(f"{self.root}/{stage}/keys")
         won = self.files.rename(f"{stage}/keys", f"keys/commit={commit}") and mine
         self.files.drop(stage)
         return won
@@ -127,13 +132,21 @@ class Table:
         schema = T.StructType([self.schema[self.key], T.StructField("commit", T.StringType()), T.StructField("prefix", T.StringType())])
         return self._read("keys", schema, prefixes)
 
-    def rows(self, prefixes: list[str] | None = None, wanted: DataFrame | None = None, every: bool = False) -> DataFrame:
-        """The rows of every key, or of the ``wanted`` keys, in some or all prefixes; ``every``: those of all commits, for keys that grow."""
+    def rows(
+        self, prefixes: list[str] | None = None, wanted: DataFrame | None = None, every: bool = False, seen: Callable[[DataFrame], DataFrame] | None = None
+    ) -> DataFrame:
+        """The rows of every key, or of the ``wanted`` keys, in some or all prefixes; ``every``: those of all commits, for keys that grow.
+
+        ``seen`` gives what is wanted of the rows and keeps key, commit and prefix; it is applied where they are read, so that
+        what it drops is not moved.
+        """
         found = self._read("rows", self._with("commit", "prefix"), prefixes)
+        found = found if seen is None else seen(found)
         chosen = self.listed(prefixes) if every else self.winners(prefixes)
         if wanted is not None:
             chosen = chosen.join(wanted.select(self.key).distinct(), self.key, "left_semi")
-        return found.join(chosen, [self.key, "commit", "prefix"], "left_semi").select(*self.schema.names)
+        # each commit lists a key once; a semi join would be pushed below what ``seen`` makes
+        return found.join(chosen, [self.key, "commit", "prefix"]).select(*[n for n in found.columns if n not in ("commit", "prefix")])
 
     def prefixes(self, keys: DataFrame) -> list[str]:
         """The prefixes of some keys: at most 16, or 256 of two digits."""
@@ -199,30 +212,38 @@ class Objects:
         Only the prefixes of what comes in are read, of the manifest. Stored bytes of a digest that
         comes again are read once more and checked: broken ones are an error, as their name would
         answer for other bytes. An incoming object whose bytes are not its digest's is an error too.
+        What comes in is read twice, for its digests and for its bytes, and bytes are moved once.
         """
         t = self.table
-        one = cut(checked(incoming.select("sha256", "content")).withColumn("bytes", F.octet_length("content").cast("long")))
-        good = one.where("error is null").dropDuplicates(["sha256"])
-        keys = good.select("sha256")
+        incoming = checked(incoming.select("sha256", "content"))
+        one = cut(incoming.select("sha256", "error"))
+        keys = one.where("error is null").select("sha256").distinct()
         prefixes = t.prefixes(keys)
         again = cut(t.winners(prefixes).join(keys, "sha256", "left_semi").select("sha256"))
-        broken = cut(checked(may_be_in(t.rows(prefixes, again), digest_filter(keys))).where("error is not null").select("sha256", "error"))
-        new = good.join(again, "sha256", "left_anti")
+        bits = digest_filter(keys)
+        stored = t.rows(prefixes, again, seen=lambda d: checked(may_be_in(d, bits)).select("sha256", "error", "commit", "prefix"))
+        broken = cut(stored.where("error is not null").select("sha256", "error"))
         answers = keys.join(broken, "sha256", "left").unionByName(one.where("error is not null").select("sha256", "error").distinct())
         met = again.withColumn("met", F.lit(True))
         answers = answers.join(met, "sha256", "left").select("sha256", (F.col("met").isNull() & F.col("error").isNull()).alias("stored"), "error")
-        t.write(new.select(*t.schema.names), new.select("sha256"), commit)
+        # dealt by digest once: what is stored already goes, then copies go, then the rest is written from there
+        new = incoming.where("error is null").repartition("sha256").join(again, "sha256", "left_anti").dropDuplicates(["sha256"])
+        t.write(new.withColumn("bytes", F.octet_length("content").cast("long")), commit=commit, gather=False)
         return answers  # its plan reads the commits that were there before
 
-    def read(self, refs: DataFrame) -> DataFrame:
-        """(sha256, bytes, content, error) of each reference: one that is no digest, is not there or is broken has an error and no content."""
-        t = self.table
+    def read(self, refs: DataFrame, **of: Column) -> DataFrame:
+        """(sha256, bytes, content, error) of each reference: one that is no digest, is not there or is broken has an error and no content.
+
+        ``of`` names columns made of the content to have in its place, which then is not moved.
+        """
+        t, of = self.table, of or {"content": F.col("content")}
         shaped = refs.select("sha256").distinct().withColumn("shaped", F.col("sha256").rlike(SHAPE))
         good = shaped.where("shaped")
-        found = checked(t.rows(t.prefixes(good), good)).withColumn("found", F.lit(True))
-        out = shaped.join(found, "sha256", "left")
+        whole = [F.when(F.col("error").isNull(), c).alias(n) for n, c in of.items()]
+        found = t.rows(t.prefixes(good), good, seen=lambda d: checked(d).select("sha256", "error", "bytes", *whole, "commit", "prefix"))
+        out = shaped.join(found.withColumn("found", F.lit(True)), "sha256", "left")
         error = F.when(~F.coalesce("shaped", F.lit(False)), "ATTACHMENT_INDEX_FAILED").when(F.col("found").isNull(), "ATTACHMENT_STORAGE_FAILED").otherwise(F.col("error"))
-        return out.select("sha256", error.alias("error"), "bytes", F.when(error.isNull(), F.col("content")).alias("content"))
+        return out.select("sha256", error.alias("error"), "bytes", *of)
 
 
 def archive_reference(sha256: Column) -> Column:

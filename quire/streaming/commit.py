@@ -2,8 +2,10 @@
 
 For each micro-batch of ``accepted_uploads``:
 
-1. accepted chunks, and begins for their names, are added to the parts table, by upload;
-2. the parts of the uploads that the batch commits are read back, those prefixes only, and joined in order;
+1. the batch is gathered by upload and written once; of uploads that do not begin and end in it, accepted chunks, and begins
+   for their names, are added to the parts table, whose manifest names the others too;
+2. what begins and ends in the batch is joined in order as it was gathered; the parts of the other uploads that it
+   commits are read back, those prefixes only;
 3. each file is admitted: by name, by content (text that is no UTF-8, a package that is none), and by
    what its session holds already (number and bytes, in order of commit);
 4. the objects of admitted files are published by digest, and one event a file goes to the session log.
@@ -15,7 +17,7 @@ stopped. Attachment ids come from the upload's, so they are the same on every ru
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scratch import cut
@@ -33,21 +35,39 @@ def upload_key(df: DataFrame) -> DataFrame:
     return df.withColumn("upload_key", F.sha2(F.to_json(F.struct("session_id", "upload_id", "attempt")), 256))
 
 
-def assembled(parts: DataFrame) -> DataFrame:
-    """One file per upload: its name and its chunks in order. An upload has at most a file's limit of bytes, so a group is bounded."""
-    chunks = F.transform(F.sort_array(F.collect_list(F.when(F.col("idx") >= 0, F.struct("idx", "content")))), lambda x: F.hex(x["content"]))
-    per = parts.groupBy("upload_key", "session_id", "upload_id", "attempt").agg(F.max("name").alias("name"), F.unhex(F.array_join(chunks, "")).alias("content"))
-    return per.withColumn("bytes", F.octet_length("content").cast("long")).withColumn("sha256", catalog.content_id(F.col("content")))
+def joined(chunks: Column) -> Column:
+    """The bytes of chunks in order."""
+    return F.when(F.size(chunks) == 1, chunks[0]["content"]).otherwise(F.unhex(F.array_join(F.transform(chunks, lambda x: F.hex(x["content"])), "")))
+
+
+def gathered(batch: DataFrame) -> DataFrame:
+    """One row per upload of a batch: its name, whether it is ``begun`` and ``at`` what seq it is committed there.
+
+    One that begins and ends in the batch has its whole ``content``, another one its ``parts``: a begin's name, then the chunks.
+    An upload has at most a file's limit of bytes, so a group is bounded.
+    """
+    is_ = lambda status: F.col("status") == status
+    per = batch.groupBy("session_id", "upload_id", "attempt").agg(
+        F.max(F.when(is_("OPEN"), F.col("name"))).alias("name"), F.bool_or(is_("OPEN")).alias("begun"), F.max(F.when(is_("COMMITTED"), F.col("seq"))).alias("at"),
+        F.sort_array(F.collect_list(F.when(is_("OK"), F.struct("idx", "content")))).alias("chunks"),
+    )
+    whole, kind = F.col("begun") & F.col("at").isNotNull(), "array<struct<idx:int,name:string,content:binary>>"
+    begin = F.when(F.col("begun"), F.array(F.struct(F.lit(-1), "name", F.lit(None).cast("binary"))).cast(kind)).otherwise(F.array().cast(kind))
+    chunks = F.transform("chunks", lambda x: F.struct(x["idx"], F.lit(None).cast("string"), x["content"])).cast(kind)
+    content = F.when(whole, joined(F.col("chunks"))).alias("content")
+    return upload_key(per).select("upload_key", "session_id", "upload_id", "attempt", "name", "begun", "at", content, F.when(~whole, F.concat(begin, chunks)).alias("parts"))
 
 
 def looked_at(files: DataFrame) -> DataFrame:
-    """Files with display ``name``, ``kind`` and ``error``: what their names and contents say against them."""
-    d = archive.classify(files.withColumn("name", archive.display_name(F.col("name"))))
-    reason = text.admission(d.select("upload_key", "kind", "content").where("kind = 'text'")).select("upload_key", "reason")
+    """Files with an id, ``bytes``, ``sha256``, display ``name``, ``kind`` and ``error``: what their names and contents say against them."""
+    d = files.withColumn("bytes", F.octet_length("content").cast("long")).withColumn("sha256", catalog.content_id(F.col("content")))
+    d = archive.classify(d.withColumn("name", archive.display_name(F.col("name"))))
+    d = text.admission(d).drop("text")
     packed = F.expr("startswith(content, X'504B')")
     wrong = (F.col("kind") == "archive") & ~packed | F.col("name").rlike(r"(?i)\.(?:docx|xlsx|pptx)$") & ~packed
-    error = F.coalesce("error", F.when(F.col("bytes") == 0, "BAD_REQUEST"), F.col("reason"), F.when(wrong, F.when(F.col("kind") == "archive", "ARCHIVE_CORRUPT").otherwise("FILE_TYPE_MISMATCH")))
-    return d.join(reason, "upload_key", "left").withColumn("error", error).drop("reason")
+    reason = F.when(F.col("kind") == "text", F.col("reason"))
+    error = F.coalesce("error", F.when(F.col("bytes") == 0, "BAD_REQUEST"), reason, F.when(wrong, F.when(F.col("kind") == "archive", "ARCHIVE_CORRUPT").otherwise("FILE_TYPE_MISMATCH")))
+    return d.withColumns({"error": error, "attachment_id": F.concat(F.lit("attachment:"), F.substring("upload_key", 1, 32))}).drop("reason")
 
 
 class UploadSink:
@@ -63,24 +83,30 @@ class UploadSink:
     def __call__(self, batch: DataFrame, number: int) -> None:
         stream = self.stream or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         token = f"{number:012d}-{stream}"
-        batch = upload_key(batch.where("attempt is not null")).persist()
-        try:
-            kept = batch.where("status in ('OPEN', 'OK')")
-            if not kept.isEmpty():
-                self.parts.write(kept, commit=token)
-            done = cut(batch.where("status = 'COMMITTED'").select("upload_key", "session_id", F.col("seq").alias("at")))
-        finally:
-            batch.unpersist()
+        uploads = cut(looked_at(gathered(batch.where("attempt is not null"))))
+        kept = uploads.where("begun or size(parts) > 0").select("upload_key")
+        if not kept.isEmpty():
+            self.parts.write(uploads.select("upload_key", "session_id", "upload_id", "attempt", F.inline("parts")), kept, token)
+        done = uploads.where("at is not null")
         if not done.isEmpty():
             self.commit(done, token)
 
+    def assembled(self, done: DataFrame) -> DataFrame:
+        """The files of uploads that are committed, of those begun in other batches by their parts."""
+        files, late = done.where("begun").drop("begun", "parts"), done.where("not begun").select("upload_key", "session_id", "upload_id", "attempt", "at")
+        if late.isEmpty():
+            return files
+        rows = self.parts.rows(self.parts.prefixes(late), late, every=True)
+        chunks = F.sort_array(F.collect_list(F.when(F.col("idx") >= 0, F.struct("idx", "content"))))
+        per = rows.groupBy("upload_key").agg(F.max("name").alias("name"), chunks.alias("chunks")).join(late, "upload_key")
+        return files.unionByName(cut(looked_at(per.withColumn("content", joined(F.col("chunks"))).drop("chunks"))))
+
     def commit(self, done: DataFrame, token: str) -> None:
-        """Assembles, admits and publishes the uploads (upload_key, session_id, at)."""
-        files = assembled(self.parts.rows(self.parts.prefixes(done), done, every=True)).join(done.select("upload_key", "at"), "upload_key")
-        files = cut(looked_at(files).withColumn("attachment_id", F.concat(F.lit("attachment:"), F.substring("upload_key", 1, 32))))
+        """Assembles, admits and publishes gathered uploads."""
+        files = self.assembled(done)
         said = self.objects.publish(files.where("error is null").select("sha256", "content"), token)
-        broken = said.where("error is not null").select("sha256", F.col("error").alias("broken"))
-        named = cut(files.drop("content").join(broken, "sha256", "left"))
+        broken = cut(said.where("error is not null").select("sha256", F.col("error").alias("broken")))
+        named = files.drop("content").join(broken, "sha256", "left")
         good = named.where("error is null and broken is null")
         for _ in range(TRIES):  # another writer of a session may be first
             answers = cut(self.admitted(good))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import time
 
 import pytest
@@ -255,3 +256,60 @@ def test_base64_is_strict(spark, text):
     from quire.operators.uploads import strict_base64
 
     assert spark.createDataFrame([(text,)], "t string").select(strict_base64(F.col("t"))).first()[0] is None
+
+
+def moved(spark) -> dict[int, int]:
+    """The bytes that each stage has shuffled, spilled and written."""
+    context, jvm = spark.sparkContext._jsc.sc(), spark.sparkContext._jvm
+    context.listenerBus().waitUntilEmpty(10_000)
+    stages = context.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    every = [stages.apply(i) for i in range(stages.size())]
+    return {s.stageId(): s.shuffleWriteBytes() + s.diskBytesSpilled() + s.outputBytes() for s in every}
+
+
+def test_bytes_of_uploads_move_few_times(spark, tmp_path):
+    """Gathered, kept, dealt by digest and stored: four times; reading what is made of them moves none."""
+    from quire.streaming.commit import UploadSink
+
+    rows, size = [], 0
+    for k in range(40):
+        half = [base64.b64encode(random.Random(2 * k + i).randbytes(20_000)) for i in range(2)]
+        size += sum(map(len, half))
+        rows += [("s" if k < 20 else "t", f"u{k}", "OPEN", 10 * k, 10 * k, -1, f"{k}.txt", None)]
+        rows += [("s" if k < 20 else "t", f"u{k}", "OK", 10 * k + 1 + i, 10 * k, i, None, half[i]) for i in range(2)]
+        rows += [("s" if k < 20 else "t", f"u{k}", "COMMITTED", 10 * k + 3, 10 * k, -1, None, None)]
+    batch_of(spark, *rows).write.parquet(str(tmp_path / "batch"))
+    sink, before = UploadSink(spark, str(tmp_path / "store"), stream="one"), moved(spark)
+    sink(spark.read.parquet(str(tmp_path / "batch")), 0)
+    after = moved(spark)
+    assert sum(v for k, v in after.items() if k not in before) < 5 * size
+    assert sink.parts.rows().count() == 0 and sink.parts.listed().count() == 40  # what ends in its batch needs no parts
+    state = sink.log.state()
+    assert state.count() == 40
+    before = moved(spark)
+    read = sink.objects.read(state, chars=F.length(F.decode("content", "UTF-8")))
+    assert read.columns == ["sha256", "error", "bytes", "chars"] and sorted({tuple(r)[1:] for r in read.collect()}) == [(None, 53336, 53336)]
+    assert sum(v for k, v in moved(spark).items() if k not in before) < size / 4
+    assert sorted(len(r.content) for r in sink.objects.read(state).collect()) == [53336] * 40
+
+
+def test_upload_in_parts_and_whole_uploads_of_one_batch(spark, tmp_path):
+    """A batch ends an older upload, holds a whole one with the same name, and leaves one open; names are cut once, at the end."""
+    from quire.streaming.commit import UploadSink
+
+    sink = UploadSink(spark, str(tmp_path), stream="one")
+    sink(batch_of(spark, ("s", "u", "OPEN", 0, 0, -1, "d/a.txt", None), ("s", "u", "OK", 1, 0, 0, None, b"one")), 0)
+    late = [("s", "u", "OK", 2, 0, 1, None, b"two"), ("s", "u", "COMMITTED", 3, 0, -1, None, None), ("s", "v", "OPEN", 4, 4, -1, "d/a.txt", None), ("s", "v", "OK", 6, 4, 1, None, b"b"), ("s", "v", "OK", 5, 4, 0, None, b"a"), ("s", "v", "COMMITTED", 7, 4, -1, None, None)]
+    sink(batch_of(spark, *late, ("s", "w", "OPEN", 8, 8, -1, "d/w.txt", None), ("s", "w", "OK", 9, 8, 0, None, b"w")), 1)
+    assert sorted((r.ord, r.name, r.bytes) for r in sink.log.state().collect()) == [(0, "a.txt", 6), (1, "a.txt", 2)]
+    assert sorted(bytes(r.content) for r in sink.objects.table.rows().collect()) == [b"ab", b"onetwo"]
+    parts = sorted((r.upload_id, r.idx, r.name, r.content and bytes(r.content)) for r in sink.parts.rows(every=True).collect())
+    assert parts == [("u", -1, "d/a.txt", None), ("u", 0, None, b"one"), ("u", 1, None, b"two"), ("w", -1, "d/w.txt", None), ("w", 0, None, b"w")]
+
+
+def test_objects_that_are_all_stored(spark, tmp_path):
+    o = Objects(spark, str(tmp_path))
+    o.publish(objects(spark, b"one", b"two"), "a")
+    again = o.publish(objects(spark, b"one", b"two", b"one"), "b").collect()
+    assert sorted((r.sha256, r.stored, r.error) for r in again) == sorted((sha(x), False, None) for x in (b"one", b"two"))
+    assert o.table.commits() == ["a", "b"] and sorted(bytes(r.content) for r in o.table.rows().collect()) == [b"one", b"two"]
